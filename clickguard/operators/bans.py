@@ -74,15 +74,16 @@ def latest_per_ip(log: DataFrame, order: list[str]) -> DataFrame:
 def current_bans(log: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     """Bans in force at `as_of`: per ip the last write made at or before
     `as_of` (later batch, then higher period and reason win ties), kept if
-    it has not expired. `as_of=None` means the newest write in the log."""
+    it has not expired. `as_of=None` means the newest write in the log -
+    a scalar subquery over the log, so nothing passes through the driver;
+    every write is then at or before it and that filter is skipped."""
+    order = ["written_at", "batch_id", "period", "reason"]
     if as_of is None:
         as_of_col = log.select(F.max("written_at")).scalar()
-    elif isinstance(as_of, str):
-        as_of_col = F.lit(as_of).cast("timestamp")
+        last = latest_per_ip(log, order)
     else:
-        as_of_col = as_of
-    last = latest_per_ip(log.filter(F.col("written_at") <= as_of_col),
-                         ["written_at", "batch_id", "period", "reason"])
+        as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+        last = latest_per_ip(log.filter(F.col("written_at") <= as_of_col), order)
     return (last.filter(F.col("expires_at").isNull() | (F.col("expires_at") > as_of_col))
             .select("ip", "period", "reason", "written_at", "expires_at"))
 

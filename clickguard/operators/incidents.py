@@ -51,7 +51,7 @@ def classify_windows(stats: DataFrame, conf: DetectorConfig,
 
 def find_incidents(events: DataFrame, conf: DetectorConfig,
                    require: tuple[str, ...] = (), time_format: str | None = None,
-                   strategy: str = "expand") -> DataFrame:
+                   strategy: str = "auto") -> DataFrame:
     """The detector over event time. Works unchanged on a batch table and
     on a stream (watermark applied before grouping).
 
