@@ -41,6 +41,14 @@ DETECTORS = {
 }
 
 
+def _start(writer, trigger: str | None, explain_df: DataFrame | None = None):
+    """Start the query; with `explain_df`, first print that streaming
+    frame's extended plan (a just-started query has none yet)."""
+    if explain_df is not None:
+        explain_df.explain(True)
+    return _trigger(writer, trigger).start()
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None:
         return writer
@@ -75,7 +83,8 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
 def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
             ban_path: str, checkpoint: str, detector: str = "sql",
             time: str = "event", parse: str = "lenient", precision: str = "s",
-            trigger: str | None = None, run_id: str | None = None):
+            trigger: str | None = None, run_id: str | None = None,
+            explain: bool = False):
     """Records -> incidents -> ban records upserted with a TTL of the ban
     time (update mode; a window is judged again whenever it changes)."""
     incidents = detect(spark, records, conf, detector, time, parse)
@@ -83,28 +92,31 @@ def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     writer = BanLogWriter(ban_path, conf.ban_us // 1_000_000, run_id=run_id)
     w = (bans.writeStream.outputMode("update").foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(w, trigger, bans if explain else None)
 
 
 def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
                 path: str, checkpoint: str, partition_by: str = "day",
-                trigger: str | None = None):
+                trigger: str | None = None, explain: bool = False):
     """Records -> incidents appended to parquet once their window closes
     (watermark past the window end)."""
     incidents = detect(spark, records, conf, "plain")
-    return _trigger(archive_sink(incidents, path, checkpoint, partition_by),
-                    trigger).start()
+    return _start(archive_sink(incidents, path, checkpoint, partition_by), trigger,
+                  incidents if explain else None)
 
 
 def console_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
-                checkpoint: str, trigger: str | None = None):
+                checkpoint: str, trigger: str | None = None, explain: bool = True):
+    """Records -> incidents (typed form, times to the second) on the
+    console, 50 rows per batch, untruncated."""
     incidents = detect(spark, records, conf, "typed")
     w = console_sink(incidents).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return _start(w, trigger, incidents if explain else None)
 
 
 def counter_job(spark: SparkSession, rows: DataFrame, checkpoint: str,
-                path: str | None = None, trigger: str | None = "10 seconds"):
+                path: str | None = None, trigger: str | None = "10 seconds",
+                explain: bool = False):
     """Running totals per key (update mode) to the console or, with
     `path`, to an upsert log."""
     totals = counter_totals(rows)
@@ -112,7 +124,8 @@ def counter_job(spark: SparkSession, rows: DataFrame, checkpoint: str,
         w = console_sink(totals)
     else:
         w = totals.writeStream.outputMode("update").foreachBatch(UpsertLogWriter(path))
-    return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
+    return _start(w.option("checkpointLocation", checkpoint), trigger,
+                  totals if explain else None)
 
 
 def keyed_lines(lines: DataFrame) -> DataFrame:
@@ -138,7 +151,7 @@ def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
 
     w = (keyed.writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(w, trigger)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -156,6 +169,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--parse", default="lenient", choices=["lenient", "strict"])
     ap.add_argument("--precision", default="s", choices=["s", "ms"])
     ap.add_argument("--max-offsets", type=int, default=1_000_000)
+    ap.add_argument("--explain", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"clickguard-{a.job}").getOrCreate()
     conf = DetectorConfig()
@@ -163,9 +177,10 @@ def main(argv: list[str] | None = None) -> None:
                            max_offsets_per_trigger=a.max_offsets)
     if a.job == "bans":
         q = ban_job(spark, records, conf, a.ban_path, a.checkpoint, a.detector,
-                    a.time, a.parse, a.precision)
+                    a.time, a.parse, a.precision, explain=a.explain)
     elif a.job == "archive":
-        q = archive_job(spark, records, conf, a.archive_path, a.checkpoint)
+        q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
+                        explain=a.explain)
     else:
         q = console_job(spark, records, conf, a.checkpoint)
     q.awaitTermination()

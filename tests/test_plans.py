@@ -38,3 +38,25 @@ def test_no_python_no_pairs_no_driver(spark, name):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
                 "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "Window ["):
         assert bad not in text, (name, bad)
+
+
+def test_auto_strategy_by_fan_out(spark):
+    from clickguard.config import DetectorConfig
+    from clickguard.operators.windows import choose_strategy
+
+    ev = click_events(spark, SF)
+    assert choose_strategy(ev, DetectorConfig(window="1 day", slide="6 hours")) == "expand"
+    assert choose_strategy(ev, DetectorConfig(window="1 day", slide="1 hour")) == "panes"
+    stream = spark.readStream.schema(ev.schema).parquet("/root/testdata/sf0.001")
+    assert choose_strategy(stream, DetectorConfig(window="1 day", slide="1 hour")) == "expand"
+
+
+def test_panes_equal_expand_at_high_fan_out(spark):
+    from clickguard.config import DetectorConfig
+
+    ev = click_events(spark, SF)
+    conf = DetectorConfig(window="1 day", slide="1 hour", watermark="1 day",
+                          min_events=2, max_events=5, min_rate=0.5)
+    a = find_incidents(ev, conf, strategy="expand").collect()
+    b = find_incidents(ev, conf, strategy="panes").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 0

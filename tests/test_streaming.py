@@ -175,3 +175,16 @@ def test_foreach_row_writer(spark, scratch):
             with open(os.path.join(root, fn)) as f:
                 n += sum(1 for _ in f)
     assert n == 5
+
+
+def test_console_job_prints_plan_and_runs(spark, scratch, capsys):
+    from clickguard.config import EVENTS_CONFIG
+    from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
+    from clickguard.streaming.jobs import console_job
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    kafka_records(events).write.parquet(f"{scratch}/topic")
+    q = console_job(spark, kafka_shaped_stream(spark, f"{scratch}/topic"), EVENTS_CONFIG,
+                    f"{scratch}/ckpt", trigger="availableNow", explain=True)
+    assert q.awaitTermination(300) and q.exception() is None
+    assert "Physical Plan" in capsys.readouterr().out
