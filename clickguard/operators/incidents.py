@@ -15,20 +15,23 @@ from pyspark.sql import functions as F
 from clickguard.config import DetectorConfig
 from clickguard.functions.aggregate import event_aggregation
 from clickguard.functions.text import time_text
-from clickguard.operators.windows import windowed_aggregates, with_rate
+from clickguard.operators.windows import rate_columns, windowed_aggregates
 
 # The reason prefixes.
 TOO_MANY = "too much events: "
 LOW_RATE = "too suspicious rate: "
 
 
-def reason_column(conf: DetectorConfig, time_format: str | None = None):
+def reason_column(conf: DetectorConfig, time_format: str | None = None,
+                  total=None, rate=None):
+    total = F.col("total_events") if total is None else total
+    rate = F.col("rate") if rate is None else rate
     span = [F.lit(" from "), time_text(F.col("firstEvent"), time_format),
             F.lit(" to "), time_text(F.col("lastEvent"), time_format)]
-    return (F.when(F.col("total_events") >= F.lit(conf.max_events),
-                   F.concat(F.lit(TOO_MANY), F.col("total_events").cast("string"), *span))
-            .when(F.col("rate") <= F.lit(conf.min_rate),
-                  F.concat(F.lit(LOW_RATE), F.col("rate").cast("string"), *span)))
+    return (F.when(total >= F.lit(conf.max_events),
+                   F.concat(F.lit(TOO_MANY), total.cast("string"), *span))
+            .when(rate <= F.lit(conf.min_rate),
+                  F.concat(F.lit(LOW_RATE), rate.cast("string"), *span)))
 
 
 def classify_windows(stats: DataFrame, conf: DetectorConfig,
@@ -40,13 +43,13 @@ def classify_windows(stats: DataFrame, conf: DetectorConfig,
     final aggregate and the reason text is built only for the windows that
     fire.
     """
-    fires = ((F.col("total_events") > F.lit(conf.min_events))
-             & ((F.col("total_events") >= F.lit(conf.max_events))
-                | (F.col("rate") <= F.lit(conf.min_rate))))
-    return (with_rate(stats)
-            .filter(fires)
+    cols = rate_columns()
+    total, rate = cols["total_events"], cols["rate"]
+    fires = ((total > F.lit(conf.min_events))
+             & ((total >= F.lit(conf.max_events)) | (rate <= F.lit(conf.min_rate))))
+    return (stats.filter(fires)
             .select("ip", *keep, "lastEvent",
-                    reason_column(conf, time_format).alias("reason")))
+                    reason_column(conf, time_format, total, rate).alias("reason")))
 
 
 def find_incidents(events: DataFrame, conf: DetectorConfig,

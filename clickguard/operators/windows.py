@@ -109,10 +109,14 @@ def _pane_aggregates(df: DataFrame, conf: DetectorConfig, time_col: str,
 def with_rate(stats: DataFrame) -> DataFrame:
     """Adds `total_events` and `rate` (watches per click; the watch count
     itself when there is no click)."""
+    return stats.withColumns(rate_columns())
+
+
+def rate_columns() -> dict:
     total = F.col("clicks") + F.col("watches")
     rate = (F.when(F.col("clicks") > 0, F.col("watches") / F.col("clicks"))
             .otherwise(F.col("watches").cast("double")))
-    return stats.withColumn("total_events", total).withColumn("rate", rate)
+    return {"total_events": total, "rate": rate}
 
 
 def window_event_stats(events: DataFrame, conf: DetectorConfig,
