@@ -49,13 +49,19 @@ def find_incidents_by_arrival(events: DataFrame, conf: DetectorConfig,
     if skip_old_events:
         df = skip_old(df, conf, arrival)
     stats = windowed_aggregates(df, conf, time_col="eventTime", group_time=arrival,
-                                watermark=df.isStreaming)
+                                watermark=df.isStreaming, watermark_delay="0 seconds")
     keep = ("windowEnd",) if with_window else ()
     if with_window:
         stats = stats.withColumn("windowEnd", F.col("window.end"))
     return classify_windows(stats, conf, keep=keep)
 
 
+def with_batch_arrival(events: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """Arrival = the micro-batch's time (``current_timestamp()`` is fixed
+    per batch), i.e. windows over batches as a DStream job forms them."""
+    return events.withColumn(arrival, F.current_timestamp())
+
+
 def with_arrival_lag(events: DataFrame, lag_minutes_per_unit: float = 10.0,
                      lag_col: str = "value") -> DataFrame:
     """Arrival = event time + a delivery lag taken from a numeric column of

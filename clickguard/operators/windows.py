@@ -40,11 +40,14 @@ def windowed_aggregates(events: DataFrame, conf: DetectorConfig,
                         time_col: str = "eventTime", group_time: str | None = None,
                         require: tuple[str, ...] = (),
                         strategy: str = "auto",
-                        watermark: bool = True) -> DataFrame:
+                        watermark: bool = True,
+                        watermark_delay: str | None = None) -> DataFrame:
     """`(ip, window, clicks, watches, firstEvent, lastEvent)` per ip and
     sliding window of `group_time` (default: `time_col`).
 
     `firstEvent` / `lastEvent` are always min / max of `time_col`.
+    `watermark_delay` overrides the configured delay (arrival time, which
+    is never late, uses zero).
     """
     group_time = group_time or time_col
     df = _require(events, require)
@@ -57,7 +60,7 @@ def windowed_aggregates(events: DataFrame, conf: DetectorConfig,
     if strategy != "expand":
         raise ValueError(f"unknown strategy {strategy!r}")
     if watermark:
-        df = df.withWatermark(group_time, conf.watermark_str)
+        df = df.withWatermark(group_time, watermark_delay or conf.watermark_str)
     return (df.groupBy(F.col("ip"),
                        F.window(group_time, conf.window_str, conf.slide_str)
                        .alias("window"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
 from clickguard.functions.parse import extract_key, parse_lenient, parse_strict, quarantine
-from clickguard.operators.arrival import find_incidents_by_arrival
+from clickguard.operators.arrival import find_incidents_by_arrival, with_batch_arrival
 from clickguard.operators.bans import ban_records
 from clickguard.operators.counter import counter_totals
 from clickguard.operators.incidents import (
@@ -65,7 +65,8 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     """Kafka-shaped records -> incidents.
 
     `time="event"`: event-time windows with watermark; `time="arrival"`:
-    windows over the record timestamp (the broker's append time).
+    windows over the record timestamp (the broker's append time);
+    `time="batch"`: windows over the micro-batch time.
     """
     if parse == "lenient":
         events = parse_lenient(records, keep=("timestamp",))
@@ -76,6 +77,8 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     if time == "arrival":
         arrived = events.withColumnRenamed("timestamp", "arrival")
         return find_incidents_by_arrival(arrived, conf)
+    if time == "batch":
+        return find_incidents_by_arrival(with_batch_arrival(events.drop("timestamp")), conf)
     events = events.drop("timestamp")
     return DETECTORS[detector](spark, events, conf)
 
@@ -165,7 +168,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ban-path")
     ap.add_argument("--archive-path")
     ap.add_argument("--detector", default="sql", choices=sorted(DETECTORS))
-    ap.add_argument("--time", default="event", choices=["event", "arrival"])
+    ap.add_argument("--time", default="event", choices=["event", "arrival", "batch"])
     ap.add_argument("--parse", default="lenient", choices=["lenient", "strict"])
     ap.add_argument("--precision", default="s", choices=["s", "ms"])
     ap.add_argument("--max-offsets", type=int, default=1_000_000)

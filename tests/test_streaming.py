@@ -188,3 +188,19 @@ def test_console_job_prints_plan_and_runs(spark, scratch, capsys):
                     f"{scratch}/ckpt", trigger="availableNow", explain=True)
     assert q.awaitTermination(300) and q.exception() is None
     assert "Physical Plan" in capsys.readouterr().out
+
+
+def test_batch_time_ban_job(spark, scratch):
+    from clickguard.config import EVENTS_CONFIG
+    from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
+    from clickguard.streaming.jobs import ban_job
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    kafka_records(events).write.parquet(f"{scratch}/topic")
+    q = ban_job(spark, kafka_shaped_stream(spark, f"{scratch}/topic"), EVENTS_CONFIG,
+                f"{scratch}/bans", f"{scratch}/ckpt", time="batch", parse="strict",
+                precision="ms", trigger="availableNow")
+    assert q.awaitTermination(300) and q.exception() is None
+    # one batch holds every event, so every ip with enough events is judged once
+    bans = spark.read.parquet(f"{scratch}/bans")
+    assert bans.count() > 0
