@@ -29,7 +29,7 @@ from clickguard.operators.windows import (
     window_event_stats as _window_event_stats,
 )
 from clickguard.plans.sql import find_incidents_sql
-from clickguard.session import ensure_utc, shared_dir
+from clickguard.session import ensure_utc, scratch_path
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records
 from clickguard.sources.tables import click_events, read_table
@@ -97,12 +97,12 @@ def ban_records_ms(spark, sf_dir):
 
 def current_bans(spark, sf_dir):
     """Bans in force at the newest write of the replayed log. The log is
-    materialised first (reliable checkpoint in the shared folder), as a
-    live ban table would be, so the as-of subquery and the per-ip pick
+    first written as a parquet table in the shared folder, as a live ban
+    table would be, so the as-of subquery (one column) and the per-ip pick
     both scan it instead of recomputing the detector twice."""
-    shared_dir(spark)
-    log = bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C).checkpoint()
-    return bans.current_bans(log)
+    path = scratch_path(spark, "ban-log-replay")
+    bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C).write.parquet(path)
+    return bans.current_bans(spark.read.parquet(path))
 
 
 def _records(spark, sf_dir):

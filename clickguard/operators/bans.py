@@ -71,19 +71,38 @@ def latest_per_ip(log: DataFrame, order: list[str]) -> DataFrame:
     return log.groupBy("ip").agg(best.alias("_b")).select("ip", "_b.*")
 
 
-def current_bans(log: DataFrame, as_of: Column | str | None = None) -> DataFrame:
+def current_bans(log: DataFrame, as_of: Column | str | None = None,
+                 horizon: str | None = None) -> DataFrame:
     """Bans in force at `as_of`: per ip the last write made at or before
     `as_of` (later batch, then higher period and reason win ties), kept if
     it has not expired. `as_of=None` means the newest write in the log -
     a scalar subquery over the log, so nothing passes through the driver;
-    every write is then at or before it and that filter is skipped."""
+    every write is then at or before it and that filter is skipped.
+
+    `horizon` (the longest TTL the log was written with) bounds the scan: a
+    write older than ``as_of - horizon`` has expired, and if it is an ip's
+    latest the ip has no ban, so such writes are skipped - on a log
+    partitioned by `written_date` whole days are pruned. Only valid when
+    every write expires (TTL > 0).
+    """
     order = ["written_at", "batch_id", "period", "reason"]
     if as_of is None:
         as_of_col = log.select(F.max("written_at")).scalar()
-        last = latest_per_ip(log, order)
     else:
         as_of_col = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
-        last = latest_per_ip(log.filter(F.col("written_at") <= as_of_col), order)
+    if horizon is not None:
+        from clickguard.config import duration_us
+
+        h_us = duration_us(horizon)
+        floor = F.timestamp_micros(F.unix_micros(as_of_col) - F.lit(h_us))
+        recent = F.col("written_at") > floor
+        if "written_date" in log.columns:
+            recent = (F.col("written_date") >= F.to_date(floor)) & recent
+        log = log.filter(recent)
+    if as_of is not None:
+        log = log.filter(F.col("written_at") <= as_of_col)
+    last = latest_per_ip(log.drop(*[c for c in ("written_date", "run", "batch")
+                                    if c in log.columns]), order)
     return (last.filter(F.col("expires_at").isNull() | (F.col("expires_at") > as_of_col))
             .select("ip", "period", "reason", "written_at", "expires_at"))
 

@@ -54,19 +54,24 @@ def shared_dir(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) is a folder of our own
     created and registered as the checkpoint dir.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = None
+    try:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - static conf not exposed on some builds
+        base = None
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        sc = None
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001 - not a SQL conf on some builds
-            base = None
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        key = spark.sparkContext.applicationId
+        key = sc.applicationId if sc is not None else "connect"
         if key not in _FALLBACK:
             _FALLBACK[key] = tempfile.mkdtemp(prefix="clickguard-")
-            spark.sparkContext.setCheckpointDir(_FALLBACK[key])
+            if sc is not None:
+                sc.setCheckpointDir(_FALLBACK[key])
         base = _FALLBACK[key]
     return base.rstrip("/")
 

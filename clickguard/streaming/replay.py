@@ -13,7 +13,7 @@ from clickguard.operators.bans import current_bans
 from clickguard.session import ensure_utc, scratch_path
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records
-from clickguard.sources.tables import to_click_events
+from clickguard.sources.tables import TABLE_SCHEMAS, to_click_events
 from clickguard.streaming.jobs import archive_job, ban_job, counter_job
 from clickguard.streaming.sinks import latest_state
 
@@ -21,10 +21,9 @@ STREAM_TIMEOUT_S = 3600
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The `events` table as a file stream (schema taken from the file)."""
+    """The `events` table as a file stream (declared schema)."""
     d = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{d}/events.parquet").schema
-    return (spark.readStream.schema(schema)
+    return (spark.readStream.schema(TABLE_SCHEMAS["events"])
             .option("pathGlobFilter", "events.parquet").parquet(d))
 
 
@@ -59,7 +58,8 @@ def stream_bans_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = kafka_records(events_stream(spark, sf_dir))
     _finish(ban_job(spark, records, C, out, ckpt, detector="sql",
                     trigger="availableNow"))
-    return current_bans(spark.read.parquet(out)).select("ip", "period", "reason")
+    log = spark.read.parquet(out)
+    return current_bans(log, horizon=C.ban_time).select("ip", "period", "reason")
 
 
 def stream_counter(spark: SparkSession, sf_dir: str) -> DataFrame:

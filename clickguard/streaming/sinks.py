@@ -1,16 +1,19 @@
 """Stream sinks.
 
 * ban table (update mode): `foreachBatch` into an append-only parquet log,
-  one directory per (run, batch) written with overwrite, so a replayed
-  batch replaces itself (idempotent) and a new run never touches an older
-  one. `clickguard.operators.bans.current_bans` is the keyed view on it.
+  one directory per (write date, run, batch) written with overwrite, so a
+  replayed batch replaces itself (idempotent) and a new run never touches
+  an older one. `clickguard.operators.bans.current_bans` is the keyed view
+  on it; with a TTL horizon it prunes every day older than the horizon.
 * parquet archive (append mode), console, and a row-wise `foreach` writer.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -80,10 +83,15 @@ class BanLogWriter:
         cols = self.columns or tuple(batch.columns[:3])
         bans = batch.select(*[F.col(c).alias(n) for c, n in
                               zip(cols, ("ip", "period", "reason"))])
-        rows = ban_log_rows(dedupe_batch(bans), F.current_timestamp(), self.ttl_s,
-                            batch_id)
+        # One write time per batch, known here so it can name the folder:
+        # the log is partitioned by write date, which lets the current view
+        # prune every day older than the TTL horizon.
+        now_us = time.time_ns() // 1_000
+        day = dt.datetime.fromtimestamp(now_us / 1e6, dt.timezone.utc).date().isoformat()
+        written = F.timestamp_micros(F.lit(now_us))
+        rows = ban_log_rows(dedupe_batch(bans), written, self.ttl_s, batch_id)
         (rows.write.mode("overwrite")
-         .parquet(f"{self.path}/run={self.run_id}/batch={batch_id}"))
+         .parquet(f"{self.path}/written_date={day}/run={self.run_id}/batch={batch_id}"))
 
 
 class UpsertLogWriter:

@@ -83,3 +83,28 @@ def test_ban_log_writer_is_idempotent_per_batch(spark, scratch):
     assert logged.count() == 2
     assert sorted((r["ip"], r["period"]) for r in current_bans(logged).collect()) == \
         [("a", 20), ("b", 5)]
+
+
+def test_horizon_prunes_old_days(spark, scratch):
+    from clickguard.plans.explain import plan_text
+
+    h = dt.timedelta(hours=1)
+    rows = [("a", 1, "old", T - 50 * h, 0), ("a", 2, "new", T, 1), ("b", 3, "x", T - 40 * h, 0)]
+    df = log(spark, rows).withColumn("written_date", F.to_date("written_at"))
+    df.write.partitionBy("written_date").parquet(scratch + "/log")
+    stored = spark.read.parquet(scratch + "/log")
+    as_of = F.lit(T + h).cast("timestamp")
+    got = current_bans(stored, as_of=as_of, horizon="1 day")
+    assert sorted((r["ip"], r["reason"]) for r in got.collect()) == [("a", "new")]
+    assert got.collect() == current_bans(stored, as_of=as_of).collect()
+    text = plan_text(got)
+    assert "PartitionFilters: [isnotnull(written_date" in text
+
+
+def test_ban_log_writer_partitions_by_write_date(spark, scratch):
+    w = BanLogWriter(scratch + "/bans", 86400, run_id="r1")
+    w(spark.createDataFrame([("a", 10, "x")], "ip string, period bigint, reason string"), 3)
+    log = spark.read.parquet(scratch + "/bans")
+    assert {"written_date", "run", "batch"} <= set(log.columns)
+    r = current_bans(log, horizon="1 day").collect()
+    assert [(x["ip"], x["period"]) for x in r] == [("a", 10)]
