@@ -74,6 +74,23 @@ def incidents_panes(spark, sf_dir):
     return find_incidents(_events(spark, sf_dir), C, strategy="panes")
 
 
+def window_event_stats_panes(spark, sf_dir):
+    return _window_event_stats(_events(spark, sf_dir), C, strategy="panes")
+
+
+def incidents_hourly_slide(spark, sf_dir):
+    """1-day windows sliding hourly: a fan-out of 24, where `auto` picks
+    pane pre-aggregation."""
+    return find_incidents(_events(spark, sf_dir), C.with_(slide="1 hour"))
+
+
+def incidents_by_batch_time(spark, sf_dir):
+    """Arrival-time windows with arrivals rounded up to hourly micro-batch
+    times, as a micro-batch engine with a 1-hour interval sees them."""
+    return find_incidents_by_arrival(_arrivals(spark, sf_dir), C.with_(batch="1 hour"),
+                                     quantize_to_batch=True, with_window=True)
+
+
 def _arrivals(spark, sf_dir):
     return with_arrival_lag(_events(spark, sf_dir, keep=("value",))).drop("value")
 
@@ -174,6 +191,9 @@ def queries() -> dict[str, Query]:
         "incidents_require_action": incidents_require_action,
         "incidents_distinct_sorted": incidents_distinct_sorted,
         "incidents_panes": incidents_panes,
+        "window_event_stats_panes": window_event_stats_panes,
+        "incidents_hourly_slide": incidents_hourly_slide,
+        "incidents_by_batch_time": incidents_by_batch_time,
         "incidents_by_arrival": incidents_by_arrival,
         "incidents_by_arrival_skip_old": incidents_by_arrival_skip_old,
         "ban_records": ban_records,

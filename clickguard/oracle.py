@@ -31,13 +31,15 @@ def _arrival(t: str, v: str) -> str:
     return f"make_timestamp(epoch_us({t}) + CAST(floor({v} * {LAG_US}) AS BIGINT))"
 
 
-def windows(src: str, group_time: str = "eventTime", extra_group: str = "") -> str:
+def windows(src: str, group_time: str = "eventTime", extra_group: str = "",
+            w: int = W, s: int = S) -> str:
     """CTEs `win` (rows fanned out to their windows) and `stats`."""
     eg = f", {extra_group}" if extra_group else ""
+    k = -(-w // s)
     return f"""fan AS (
-  SELECT *, (epoch_us({group_time}) // {S} - o) * {S} AS ws
-  FROM (SELECT *, unnest(range({K})) AS o FROM {src} WHERE {group_time} IS NOT NULL)),
-win AS (SELECT * FROM fan WHERE epoch_us({group_time}) < ws + {W}),
+  SELECT *, (epoch_us({group_time}) // {s} - o) * {s} AS ws
+  FROM (SELECT *, unnest(range({k})) AS o FROM {src} WHERE {group_time} IS NOT NULL)),
+win AS (SELECT * FROM fan WHERE epoch_us({group_time}) < ws + {w}),
 stats AS (
   SELECT ip, ws{eg},
          count(*) FILTER (WHERE action = 'click') AS clicks,
@@ -68,10 +70,10 @@ FIRES = f"total_events > {MIN_E} AND (total_events >= {MAX_E} OR rate <= {RATE})
 
 
 def incidents_sql(src_cte: str, src: str, fmt: bool = False, group_time="eventTime",
-                  extra_cols: str = "") -> str:
+                  extra_cols: str = "", w: int = W, s: int = S) -> str:
     ec = f"{extra_cols}, " if extra_cols else ""
     return f"""WITH {src_cte},
-{windows(src, group_time)},
+{windows(src, group_time, w=w, s=s)},
 inc AS (SELECT ip, {ec}lastEvent, {reason(fmt)} AS reason FROM rated WHERE {FIRES})"""
 
 
@@ -106,6 +108,23 @@ INCIDENTS_BY_ARRIVAL_SKIP_OLD = (
                   extra_cols=f"make_timestamp(ws + {W}) AS windowEnd")
     + "\nSELECT ip, windowEnd, lastEvent, reason FROM inc")
 
+HOUR_US = 3_600_000_000
+
+# arrival rounded up to the end of its 1-hour batch interval
+ARR_BATCH = f"""{ARR},
+arr_batch AS (
+  SELECT ip, action, eventTime,
+         make_timestamp(epoch_us(arrival)
+                        + ({HOUR_US} - epoch_us(arrival) % {HOUR_US}) % {HOUR_US}) AS arrival
+  FROM arr)"""
+
+INCIDENTS_BY_BATCH_TIME = (incidents_sql(ARR_BATCH, "arr_batch", group_time="arrival",
+                                         extra_cols=f"make_timestamp(ws + {W}) AS windowEnd")
+                           + "\nSELECT ip, windowEnd, lastEvent, reason FROM inc")
+
+INCIDENTS_HOURLY = (incidents_sql(EV, "ev", s=HOUR_US)
+                    + "\nSELECT ip, lastEvent, reason FROM inc")
+
 PERIOD_S = f"(epoch_us(lastEvent) // 1000000 + {BAN_S}) * 1000"
 PERIOD_MS = f"epoch_us(lastEvent) // 1000 + {BAN_MS}"
 
@@ -242,6 +261,9 @@ def oracle_sql() -> dict[str, str]:
         "incidents_distinct_sorted": "SELECT DISTINCT * FROM (" + INCIDENTS
         + ") ORDER BY lastEvent, reason",
         "incidents_panes": INCIDENTS,
+        "window_event_stats_panes": WINDOW_EVENT_STATS,
+        "incidents_hourly_slide": INCIDENTS_HOURLY,
+        "incidents_by_batch_time": INCIDENTS_BY_BATCH_TIME,
         "incidents_by_arrival": INCIDENTS_BY_ARRIVAL,
         "incidents_by_arrival_skip_old": INCIDENTS_BY_ARRIVAL_SKIP_OLD,
         "ban_records": BAN_RECORDS,
