@@ -119,6 +119,29 @@ class DetectorConfig:
         return replace(self, **kw)
 
 
+@dataclass(frozen=True)
+class KafkaConfig:
+    """Where the click log is read from and how fast.
+
+    `max_offsets_per_trigger` caps one micro-batch over all partitions; the
+    Kafka source keeps its offsets in the query checkpoint (no consumer
+    group commits are needed for exactly-once replay).
+    """
+
+    brokers: str = "127.0.0.1:9092"
+    topics: tuple[str, ...] = ("stop-bot-ip-requests",)
+    starting_offsets: str = "earliest"
+    max_offsets_per_trigger: int = 1_000_000
+    options: dict = field(default_factory=dict, compare=False)
+
+    def __post_init__(self):
+        if self.starting_offsets not in ("earliest", "latest") \
+                and not self.starting_offsets.startswith("{"):
+            raise ValueError("starting_offsets must be earliest, latest or a JSON offset map")
+        if self.max_offsets_per_trigger is not None and self.max_offsets_per_trigger <= 0:
+            raise ValueError("max_offsets_per_trigger must be positive")
+
+
 # Settings used by the registered queries over the driver's `events` table
 # (one month of data): 1-day windows sliding every 6 hours.
 EVENTS_CONFIG = DetectorConfig(

@@ -38,6 +38,12 @@ def kafka_stream(spark: SparkSession, brokers: str, topics: list[str] | str,
     return r.load()
 
 
+def kafka_stream_from(spark: SparkSession, conf) -> DataFrame:
+    """`kafka_stream` from a `KafkaConfig`."""
+    return kafka_stream(spark, conf.brokers, list(conf.topics), conf.starting_offsets,
+                        conf.max_offsets_per_trigger, **conf.options)
+
+
 def kafka_batch(spark: SparkSession, brokers: str, topics: list[str] | str,
                 **options: str) -> DataFrame:
     """Batch read of the same topics (``spark.read.format("kafka")``)."""

@@ -158,34 +158,66 @@ def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
 
 
 def main(argv: list[str] | None = None) -> None:
-    from clickguard.sources.kafka import TOPIC, kafka_stream
+    from clickguard.config import KafkaConfig
+    from clickguard.sources.counter import counter_stream
+    from clickguard.sources.kafka import kafka_stream_from
+    from clickguard.sources.spool import spool_stream
 
     ap = argparse.ArgumentParser(prog="clickguard.streaming.jobs")
-    ap.add_argument("job", choices=["bans", "archive", "console"])
-    ap.add_argument("--brokers", required=True)
-    ap.add_argument("--topic", default=TOPIC)
+    ap.add_argument("job", choices=["bans", "archive", "console", "counter", "spool"])
+    ap.add_argument("--brokers", default=KafkaConfig.brokers)
+    ap.add_argument("--topic", action="append")
+    ap.add_argument("--starting-offsets", default="earliest")
+    ap.add_argument("--max-offsets", type=int, default=1_000_000)
+    ap.add_argument("--fetch-bytes", type=int,
+                    help="kafka.max.partition.fetch.bytes per partition")
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--ban-path")
     ap.add_argument("--archive-path")
+    ap.add_argument("--archive-partition", default="day", choices=["day", "ip"])
+    ap.add_argument("--spool-dir")
+    ap.add_argument("--spool-archive")
+    ap.add_argument("--keyed-path")
+    ap.add_argument("--quarantine-path")
     ap.add_argument("--detector", default="sql", choices=sorted(DETECTORS))
     ap.add_argument("--time", default="event", choices=["event", "arrival", "batch"])
     ap.add_argument("--parse", default="lenient", choices=["lenient", "strict"])
     ap.add_argument("--precision", default="s", choices=["s", "ms"])
-    ap.add_argument("--max-offsets", type=int, default=1_000_000)
+    ap.add_argument("--window", default=DetectorConfig.window)
+    ap.add_argument("--slide", default=DetectorConfig.slide)
+    ap.add_argument("--watermark", default=DetectorConfig.watermark)
+    ap.add_argument("--min-events", type=int, default=DetectorConfig.min_events)
+    ap.add_argument("--max-events", type=int, default=DetectorConfig.max_events)
+    ap.add_argument("--min-rate", type=float, default=DetectorConfig.min_rate)
+    ap.add_argument("--ban-time", default=DetectorConfig.ban_time)
+    ap.add_argument("--trigger", help="processing-time interval, 'once' or 'availableNow'")
     ap.add_argument("--explain", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"clickguard-{a.job}").getOrCreate()
-    conf = DetectorConfig()
-    records = kafka_stream(spark, a.brokers, a.topic,
-                           max_offsets_per_trigger=a.max_offsets)
-    if a.job == "bans":
-        q = ban_job(spark, records, conf, a.ban_path, a.checkpoint, a.detector,
-                    a.time, a.parse, a.precision, explain=a.explain)
-    elif a.job == "archive":
-        q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
-                        explain=a.explain)
+    conf = DetectorConfig(window=a.window, slide=a.slide, watermark=a.watermark,
+                          min_events=a.min_events, max_events=a.max_events,
+                          min_rate=a.min_rate, ban_time=a.ban_time)
+    opts = {"kafka.max.partition.fetch.bytes": str(a.fetch_bytes)} if a.fetch_bytes else {}
+    kconf = KafkaConfig(brokers=a.brokers, topics=tuple(a.topic or KafkaConfig.topics),
+                        starting_offsets=a.starting_offsets,
+                        max_offsets_per_trigger=a.max_offsets, options=opts)
+    if a.job == "counter":
+        q = counter_job(spark, counter_stream(spark), a.checkpoint,
+                        trigger=a.trigger or "10 seconds", explain=a.explain)
+    elif a.job == "spool":
+        lines = spool_stream(spark, a.spool_dir, archive_dir=a.spool_archive)
+        q = spool_ingest_job(spark, lines, a.keyed_path, a.quarantine_path, a.checkpoint,
+                             trigger=a.trigger)
     else:
-        q = console_job(spark, records, conf, a.checkpoint)
+        records = kafka_stream_from(spark, kconf)
+        if a.job == "bans":
+            q = ban_job(spark, records, conf, a.ban_path, a.checkpoint, a.detector,
+                        a.time, a.parse, a.precision, trigger=a.trigger, explain=a.explain)
+        elif a.job == "archive":
+            q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
+                            a.archive_partition, trigger=a.trigger, explain=a.explain)
+        else:
+            q = console_job(spark, records, conf, a.checkpoint, trigger=a.trigger)
     q.awaitTermination()
 
 

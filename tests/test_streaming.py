@@ -204,3 +204,25 @@ def test_batch_time_ban_job(spark, scratch):
     # one batch holds every event, so every ip with enough events is judged once
     bans = spark.read.parquet(f"{scratch}/bans")
     assert bans.count() > 0
+
+
+def test_cli_spool_job(spark, scratch):
+    from clickguard.streaming.jobs import main
+
+    os.makedirs(f"{scratch}/spool")
+    with open(f"{scratch}/spool/a.log", "w") as f:
+        f.write('{"type":"click","ip":"1.1.1.1","unix_time":1514800800,"url":"/a"}\n')
+    main(["spool", "--spool-dir", f"{scratch}/spool", "--keyed-path", f"{scratch}/keyed",
+          "--quarantine-path", f"{scratch}/q", "--checkpoint", f"{scratch}/ckpt",
+          "--trigger", "availableNow"])
+    assert [r["key"] for r in spark.read.parquet(f"{scratch}/keyed").collect()] == ["1.1.1.1"]
+
+
+def test_kafka_config_validation():
+    import pytest as _pytest
+
+    from clickguard.config import KafkaConfig
+
+    assert KafkaConfig().max_offsets_per_trigger == 1_000_000
+    with _pytest.raises(ValueError):
+        KafkaConfig(starting_offsets="middle")
