@@ -149,10 +149,17 @@ class JsonLinesForeachWriter:
 def archive_sink(incidents: DataFrame, path: str, checkpoint: str,
                  partition_by: str = "day"):
     """Append-mode parquet archive of incidents. Partitioned by the day of
-    `lastEvent` (bounded directory count) or, as an option, by ip."""
+    `lastEvent` (bounded directory count) or, as an option, by ip.
+
+    Rows are hash-partitioned on the partition column first, so a batch
+    writes one file per day instead of one per (task, day): incidents are a
+    small fraction of the events, and each micro-batch is bounded by the
+    source's per-trigger cap.
+    """
     df = incidents
     if partition_by == "day":
         df = df.withColumn("day", F.to_date("lastEvent"))
+    df = df.repartition(partition_by)
     return (df.writeStream.outputMode("append").format("parquet")
             .option("path", path).option("checkpointLocation", checkpoint)
             .partitionBy(partition_by))
