@@ -1,6 +1,7 @@
 """Structured Streaming: late data, append archive, update-mode bans,
 counter source, spool ingest, stream == batch on closed windows."""
 
+import datetime as dt
 import json
 import os
 import time
@@ -226,3 +227,38 @@ def test_kafka_config_validation():
     assert KafkaConfig().max_offsets_per_trigger == 1_000_000
     with _pytest.raises(ValueError):
         KafkaConfig(starting_offsets="middle")
+
+
+def test_update_mode_ban_is_not_withdrawn(spark, scratch):
+    """A window judged suspicious in one batch stays banned even when a later
+    batch's events would clear it (update mode judges every change)."""
+    from clickguard.operators.bans import current_bans
+    from clickguard.streaming.jobs import ban_job
+
+    conf = DetectorConfig(window="10 seconds", slide="10 seconds", watermark="1 hour",
+                          min_events=2, max_events=10, min_rate=0.5)
+    batches = [[("watch", 0), ("click", 1), ("click", 2)],   # rate 0.5 -> banned
+               [("watch", 3), ("watch", 4)]]                  # rate 1.5 -> would clear
+    os.makedirs(f"{scratch}/in")
+    base = time.time() - 1000
+    for i, rows in enumerate(batches):
+        p = f"{scratch}/in/b{i}.json"
+        with open(p, "w") as f:
+            for action, sec in rows:
+                unix_time = int((at(sec) - dt.datetime(1970, 1, 1)).total_seconds())
+                body = json.dumps({"type": action, "ip": IP, "unix_time": unix_time,
+                                   "url": "/a"})
+                f.write(json.dumps({"key": IP, "value": body,
+                                    "timestamp": at(sec).isoformat()}) + "\n")
+        os.utime(p, (base + i, base + i))
+    records = (spark.readStream.schema("key string, value string, timestamp timestamp")
+               .option("maxFilesPerTrigger", 1).json(f"{scratch}/in"))
+    q = ban_job(spark, records, conf, f"{scratch}/bans", f"{scratch}/ckpt",
+                detector="plain", trigger="availableNow")
+    assert q.awaitTermination(300) and q.exception() is None
+    log = spark.read.parquet(f"{scratch}/bans")
+    assert [r["reason"].split(" from ")[0] for r in log.collect()] == \
+        ["too suspicious rate: 0.5"]
+    assert current_bans(log).count() == 1
+    fed = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert fed == [3, 2]
