@@ -279,9 +279,7 @@ def test_spool_files_are_archived_after_reading(spark, scratch):
     q = (lines.writeStream.format("parquet").option("path", f"{scratch}/out")
          .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
     assert q.awaitTermination(300) and q.exception() is None
-    out = spark.read.parquet(f"{scratch}/out")
-    # eight windows hold four or five of the watches; three distinct incidents
-    assert out.count() == 8 and out.distinct().count() == 3
+    assert spark.read.parquet(f"{scratch}/out").count() == 3
     # archiving happens a batch after a file was read: the first file is gone
     assert not os.path.exists(f"{scratch}/spool/f0.log")
     archived = [fn for _, _, fs in os.walk(f"{scratch}/done") for fn in fs]
