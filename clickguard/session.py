@@ -28,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     """A local[N] session for tests and the bench (one JVM, UI off)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.driver.bindAddress", "127.0.0.1")
+         .config("spark.driver.host", "127.0.0.1")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**BASE_CONF, **extra}.items():
