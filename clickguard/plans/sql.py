@@ -20,6 +20,7 @@ WITH aggregated AS (
          min(eventTime) AS firstEvent,
          max(eventTime) AS lastEvent
   FROM {events}
+  WHERE eventTime IS NOT NULL
   GROUP BY ip, window(eventTime, :window, :slide)
 ),
 rated AS (
