@@ -43,8 +43,8 @@ def validate_ban_sink_options(options: dict[str, str]) -> BanSinkOptions:
         errors.append("ban.columns should name the ban table columns")
     else:
         columns = tuple(c.strip() for c in cols.split(",") if c.strip())
-        if len(columns) != 3:
-            errors.append("ban.columns should name three columns: ip, period, reason")
+        if sorted(columns) != ["ip", "period", "reason"]:
+            errors.append("ban.columns should name the table columns ip, period, reason")
     ttl = 0
     raw_ttl = options.get("ban.ttl")
     if raw_ttl is not None:
@@ -62,9 +62,10 @@ def validate_ban_sink_options(options: dict[str, str]) -> BanSinkOptions:
 class BanLogWriter:
     """`foreachBatch` function that upserts ban records into the log.
 
-    Input columns are paired with `ip, period, reason` by position. Within
-    a batch, several windows of one ip may fire; the highest
-    (period, reason) is kept so the write is deterministic.
+    The stream's columns are paired by position with the table columns
+    `columns` (default ``ip, period, reason``). Within a batch, several
+    windows of one ip may fire; the highest (period, reason) is kept so the
+    write is deterministic.
     """
 
     def __init__(self, path: str, ttl_s: int, run_id: str | None = None,
@@ -80,9 +81,8 @@ class BanLogWriter:
         return cls(o.path, o.ttl, run_id, o.columns)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        cols = self.columns or tuple(batch.columns[:3])
-        bans = batch.select(*[F.col(c).alias(n) for c, n in
-                              zip(cols, ("ip", "period", "reason"))])
+        names = self.columns or ("ip", "period", "reason")
+        bans = batch.select(*[F.col(c).alias(n) for c, n in zip(batch.columns, names)])
         # One write time per batch, known here so it can name the folder:
         # the log is partitioned by write date, which lets the current view
         # prune every day older than the TTL horizon.

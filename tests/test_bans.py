@@ -108,3 +108,13 @@ def test_ban_log_writer_partitions_by_write_date(spark, scratch):
     assert {"written_date", "run", "batch"} <= set(log.columns)
     r = current_bans(log, horizon="1 day").collect()
     assert [(x["ip"], x["period"]) for x in r] == [("a", 10)]
+
+
+def test_columns_are_paired_by_position(spark, scratch):
+    opts = {"ban.path": scratch + "/bans", "ban.columns": "period, ip, reason", "ban.ttl": "60"}
+    w = BanLogWriter.from_options(opts, run_id="r")
+    w(spark.createDataFrame([(7, "a", "x")], "p bigint, who string, why string"), 0)
+    r = spark.read.parquet(scratch + "/bans").collect()[0]
+    assert (r["ip"], r["period"], r["reason"]) == ("a", 7, "x")
+    with pytest.raises(ValueError):
+        validate_ban_sink_options({"ban.path": "/p", "ban.columns": "ip, until, reason"})
