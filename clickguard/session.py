@@ -96,3 +96,21 @@ def local_fs_path(path: str) -> str:
 def makedirs_if_local(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def shuffle_partitions_for(shuffle_bytes: int, cores: int = 8,
+                           target_bytes: int = 256 << 20,
+                           max_partitions: int = 100_000) -> int:
+    """Initial `spark.sql.shuffle.partitions` for a windowed aggregate.
+
+    `shuffle_bytes` is what the exchange carries after map-side combine:
+    take it from a sample run's shuffle-write metric (it grows with the
+    number of distinct (ip, window) keys per map task, not with the raw
+    events), or for a stream from the per-trigger cap. Partitions of about
+    `target_bytes` keep every reducer's hash map in memory; AQE coalesces
+    small ones in batch. At least two per core, so one slow task does not
+    idle the rest. For a stream this is also the state partition count,
+    fixed when its checkpoint is first created.
+    """
+    n = -(-max(1, shuffle_bytes) // target_bytes)
+    return int(min(max_partitions, max(2 * cores, n)))

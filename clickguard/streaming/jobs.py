@@ -192,8 +192,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ban-time", default=DetectorConfig.ban_time)
     ap.add_argument("--trigger", help="processing-time interval, 'once' or 'availableNow'")
     ap.add_argument("--explain", action="store_true")
+    ap.add_argument("--shuffle-partitions", type=int,
+                    help="state partitions of a new checkpoint (fixed afterwards); "
+                         "see clickguard.session.shuffle_partitions_for")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"clickguard-{a.job}").getOrCreate()
+    if a.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     conf = DetectorConfig(window=a.window, slide=a.slide, watermark=a.watermark,
                           min_events=a.min_events, max_events=a.max_events,
                           min_rate=a.min_rate, ban_time=a.ban_time)

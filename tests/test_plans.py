@@ -60,3 +60,12 @@ def test_panes_equal_expand_at_high_fan_out(spark):
     a = find_incidents(ev, conf, strategy="expand").collect()
     b = find_incidents(ev, conf, strategy="panes").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) > 0
+
+
+def test_shuffle_partition_sizing():
+    from clickguard.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0, cores=8) == 16
+    # 5 TB shuffled after map-side combine, 256 MB partitions, 8000 cores
+    assert shuffle_partitions_for(5 << 40, cores=8000) == 20_480
+    assert shuffle_partitions_for(1 << 50, cores=8) == 100_000
