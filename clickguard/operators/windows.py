@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
 from clickguard.functions.aggregate import aggregation_columns, merge_aggregation
+from clickguard.schema import require_columns
 
 STAT_COLUMNS = ["ip", "window", "clicks", "watches", "firstEvent", "lastEvent"]
 
@@ -50,6 +51,7 @@ def windowed_aggregates(events: DataFrame, conf: DetectorConfig,
     is never late, uses zero).
     """
     group_time = group_time or time_col
+    require_columns(events, "ip", "action", time_col, group_time)
     df = _require(events, require)
     if strategy == "auto":
         strategy = choose_strategy(df, conf)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickguard.schema import require_columns
+
 
 # Declared schemas of the driver tables this engine reads. Reading with a
 # declared schema skips footer-based inference (one less pass over file
@@ -37,6 +39,7 @@ def to_click_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     it. Only the three source columns (plus `keep`) are read, so the scan
     prunes the rest.
     """
+    require_columns(events, "user_id", "event_type", "ts", *keep)
     return events.select(
         F.col("user_id").cast("string").alias("ip"),
         action_of(F.col("event_type")).alias("action"),

@@ -6,7 +6,6 @@ DataFrame. Checkpoints and outputs go below the cluster's shared folder
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickguard.config import EVENTS_CONFIG as C
 from clickguard.operators.bans import current_bans

@@ -132,3 +132,9 @@ def test_variants_agree_on_events_table(spark):
     for name in ("panes", "sql", "struct"):
         got = sorted(map(tuple, VARIANTS[name](spark, ev, EVENTS_CONFIG).collect()))
         assert got == base, name
+
+
+def test_missing_column_fails_early(spark):
+    df = spark.createDataFrame([(IP, at(0))], "ip string, eventTime timestamp")
+    with pytest.raises(ValueError, match="action"):
+        find_incidents(df, CONF)
