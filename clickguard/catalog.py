@@ -159,6 +159,20 @@ def incidents_from_messages_strict(spark, sf_dir):
     return bans.ban_records(inc, C, precision="ms")
 
 
+def incidents_from_spool_lines(spark, sf_dir):
+    """The spool path: message lines (one per `events` row), keyed by the
+    agent's ip regex, parsed leniently (ip from that key), detector, ban
+    records."""
+    from clickguard.sources.kafka import message_text
+    from clickguard.streaming.jobs import keyed_lines
+
+    ensure_utc(spark)
+    ev = read_table(spark, sf_dir, "events")
+    lines = keyed_lines(ev.select(message_text(ev).alias("value")))
+    parsed = parse_lenient(lines)
+    return bans.ban_records(find_incidents(parsed, C), C, precision="s")
+
+
 def merge_partial_aggregates(spark, sf_dir):
     """Partial aggregates per (ip, window, event type), as if each type
     came from its own topic, merged into per-(ip, window) aggregates."""
@@ -205,6 +219,7 @@ def queries() -> dict[str, Query]:
         "key_extract": key_extract,
         "incidents_from_messages": incidents_from_messages,
         "incidents_from_messages_strict": incidents_from_messages_strict,
+        "incidents_from_spool_lines": incidents_from_spool_lines,
         "merge_partial_aggregates": merge_partial_aggregates,
         "counter_totals": counter_totals,
         **replay.stream_queries(),

@@ -116,6 +116,13 @@ def quarantine(records: DataFrame, value: str = "value",
             .select(*keep, raw.alias("raw"), reject_reason(raw, m).alias("reason")))
 
 
+def normalise_action(action: str | Column = "action") -> Column:
+    """The event-type enum: a known type stays, anything else (including
+    null) becomes ``unknown``."""
+    a = F.col(action) if isinstance(action, str) else action
+    return F.when(a.isin(*KNOWN_TYPES), a).otherwise(F.lit("unknown"))
+
+
 def extract_key(line: str | Column = "value") -> Column:
     """The ip a spool agent puts into the record key: the first
     ``"ip":"..."`` of the line; null when there is none."""

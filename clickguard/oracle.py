@@ -226,6 +226,14 @@ FROM_MESSAGES_STRICT = incidents_sql(f"{STRICT}, arr AS (SELECT *, \"timestamp\"
                                      "arr", group_time="arrival") + \
     f"\nSELECT ip, {PERIOD_MS} AS period, reason FROM inc"
 
+SPOOL = f"""{REC},
+spool AS (
+  SELECT NULLIF(regexp_extract(v, '"ip":.?"([^"]+)"', 1), '') AS ip, m_type AS action,
+         make_timestamp(m_time * 1000000) AS eventTime
+  FROM msg)"""
+
+FROM_SPOOL = incidents_sql(SPOOL, "spool") + f"\nSELECT ip, {PERIOD_S} AS period, reason FROM inc"
+
 COUNTER_TOTALS = """SELECT event_type AS key, CAST(sum(event_id) AS BIGINT) AS total,
        min(event_id) AS first, max(event_id) AS last
 FROM events GROUP BY event_type"""
@@ -275,6 +283,7 @@ def oracle_sql() -> dict[str, str]:
         "key_extract": KEY_EXTRACT,
         "incidents_from_messages": FROM_MESSAGES,
         "incidents_from_messages_strict": FROM_MESSAGES_STRICT,
+        "incidents_from_spool_lines": FROM_SPOOL,
         "merge_partial_aggregates": MERGE_PARTIALS,
         "counter_totals": COUNTER_TOTALS,
         "stream_incidents_append": STREAM_APPEND,

@@ -70,3 +70,11 @@ def test_spool_lines_key(spark, scratch):
         ["", "1.1.1.1", "2.2.2.2"]
     keys = [r[0] for r in lines.select(extract_key().alias("k")).collect()]
     assert keys.count(None) == 1
+
+
+def test_normalise_action(spark):
+    from clickguard.functions.parse import normalise_action
+
+    df = spark.createDataFrame([("click",), ("watch",), ("view",), (None,)], "action string")
+    assert [r[0] for r in df.select(normalise_action()).collect()] == \
+        ["click", "watch", "unknown", "unknown"]
