@@ -163,12 +163,12 @@ def incidents_from_spool_lines(spark, sf_dir):
     """The spool path: message lines (one per `events` row), keyed by the
     agent's ip regex, parsed leniently (ip from that key), detector, ban
     records."""
-    from clickguard.sources.kafka import message_text
+    from clickguard.sources.kafka import with_message
     from clickguard.streaming.jobs import keyed_lines
 
     ensure_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
-    lines = keyed_lines(ev.select(message_text(ev).alias("value")))
+    lines = keyed_lines(with_message(read_table(spark, sf_dir, "events"), "_msg")
+                        .select(F.col("_msg").alias("value")))
     parsed = parse_lenient(lines)
     return bans.ban_records(find_incidents(parsed, C), C, precision="s")
 

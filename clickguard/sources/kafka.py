@@ -57,51 +57,60 @@ def kafka_batch(spark: SparkSession, brokers: str, topics: list[str] | str,
     return r.load()
 
 
-def _record_kind(props: Column) -> Column:
+def _record_kind(k: Column) -> Column:
     """Which form the message of an event takes, chosen by the event's
     own `props.k` (0-99): a few percent are broken in each way the parser
     must handle."""
-    k = F.get_json_object(props, "$.k").try_cast("int")
     return (F.when(k < 3, F.lit("text"))
             .when(k < 6, F.lit("no_url"))
             .when(k < 9, F.lit("quoted_time"))
             .otherwise(F.lit("json")))
 
 
-def message_text(events: DataFrame) -> Column:
-    """The JSON body a click-log agent would send for one `events` row."""
-    ip = F.col("user_id").cast("string")
-    typ = action_of(F.col("event_type"))
-    unix_time = F.unix_seconds(F.col("ts").cast("timestamp"))
-    url = F.concat(F.lit("/ad/"), F.col("event_id").cast("string"))
-    kind = _record_kind(F.col("props"))
+def _message_parts(events: DataFrame) -> DataFrame:
+    """The fields of each event's message, each computed once (the record
+    kind is read by every branch of the body; as its own column it is not
+    inlined back, since it is neither cheap nor used once)."""
+    k = events.select("*", F.get_json_object("props", "$.k").try_cast("int").alias("_k"))
+    return k.select(
+        *events.columns,
+        F.col("user_id").cast("string").alias("_ip"),
+        action_of(F.col("event_type")).alias("_type"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("_unix_time"),
+        F.concat(F.lit("/ad/"), F.col("event_id").cast("string")).alias("_url"),
+        _record_kind(F.col("_k")).alias("_kind"),
+    )
+
+
+def _body() -> Column:
+    typ, ip, ut, url, kind = (F.col(c) for c in ("_type", "_ip", "_unix_time", "_url", "_kind"))
     return (
-        F.when(kind == "text",
-               F.concat_ws(" ", typ, ip, unix_time.cast("string"), url))
+        F.when(kind == "text", F.concat_ws(" ", typ, ip, ut.cast("string"), url))
         .when(kind == "no_url",
-              F.to_json(F.struct(typ.alias("type"), ip.alias("ip"),
-                                 unix_time.alias("unix_time"))))
+              F.to_json(F.struct(typ.alias("type"), ip.alias("ip"), ut.alias("unix_time"))))
         .when(kind == "quoted_time",
               F.to_json(F.struct(typ.alias("type"), ip.alias("ip"),
-                                 unix_time.cast("string").alias("unix_time"),
-                                 url.alias("url"))))
+                                 ut.cast("string").alias("unix_time"), url.alias("url"))))
         .otherwise(F.to_json(F.struct(typ.alias("type"), ip.alias("ip"),
-                                      unix_time.alias("unix_time"),
-                                      url.alias("url"))))
+                                      ut.alias("unix_time"), url.alias("url"))))
     )
 
 
+def with_message(events: DataFrame, name: str = "value") -> DataFrame:
+    """`events` plus the JSON body a click-log agent would send for each row."""
+    return _message_parts(events).select(*events.columns, _body().alias(name))
+
+
 def kafka_records(events: DataFrame, topic: str = TOPIC,
                   partitions: int = 3) -> DataFrame:
     """`events` as the records a keyed click-log topic would hold:
     key = ip, value = JSON body, offset = event id, timestamp = the
     broker's append time (event time plus the event's delivery lag)."""
-    return events.select(
-        F.col("user_id").cast("string").cast("binary").alias("key"),
-        message_text(events).cast("binary").alias("value"),
+    return _message_parts(events).select(
+        F.col("_ip").cast("binary").alias("key"),
+        _body().cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.hash(F.col("user_id").cast("string")), F.lit(partitions))
-        .cast("int").alias("partition"),
+        F.pmod(F.hash(F.col("_ip")), F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         arrival_time(F.col("ts").cast("timestamp"), F.col("value")).alias("timestamp"),
     )
