@@ -122,6 +122,25 @@ def current_bans(spark, sf_dir):
     return bans.current_bans(spark.read.parquet(path))
 
 
+def current_bans_compacted(spark, sf_dir):
+    """`current_bans` read through a compacted log: the replayed log is
+    written partitioned by write date, every day before the newest is
+    compacted into a snapshot (last write per ip, expired ones dropped), and
+    the view reads the snapshot plus the newest day. Equals `current_bans`."""
+    ensure_utc(spark)
+    path = scratch_path(spark, "ban-log-replay")
+    (bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C)
+     .withColumn("written_date", F.to_date("written_at"))
+     .write.partitionBy("written_date").parquet(path))
+    log = spark.read.parquet(path)
+    # the cut is one scalar: the newest write day (a daily compaction job
+    # takes it from the calendar instead)
+    cut = log.agg(F.max("written_date")).first()[0].isoformat()
+    snap = scratch_path(spark, "ban-snapshot")
+    bans.compact_bans(log, cut).write.parquet(snap)
+    return bans.current_bans(bans.with_snapshot(spark.read.parquet(snap), log, cut))
+
+
 def _records(spark, sf_dir):
     ensure_utc(spark)
     return kafka_records(read_table(spark, sf_dir, "events"))
@@ -213,6 +232,7 @@ def queries() -> dict[str, Query]:
         "ban_records": ban_records,
         "ban_records_ms": ban_records_ms,
         "current_bans": current_bans,
+        "current_bans_compacted": current_bans_compacted,
         "parse_lenient": parse_lenient_q,
         "parse_strict": parse_strict_q,
         "parse_quarantine": parse_quarantine,

@@ -111,3 +111,41 @@ def dedupe_batch(bans: DataFrame) -> DataFrame:
     """Within one micro-batch several windows of an ip may fire; keep the
     highest (period, reason) so the write is deterministic."""
     return latest_per_ip(bans, ["period", "reason"])
+
+
+_LOG_PARTITIONS = ("written_date", "run", "batch")
+
+
+def compact_bans(log: DataFrame, before: str) -> DataFrame:
+    """The writes of `log` made before day `before` (``YYYY-MM-DD``, UTC),
+    reduced to the last write per ip, without those expired by then.
+
+    The view's pick is a maximum under a total order, so the last write of
+    (snapshot + every later write) is the last write of the whole log; a
+    write expired at the cut is expired at any later `as_of`, so dropping it
+    changes nothing from the cut on. The snapshot is bounded by the ips with
+    a live ban (by all ips ever banned when the TTL is 0) and replaces the
+    days before the cut: `with_snapshot` reads it plus the newer days. One
+    aggregate with map-side combine, shuffled on ip. A previous snapshot
+    can be folded in: ``compact_bans(with_snapshot(old, log, old_cut), cut)``.
+    """
+    cut = F.to_timestamp(F.lit(before))
+    old = log.filter(F.col("written_at") < cut)
+    if "written_date" in log.columns:
+        old = log.filter((F.col("written_date") < F.lit(before).cast("date"))
+                         & (F.col("written_at") < cut))
+    last = latest_per_ip(old.drop(*[c for c in _LOG_PARTITIONS if c in log.columns]),
+                         ["written_at", "batch_id", "period", "reason"])
+    return last.filter(F.col("expires_at").isNull() | (F.col("expires_at") > cut))
+
+
+def with_snapshot(snapshot: DataFrame, log: DataFrame, since: str) -> DataFrame:
+    """A compacted snapshot plus the writes of `log` from day `since` on
+    (whole days pruned at the scan on a log partitioned by `written_date`);
+    `current_bans` over it equals `current_bans` over the whole log for any
+    `as_of` at or after `since`."""
+    recent = log.filter(F.col("written_at") >= F.to_timestamp(F.lit(since)))
+    if "written_date" in log.columns:
+        recent = log.filter((F.col("written_date") >= F.lit(since).cast("date"))
+                            & (F.col("written_at") >= F.to_timestamp(F.lit(since))))
+    return snapshot.unionByName(recent.select(*snapshot.columns))

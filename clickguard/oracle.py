@@ -277,6 +277,7 @@ def oracle_sql() -> dict[str, str]:
         "ban_records": BAN_RECORDS,
         "ban_records_ms": BAN_RECORDS_MS,
         "current_bans": CURRENT_BANS,
+        "current_bans_compacted": CURRENT_BANS,
         "parse_lenient": PARSE_LENIENT,
         "parse_strict": PARSE_STRICT,
         "parse_quarantine": PARSE_QUARANTINE,

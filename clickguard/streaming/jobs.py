@@ -157,6 +157,22 @@ def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
     return _start(w, trigger)
 
 
+def compact_job(spark: SparkSession, ban_path: str, out: str, before: str,
+                snapshot: str | None = None, snapshot_cut: str | None = None) -> None:
+    """Batch job: fold the ban log's days before `before` (and a previous
+    snapshot cut at `snapshot_cut`, if given) into a new snapshot at `out`.
+    Views then read `with_snapshot(snapshot, log, before)`; the old days
+    stay in place (nothing is deleted) and are skipped at the scan."""
+    from clickguard.operators.bans import compact_bans, with_snapshot
+
+    log = spark.read.parquet(ban_path)
+    if snapshot is not None:
+        if snapshot_cut is None:
+            raise ValueError("a previous snapshot needs its cut day")
+        log = with_snapshot(spark.read.parquet(snapshot), log, snapshot_cut)
+    compact_bans(log, before).write.parquet(out)
+
+
 def main(argv: list[str] | None = None) -> None:
     from clickguard.config import KafkaConfig
     from clickguard.sources.counter import counter_stream
@@ -164,17 +180,21 @@ def main(argv: list[str] | None = None) -> None:
     from clickguard.sources.spool import spool_stream
 
     ap = argparse.ArgumentParser(prog="clickguard.streaming.jobs")
-    ap.add_argument("job", choices=["bans", "archive", "console", "counter", "spool"])
+    ap.add_argument("job", choices=["bans", "archive", "console", "counter", "spool", "compact"])
     ap.add_argument("--brokers", default=KafkaConfig.brokers)
     ap.add_argument("--topic", action="append")
     ap.add_argument("--starting-offsets", default="earliest")
     ap.add_argument("--max-offsets", type=int, default=1_000_000)
     ap.add_argument("--fetch-bytes", type=int,
                     help="kafka.max.partition.fetch.bytes per partition")
-    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--checkpoint", help="required by every streaming job")
     ap.add_argument("--ban-path")
     ap.add_argument("--archive-path")
     ap.add_argument("--archive-partition", default="day", choices=["day", "ip"])
+    ap.add_argument("--snapshot-out", help="compact: where the new snapshot is written")
+    ap.add_argument("--before", help="compact: first day (YYYY-MM-DD, UTC) not compacted")
+    ap.add_argument("--snapshot", help="compact: previous snapshot to fold in")
+    ap.add_argument("--snapshot-cut", help="compact: the previous snapshot's cut day")
     ap.add_argument("--spool-dir")
     ap.add_argument("--spool-archive")
     ap.add_argument("--keyed-path")
@@ -196,7 +216,14 @@ def main(argv: list[str] | None = None) -> None:
                     help="state partitions of a new checkpoint (fixed afterwards); "
                          "see clickguard.session.shuffle_partitions_for")
     a = ap.parse_args(argv)
+    if a.job != "compact" and not a.checkpoint:
+        ap.error(f"{a.job} needs --checkpoint")
+    if a.job == "compact" and not (a.ban_path and a.snapshot_out and a.before):
+        ap.error("compact needs --ban-path, --snapshot-out and --before")
     spark = SparkSession.builder.appName(f"clickguard-{a.job}").getOrCreate()
+    if a.job == "compact":
+        compact_job(spark, a.ban_path, a.snapshot_out, a.before, a.snapshot, a.snapshot_cut)
+        return
     if a.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     conf = DetectorConfig(window=a.window, slide=a.slide, watermark=a.watermark,

@@ -118,3 +118,60 @@ def test_columns_are_paired_by_position(spark, scratch):
     assert (r["ip"], r["period"], r["reason"]) == ("a", 7, "x")
     with pytest.raises(ValueError):
         validate_ban_sink_options({"ban.path": "/p", "ban.columns": "ip, until, reason"})
+
+
+@pytest.mark.parametrize("ttl_s", [0, 3600, 86400])
+def test_compacted_view_equals_view_over_whole_log(spark, scratch, ttl_s):
+    import random
+
+    from clickguard.operators.bans import compact_bans, with_snapshot
+
+    rnd = random.Random(ttl_s)
+    start = dt.datetime(2018, 1, 1)
+    rows = []
+    for i in range(600):
+        ip = "hot" if i % 3 == 0 else f"ip{rnd.randrange(40)}"   # one ip holds a third
+        at = start + dt.timedelta(seconds=rnd.randrange(5 * 86400))
+        rows.append((ip, rnd.randrange(1000), rnd.choice("xyz"), at, rnd.randrange(3)))
+    (log(spark, rows, ttl_s).withColumn("written_date", F.to_date("written_at"))
+     .write.partitionBy("written_date").parquet(f"{scratch}/log"))
+    whole = spark.read.parquet(f"{scratch}/log")
+    cut = "2018-01-03"
+    compact_bans(whole, cut).write.parquet(f"{scratch}/snap")
+    snap = spark.read.parquet(f"{scratch}/snap")
+    if ttl_s:
+        # nothing expired at the cut survives into the snapshot
+        assert snap.filter(F.col("expires_at") <= F.lit(cut).cast("timestamp")).count() == 0
+    assert snap.groupBy("ip").count().filter("count > 1").count() == 0
+    view = with_snapshot(snap, whole, cut)
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "written_date" in plan
+    for as_of in [None, "2018-01-03 00:00:00", "2018-01-03 07:30:00", "2018-01-04 12:00:00",
+                  "2018-01-09 00:00:00"]:
+        want = current_bans(whole, as_of=as_of)
+        got = current_bans(view, as_of=as_of)
+        assert sorted(got.collect()) == sorted(want.collect()), as_of
+
+
+def test_cli_compacts_incrementally(spark, scratch):
+    from clickguard.operators.bans import with_snapshot
+    from clickguard.streaming.jobs import main
+
+    h = dt.timedelta(hours=1)
+    start = dt.datetime(2018, 1, 1, 6)
+    rows = [("a", 1, "r", start, 0), ("a", 2, "s", start + 30 * h, 0),
+            ("b", 3, "r", start + 50 * h, 0), ("c", 4, "r", start + 90 * h, 0),
+            ("a", 5, "t", start + 95 * h, 0)]
+    (log(spark, rows, 0).withColumn("written_date", F.to_date("written_at"))
+     .write.partitionBy("written_date").parquet(f"{scratch}/log"))
+    main(["compact", "--ban-path", f"{scratch}/log", "--snapshot-out", f"{scratch}/s1",
+          "--before", "2018-01-03"])
+    main(["compact", "--ban-path", f"{scratch}/log", "--snapshot-out", f"{scratch}/s2",
+          "--before", "2018-01-05", "--snapshot", f"{scratch}/s1", "--snapshot-cut", "2018-01-03"])
+    whole = spark.read.parquet(f"{scratch}/log")
+    s2 = spark.read.parquet(f"{scratch}/s2")
+    assert sorted((r["ip"], r["reason"]) for r in s2.collect()) == [("a", "s"), ("b", "r")]
+    got = current_bans(with_snapshot(s2, whole, "2018-01-05"))
+    assert sorted(got.collect()) == sorted(current_bans(whole).collect())
+    with pytest.raises(SystemExit):
+        main(["compact", "--ban-path", f"{scratch}/log"])

@@ -27,8 +27,10 @@ def summarise(text: str) -> dict:
         kind = m.group(1) or m.group(3)
         keys = re.sub(r"#\d+L?", "", m.group(2) or "")
         shuffles.append(f"{kind}({keys})" if keys else kind)
-    reads = sorted(set(re.sub(r"#\d+L?", "", r) for r in re.findall(r"ReadSchema: (struct<[^>]*>)", text)))
+    reads = sorted(set(re.sub(r"#\d+L?", "", r) for r in re.findall(r"ReadSchema: ([^\n]*)", text)))
     pushed = sorted(set(re.findall(r"PushedFilters: (\[[^\]]*\])", text)))
+    pushed += sorted(set("partition " + re.sub(r"#\d+L?", "", p) for p in
+                         re.findall(r"PartitionFilters: (\[[^\]]+\])", text)))
     ops = []
     for w in WATCH:
         n = text.count(w)
