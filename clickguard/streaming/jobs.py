@@ -100,11 +100,13 @@ def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
 
 def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
                 path: str, checkpoint: str, partition_by: str = "day",
-                trigger: str | None = None, explain: bool = False):
+                trigger: str | None = None, explain: bool = False,
+                files_per_partition: int = 4):
     """Records -> incidents appended to parquet once their window closes
     (watermark past the window end)."""
     incidents = detect(spark, records, conf, "plain")
-    return _start(archive_sink(incidents, path, checkpoint, partition_by), trigger,
+    return _start(archive_sink(incidents, path, checkpoint, partition_by,
+                                  files_per_partition), trigger,
                   incidents if explain else None)
 
 
@@ -191,6 +193,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ban-path")
     ap.add_argument("--archive-path")
     ap.add_argument("--archive-partition", default="day", choices=["day", "ip"])
+    ap.add_argument("--archive-files", type=int, default=4,
+                    help="files (and write tasks) per archive partition and batch")
     ap.add_argument("--snapshot-out", help="compact: where the new snapshot is written")
     ap.add_argument("--before", help="compact: first day (YYYY-MM-DD, UTC) not compacted")
     ap.add_argument("--snapshot", help="compact: previous snapshot to fold in")
@@ -247,7 +251,8 @@ def main(argv: list[str] | None = None) -> None:
                         a.time, a.parse, a.precision, trigger=a.trigger, explain=a.explain)
         elif a.job == "archive":
             q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
-                            a.archive_partition, trigger=a.trigger, explain=a.explain)
+                            a.archive_partition, trigger=a.trigger, explain=a.explain,
+                            files_per_partition=a.archive_files)
         else:
             q = console_job(spark, records, conf, a.checkpoint, trigger=a.trigger)
     q.awaitTermination()

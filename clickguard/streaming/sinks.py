@@ -147,19 +147,22 @@ class JsonLinesForeachWriter:
 
 
 def archive_sink(incidents: DataFrame, path: str, checkpoint: str,
-                 partition_by: str = "day"):
+                 partition_by: str = "day", files_per_partition: int = 4):
     """Append-mode parquet archive of incidents. Partitioned by the day of
     `lastEvent` (bounded directory count) or, as an option, by ip.
 
-    Rows are hash-partitioned on the partition column first, so a batch
-    writes one file per day instead of one per (task, day): incidents are a
-    small fraction of the events, and each micro-batch is bounded by the
-    source's per-trigger cap.
+    Rows are hash-partitioned on the partition column plus a salt of
+    `files_per_partition` values (a hash of the row) before the write: a
+    batch writes at most that many files per day instead of one per (task,
+    day), and a day holding every incident of a batch is still written by
+    that many tasks, not one.
     """
     df = incidents
     if partition_by == "day":
         df = df.withColumn("day", F.to_date("lastEvent"))
-    df = df.repartition(partition_by)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in incidents.columns]),
+                  F.lit(max(1, files_per_partition)))
+    df = df.repartition(F.col(partition_by), salt)
     return (df.writeStream.outputMode("append").format("parquet")
             .option("path", path).option("checkpointLocation", checkpoint)
             .partitionBy(partition_by))

@@ -6,6 +6,8 @@ import json
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
@@ -298,3 +300,27 @@ def test_archive_partitioned_by_ip(spark, scratch):
     out = spark.read.parquet(f"{scratch}/out")
     # eight windows hold four or five of the watches; three distinct incidents
     assert out.count() == 8 and out.distinct().count() == 3
+
+
+@pytest.mark.parametrize("k", [1, 4])
+def test_archive_day_written_by_salted_tasks(spark, scratch, k):
+    from clickguard.config import EVENTS_CONFIG
+    from clickguard.session import ensure_utc
+    from clickguard.sources.tables import to_click_events
+    from clickguard.streaming.replay import events_stream
+    from clickguard.streaming.sinks import archive_sink
+
+    ensure_utc(spark)
+    inc = find_incidents(to_click_events(events_stream(spark, "/root/testdata/sf0.01")),
+                         EVENTS_CONFIG)
+    q = archive_sink(inc, f"{scratch}/out", f"{scratch}/ckpt", files_per_partition=k) \
+        .trigger(availableNow=True).start()
+    assert q.awaitTermination(300) and q.exception() is None
+    batches = len(q.recentProgress)
+    days = [d for d in os.listdir(f"{scratch}/out") if d.startswith("day=")]
+    per_day = [len([f for f in os.listdir(f"{scratch}/out/{d}") if f.endswith(".parquet")])
+               for d in days]
+    # each batch writes at most k files into a day
+    assert len(days) > 1 and max(per_day) <= k * batches
+    if k > 1:
+        assert max(per_day) > batches      # a day is spread over several tasks
