@@ -31,6 +31,7 @@ from clickguard.streaming.sinks import (
     UpsertLogWriter,
     archive_sink,
     console_sink,
+    run_key,
 )
 
 DETECTORS = {
@@ -92,7 +93,8 @@ def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     time (update mode; a window is judged again whenever it changes)."""
     incidents = detect(spark, records, conf, detector, time, parse)
     bans = ban_records(incidents, conf, precision)
-    writer = BanLogWriter(ban_path, conf.ban_us // 1_000_000, run_id=run_id)
+    writer = BanLogWriter(ban_path, conf.ban_us // 1_000_000,
+                          run_id=run_id or run_key(checkpoint))
     w = (bans.writeStream.outputMode("update").foreachBatch(writer)
          .option("checkpointLocation", checkpoint))
     return _start(w, trigger, bans if explain else None)
@@ -128,7 +130,7 @@ def counter_job(spark: SparkSession, rows: DataFrame, checkpoint: str,
     if path is None:
         w = console_sink(totals)
     else:
-        w = totals.writeStream.outputMode("update").foreachBatch(UpsertLogWriter(path))
+        w = totals.writeStream.outputMode("update").foreachBatch(UpsertLogWriter(path, run_key(checkpoint)))
     return _start(w.option("checkpointLocation", checkpoint), trigger,
                   totals if explain else None)
 

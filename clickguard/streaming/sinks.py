@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import os
 import time
@@ -24,6 +25,18 @@ from clickguard.operators.bans import ban_log_rows, dedupe_batch
 from clickguard.session import is_local_path, local_fs_path
 
 
+def run_key(checkpoint: str) -> str:
+    """The log folder key of a streaming query, taken from its checkpoint.
+
+    A query restarted from the same checkpoint (after a driver or executor
+    loss) replays its unfinished batch under the same batch id, so with
+    this key it overwrites that batch's own folder instead of adding a
+    copy; a new checkpoint, whose batch ids start again at 0, gets a new
+    key and never touches an older run's folders.
+    """
+    return hashlib.sha1(checkpoint.rstrip("/").encode("utf-8")).hexdigest()[:16]
+
+
 @dataclass(frozen=True)
 class BanSinkOptions:
     path: str

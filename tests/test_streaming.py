@@ -324,3 +324,40 @@ def test_archive_day_written_by_salted_tasks(spark, scratch, k):
     assert len(days) > 1 and max(per_day) <= k * batches
     if k > 1:
         assert max(per_day) > batches      # a day is spread over several tasks
+
+
+def test_ban_job_replayed_batch_overwrites_its_folder(spark, scratch):
+    """A crash after a batch's write but before its commit: the restarted
+    query replays that batch into the same folder, not a new one."""
+    from clickguard.config import EVENTS_CONFIG
+    from clickguard.operators.bans import current_bans
+    from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
+    from clickguard.streaming.jobs import ban_job
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    kafka_records(events).write.parquet(f"{scratch}/topic")
+
+    def run():
+        q = ban_job(spark, kafka_shaped_stream(spark, f"{scratch}/topic"), EVENTS_CONFIG,
+                    f"{scratch}/bans", f"{scratch}/ckpt", trigger="availableNow")
+        assert q.awaitTermination(300) and q.exception() is None
+
+    def folders():
+        return sorted(os.path.relpath(d, f"{scratch}/bans").split("/", 1)[1]
+                      for d, _, fs in os.walk(f"{scratch}/bans")
+                      if any(f.endswith(".parquet") for f in fs))
+
+    def files():
+        return {f for _, _, fs in os.walk(f"{scratch}/bans") for f in fs if f.endswith(".parquet")}
+
+    run()
+    before, before_files = folders(), files()
+    view = sorted(current_bans(spark.read.parquet(f"{scratch}/bans")).collect())
+    commits = sorted(int(f) for f in os.listdir(f"{scratch}/ckpt/commits") if f.isdigit())
+    for f in (f"{commits[-1]}", f".{commits[-1]}.crc"):      # the lost commit
+        if os.path.exists(f"{scratch}/ckpt/commits/{f}"):
+            os.remove(f"{scratch}/ckpt/commits/{f}")
+    run()
+    assert folders() == before and len(before) >= 1
+    assert files() != before_files                            # the batch did run again
+    assert sorted(current_bans(spark.read.parquet(f"{scratch}/bans")).collect()) == view
