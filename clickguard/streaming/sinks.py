@@ -109,22 +109,28 @@ class BanLogWriter:
 
 class UpsertLogWriter:
     """`foreachBatch` function for any update-mode result: each batch's
-    changed rows go to ``<path>/run=<id>/batch=<n>`` (overwrite). The
-    latest row per key is the table (see `latest_state`)."""
+    changed rows go to ``<path>/run=<id>/batch=<n>`` (overwrite), stamped
+    with the batch's write time. The latest row per key is the table (see
+    `latest_state`)."""
 
     def __init__(self, path: str, run_id: str | None = None):
         self.path = path.rstrip("/")
         self.run_id = run_id or uuid.uuid4().hex
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite")
+        written = F.timestamp_micros(F.lit(time.time_ns() // 1_000))
+        (batch.withColumn("written_at", written).write.mode("overwrite")
          .parquet(f"{self.path}/run={self.run_id}/batch={batch_id}"))
 
 
 def latest_state(log: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key, the row of the newest batch of an `UpsertLogWriter` log."""
-    value_cols = [c for c in log.columns if c not in keys and c not in ("run", "batch")]
-    best = F.max_by(F.struct(*value_cols), F.col("batch"))
+    """Per key, the row of the newest write of an `UpsertLogWriter` log:
+    by write time, then batch id (a run on a new checkpoint starts its
+    batch ids at 0 again, so the id alone does not order runs)."""
+    meta = ("run", "batch", "written_at")
+    value_cols = [c for c in log.columns if c not in keys and c not in meta]
+    order = F.struct(*[F.col(c) for c in ("written_at", "batch") if c in log.columns])
+    best = F.max_by(F.struct(*value_cols), order)
     return log.groupBy(*keys).agg(best.alias("_v")).select(*keys, "_v.*")
 
 

@@ -361,3 +361,19 @@ def test_ban_job_replayed_batch_overwrites_its_folder(spark, scratch):
     assert folders() == before and len(before) >= 1
     assert files() != before_files                            # the batch did run again
     assert sorted(current_bans(spark.read.parquet(f"{scratch}/bans")).collect()) == view
+
+
+def test_latest_state_orders_runs_by_write_time(spark, scratch):
+    """A run on a new checkpoint starts at batch 0 again; its rows are still
+    the newest."""
+    from clickguard.streaming.sinks import UpsertLogWriter, latest_state
+
+    old, new = UpsertLogWriter(f"{scratch}/log", "old"), UpsertLogWriter(f"{scratch}/log", "new")
+    rows = lambda *r: spark.createDataFrame(list(r), "key string, total bigint")
+    old(rows(("a", 1), ("b", 1)), 0)
+    old(rows(("a", 7)), 5)
+    time.sleep(0.01)
+    new(rows(("a", 2)), 0)
+    got = latest_state(spark.read.parquet(f"{scratch}/log"), ["key"])
+    assert got.columns == ["key", "total"]
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 2), ("b", 1)]
