@@ -146,13 +146,14 @@ def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
     """Spool lines -> keyed records (parquet, or a Kafka topic by swapping
     the sink); lines the strict parser rejects also go to quarantine."""
     keyed = keyed_lines(lines)
+    run = run_key(checkpoint)   # a replayed batch overwrites itself, a new run never does
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
             (quarantine(batch, keep=("key",)).write.mode("overwrite")
-             .parquet(f"{quarantine_path}/batch={batch_id}"))
+             .parquet(f"{quarantine_path}/run={run}/batch={batch_id}"))
         finally:
             batch.unpersist()
 
@@ -203,6 +204,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--snapshot-cut", help="compact: the previous snapshot's cut day")
     ap.add_argument("--spool-dir")
     ap.add_argument("--spool-archive")
+    ap.add_argument("--max-files", type=int,
+                    help="spool: files per micro-batch (maxFilesPerTrigger)")
     ap.add_argument("--keyed-path")
     ap.add_argument("--quarantine-path")
     ap.add_argument("--detector", default="sql", choices=sorted(DETECTORS))
@@ -243,7 +246,8 @@ def main(argv: list[str] | None = None) -> None:
         q = counter_job(spark, counter_stream(spark), a.checkpoint,
                         trigger=a.trigger or "10 seconds", explain=a.explain)
     elif a.job == "spool":
-        lines = spool_stream(spark, a.spool_dir, archive_dir=a.spool_archive)
+        lines = spool_stream(spark, a.spool_dir, max_files_per_trigger=a.max_files,
+                             archive_dir=a.spool_archive)
         q = spool_ingest_job(spark, lines, a.keyed_path, a.quarantine_path, a.checkpoint,
                              trigger=a.trigger)
     else:

@@ -213,12 +213,15 @@ def test_cli_spool_job(spark, scratch):
     from clickguard.streaming.jobs import main
 
     os.makedirs(f"{scratch}/spool")
-    with open(f"{scratch}/spool/a.log", "w") as f:
-        f.write('{"type":"click","ip":"1.1.1.1","unix_time":1514800800,"url":"/a"}\n')
+    for i, ip in enumerate(["1.1.1.1", "2.2.2.2"]):
+        with open(f"{scratch}/spool/{'ab'[i]}.log", "w") as f:
+            f.write('{"type":"click","ip":"%s","unix_time":1514800800,"url":"/a"}\n' % ip)
     main(["spool", "--spool-dir", f"{scratch}/spool", "--keyed-path", f"{scratch}/keyed",
           "--quarantine-path", f"{scratch}/q", "--checkpoint", f"{scratch}/ckpt",
-          "--trigger", "availableNow"])
-    assert [r["key"] for r in spark.read.parquet(f"{scratch}/keyed").collect()] == ["1.1.1.1"]
+          "--trigger", "availableNow", "--max-files", "1"])
+    got = spark.read.parquet(f"{scratch}/keyed").collect()
+    assert sorted(r["key"] for r in got) == ["1.1.1.1", "2.2.2.2"]
+    assert len({r["batch"] for r in got}) == 2          # one file per micro-batch
 
 
 def test_kafka_config_validation():
