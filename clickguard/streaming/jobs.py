@@ -43,11 +43,15 @@ DETECTORS = {
 
 
 def _start(writer, trigger: str | None, explain_df: DataFrame | None = None):
-    """Start the query; with `explain_df`, first print that streaming
-    frame's extended plan (a just-started query has none yet)."""
+    """Start the query; with `explain_df`, print that streaming frame's
+    extended plan, then the running query's (its last executed micro-batch;
+    a just-started query may have none yet)."""
     if explain_df is not None:
         explain_df.explain(True)
-    return _trigger(writer, trigger).start()
+    q = _trigger(writer, trigger).start()
+    if explain_df is not None:
+        q.explain(True)
+    return q
 
 
 def _trigger(writer, trigger: str | None):
