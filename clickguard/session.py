@@ -42,7 +42,8 @@ def ensure_utc(spark: SparkSession) -> None:
     """Reason texts and window bounds are rendered in the session zone;
     the registered queries pin it to UTC so results do not depend on the
     machine's zone."""
-    if spark.conf.get("spark.sql.session.timeZone", "") != "UTC":
+    # no fallback argument: Spark validates a given default as a zone id
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
