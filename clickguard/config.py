@@ -125,13 +125,16 @@ class KafkaConfig:
 
     `max_offsets_per_trigger` caps one micro-batch over all partitions; the
     Kafka source keeps its offsets in the query checkpoint (no consumer
-    group commits are needed for exactly-once replay).
+    group commits are needed for exactly-once replay). `group_id_prefix`
+    only names the consumers (Spark adds a unique suffix per query, so two
+    queries never share a group).
     """
 
     brokers: str = "127.0.0.1:9092"
     topics: tuple[str, ...] = ("stop-bot-ip-requests",)
     starting_offsets: str = "earliest"
     max_offsets_per_trigger: int = 1_000_000
+    group_id_prefix: str = "StopBotAggregation"
     options: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):

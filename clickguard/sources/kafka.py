@@ -40,8 +40,9 @@ def kafka_stream(spark: SparkSession, brokers: str, topics: list[str] | str,
 
 def kafka_stream_from(spark: SparkSession, conf) -> DataFrame:
     """`kafka_stream` from a `KafkaConfig`."""
+    opts = {"groupIdPrefix": conf.group_id_prefix, **conf.options}
     return kafka_stream(spark, conf.brokers, list(conf.topics), conf.starting_offsets,
-                        conf.max_offsets_per_trigger, **conf.options)
+                        conf.max_offsets_per_trigger, **opts)
 
 
 def kafka_batch(spark: SparkSession, brokers: str, topics: list[str] | str,

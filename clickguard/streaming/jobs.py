@@ -193,6 +193,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--brokers", default=KafkaConfig.brokers)
     ap.add_argument("--topic", action="append")
     ap.add_argument("--starting-offsets", default="earliest")
+    ap.add_argument("--group", default=KafkaConfig.group_id_prefix,
+                    help="consumer group name prefix")
     ap.add_argument("--max-offsets", type=int, default=1_000_000)
     ap.add_argument("--fetch-bytes", type=int,
                     help="kafka.max.partition.fetch.bytes per partition")
@@ -244,7 +246,7 @@ def main(argv: list[str] | None = None) -> None:
                           min_rate=a.min_rate, ban_time=a.ban_time)
     opts = {"kafka.max.partition.fetch.bytes": str(a.fetch_bytes)} if a.fetch_bytes else {}
     kconf = KafkaConfig(brokers=a.brokers, topics=tuple(a.topic or KafkaConfig.topics),
-                        starting_offsets=a.starting_offsets,
+                        starting_offsets=a.starting_offsets, group_id_prefix=a.group,
                         max_offsets_per_trigger=a.max_offsets, options=opts)
     if a.job == "counter":
         q = counter_job(spark, counter_stream(spark), a.checkpoint,
