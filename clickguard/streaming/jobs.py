@@ -171,15 +171,19 @@ def compact_job(spark: SparkSession, ban_path: str, out: str, before: str,
     """Batch job: fold the ban log's days before `before` (and a previous
     snapshot cut at `snapshot_cut`, if given) into a new snapshot at `out`.
     Views then read `with_snapshot(snapshot, log, before)`; the old days
-    stay in place (nothing is deleted) and are skipped at the scan."""
+    stay in place (nothing is deleted) and are skipped at the scan. The
+    output is a pure function of its inputs, so a run lost half way is
+    simply run again (the write overwrites `out`)."""
     from clickguard.operators.bans import compact_bans, with_snapshot
 
+    if snapshot is not None and snapshot.rstrip("/") == out.rstrip("/"):
+        raise ValueError("the new snapshot must go to another path than the one it reads")
     log = spark.read.parquet(ban_path)
     if snapshot is not None:
         if snapshot_cut is None:
             raise ValueError("a previous snapshot needs its cut day")
         log = with_snapshot(spark.read.parquet(snapshot), log, snapshot_cut)
-    compact_bans(log, before).write.parquet(out)
+    compact_bans(log, before).write.mode("overwrite").parquet(out)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -175,3 +175,10 @@ def test_cli_compacts_incrementally(spark, scratch):
     assert sorted(got.collect()) == sorted(current_bans(whole).collect())
     with pytest.raises(SystemExit):
         main(["compact", "--ban-path", f"{scratch}/log"])
+    with pytest.raises(ValueError):
+        main(["compact", "--ban-path", f"{scratch}/log", "--snapshot-out", f"{scratch}/s2",
+              "--before", "2018-01-06", "--snapshot", f"{scratch}/s2/", "--snapshot-cut", "2018-01-05"])
+    # a rerun (e.g. after a lost driver) rewrites the same snapshot
+    main(["compact", "--ban-path", f"{scratch}/log", "--snapshot-out", f"{scratch}/s1",
+          "--before", "2018-01-03"])
+    assert spark.read.parquet(f"{scratch}/s1").count() == 1
