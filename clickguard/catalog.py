@@ -30,6 +30,7 @@ from clickguard.operators.windows import (
 )
 from clickguard.plans.sql import find_incidents_sql
 from clickguard.session import ensure_utc, scratch_path
+from clickguard.streaming.sinks import read_ban_log
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records
 from clickguard.sources.tables import click_events, read_table
@@ -138,7 +139,9 @@ def current_bans_compacted(spark, sf_dir):
     cut = log.agg(F.max("written_date")).first()[0].isoformat()
     snap = scratch_path(spark, "ban-snapshot")
     bans.compact_bans(log, cut).write.parquet(snap)
-    return bans.current_bans(bans.with_snapshot(spark.read.parquet(snap), log, cut))
+    # the view opens only the days from the cut on (older folders unlisted)
+    recent = read_ban_log(spark, path, since=cut, until=cut)
+    return bans.current_bans(bans.with_snapshot(spark.read.parquet(snap), recent, cut))
 
 
 def _records(spark, sf_dir):

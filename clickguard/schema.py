@@ -64,6 +64,20 @@ BAN_RECORD = T.StructType(
     ]
 )
 
+# The ban log as `BanLogWriter` lays it out: one write per row, partitioned
+# by write day, run and batch.
+BAN_LOG = T.StructType(
+    list(BAN_RECORD.fields)
+    + [
+        T.StructField("written_at", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("expires_at", T.TimestampType()),
+        T.StructField("written_date", T.DateType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch", T.IntegerType()),
+    ]
+)
+
 # Rows of the demo counter source.
 COUNTER_ROW = T.StructType(
     [

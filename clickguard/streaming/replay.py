@@ -5,16 +5,19 @@ DataFrame. Checkpoints and outputs go below the cluster's shared folder
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickguard.config import EVENTS_CONFIG as C
+from clickguard.config import duration_us
 from clickguard.operators.bans import current_bans
 from clickguard.session import ensure_utc, scratch_path
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records
 from clickguard.sources.tables import TABLE_SCHEMAS, to_click_events
 from clickguard.streaming.jobs import archive_job, ban_job, counter_job
-from clickguard.streaming.sinks import latest_state
+from clickguard.streaming.sinks import latest_state, read_ban_log
 
 STREAM_TIMEOUT_S = 3600
 
@@ -57,7 +60,10 @@ def stream_bans_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = kafka_records(events_stream(spark, sf_dir))
     _finish(ban_job(spark, records, C, out, ckpt, detector="sql",
                     trigger="availableNow"))
-    log = spark.read.parquet(out)
+    # open only the days a ban written now-or-earlier can still be in force
+    since = (dt.datetime.now(dt.timezone.utc)
+             - dt.timedelta(microseconds=duration_us(C.ban_time))).date().isoformat()
+    log = read_ban_log(spark, out, since=since)
     return current_bans(log, horizon=C.ban_time).select("ip", "period", "reason")
 
 

@@ -107,6 +107,37 @@ class BanLogWriter:
          .parquet(f"{self.path}/written_date={day}/run={self.run_id}/batch={batch_id}"))
 
 
+def read_ban_log(spark, path: str, since: str | None = None,
+                 until: str | None = None) -> DataFrame:
+    """The ban log at `path`, or only its days from `since` to `until`
+    (``YYYY-MM-DD``, inclusive; `until` defaults to today, UTC).
+
+    With `since` the day folders are named by a glob built from the date
+    range, so older days are neither listed nor read: the open costs the
+    days in range (the TTL horizon, or the days after a compaction cut),
+    not the whole history. A range holding no folder gives an empty log.
+    """
+    from pyspark.errors import AnalysisException
+
+    from clickguard.schema import BAN_LOG
+
+    base = path.rstrip("/")
+    if since is None:
+        return spark.read.parquet(base)
+    first = dt.date.fromisoformat(since)
+    last = (dt.date.fromisoformat(until) if until
+            else dt.datetime.now(dt.timezone.utc).date())
+    days = [(first + dt.timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
+    if days:
+        try:
+            return (spark.read.option("basePath", base)
+                    .parquet(f"{base}/written_date={{{','.join(days)}}}"))
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    return spark.createDataFrame([], BAN_LOG)
+
+
 class UpsertLogWriter:
     """`foreachBatch` function for any update-mode result: each batch's
     changed rows go to ``<path>/run=<id>/batch=<n>`` (overwrite), stamped

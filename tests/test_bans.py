@@ -182,3 +182,22 @@ def test_cli_compacts_incrementally(spark, scratch):
     main(["compact", "--ban-path", f"{scratch}/log", "--snapshot-out", f"{scratch}/s1",
           "--before", "2018-01-03"])
     assert spark.read.parquet(f"{scratch}/s1").count() == 1
+
+
+def test_read_ban_log_opens_only_the_days_in_range(spark, scratch):
+    from clickguard.streaming.sinks import read_ban_log
+
+    h = dt.timedelta(hours=1)
+    start = dt.datetime(2018, 1, 1, 6)
+    rows = [("a", 1, "r", start + 24 * n * h, 0) for n in range(5)]     # Jan 1 .. Jan 5
+    for i, r in enumerate(rows):
+        day = (start + 24 * i * h).date().isoformat()
+        log(spark, [r]).write.parquet(f"{scratch}/log/written_date={day}/run=x/batch={i}")
+    got = read_ban_log(spark, f"{scratch}/log", since="2018-01-04", until="2018-01-09")
+    assert all("written_date=2018-01-0" in f and f.split("written_date=")[1][:10] >= "2018-01-04"
+               for f in got.inputFiles())
+    assert sorted(r["written_date"].isoformat() for r in got.collect()) == ["2018-01-04", "2018-01-05"]
+    assert set(got.columns) >= {"ip", "written_at", "written_date", "run", "batch"}
+    empty = read_ban_log(spark, f"{scratch}/log", since="2019-01-01", until="2019-01-02")
+    assert empty.count() == 0 and current_bans(empty).count() == 0
+    assert read_ban_log(spark, f"{scratch}/log").count() == 5
