@@ -23,10 +23,15 @@ STREAM_TIMEOUT_S = 3600
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The `events` table as a file stream (declared schema)."""
+    """The `events` table as a file stream (declared schema).
+
+    `events.parquet` may be one file or a folder of part files (as a large
+    table is); the path is a glob matching exactly that name (``[.]``), which
+    the file source accepts for both - a plain file path is refused, and a
+    name filter on the parent folder would skip the part files.
+    """
     d = sf_dir.rstrip("/")
-    return (spark.readStream.schema(TABLE_SCHEMAS["events"])
-            .option("pathGlobFilter", "events.parquet").parquet(d))
+    return spark.readStream.schema(TABLE_SCHEMAS["events"]).parquet(f"{d}/events[.]parquet")
 
 
 def _finish(q) -> None:

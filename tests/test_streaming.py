@@ -380,3 +380,17 @@ def test_latest_state_orders_runs_by_write_time(spark, scratch):
     got = latest_state(spark.read.parquet(f"{scratch}/log"), ["key"])
     assert got.columns == ["key", "total"]
     assert sorted(tuple(r) for r in got.collect()) == [("a", 2), ("b", 1)]
+
+
+def test_events_stream_reads_a_folder_of_part_files(spark, scratch):
+    from clickguard.streaming.replay import events_stream
+
+    src = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src.repartition(3).write.parquet(f"{scratch}/tables/events.parquet")
+    for d in (f"{scratch}/tables", "/root/testdata/sf0.001"):
+        q = (events_stream(spark, d).writeStream.format("parquet")
+             .option("path", f"{scratch}/out/{len(d)}")
+             .option("checkpointLocation", f"{scratch}/ckpt/{len(d)}")
+             .trigger(availableNow=True).start())
+        assert q.awaitTermination(300) and q.exception() is None
+        assert spark.read.parquet(f"{scratch}/out/{len(d)}").count() == 1000
