@@ -131,7 +131,7 @@ def current_bans_compacted(spark, sf_dir):
     ensure_utc(spark)
     path = scratch_path(spark, "ban-log-replay")
     (bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C)
-     .withColumn("written_date", F.to_date("written_at"))
+     .withColumn("written_date", bans.utc_day(F.col("written_at")))
      .write.partitionBy("written_date").parquet(path))
     log = spark.read.parquet(path)
     # the cut is one scalar: the newest write day (a daily compaction job

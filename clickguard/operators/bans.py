@@ -11,12 +11,26 @@ one task.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
 
 
+def utc_midnight(day: str) -> Column:
+    """The instant `day` (``YYYY-MM-DD``) begins in UTC, whatever the
+    session zone: log folders are named by UTC write day."""
+    d = dt.date.fromisoformat(day)
+    return F.timestamp_micros(F.lit((d - dt.date(1970, 1, 1)).days * 86_400_000_000))
+
+
+def utc_day(ts: Column) -> Column:
+    """The UTC calendar day of an instant (zone-free, unlike `to_date`)."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("int"))
+
+
 def ban_period(last_event: Column, ban_us: int, precision: str = "s") -> Column:
     """Epoch milliseconds until which the ip is banned.
 
@@ -97,7 +111,7 @@ def current_bans(log: DataFrame, as_of: Column | str | None = None,
         floor = F.timestamp_micros(F.unix_micros(as_of_col) - F.lit(h_us))
         recent = F.col("written_at") > floor
         if "written_date" in log.columns:
-            recent = (F.col("written_date") >= F.to_date(floor)) & recent
+            recent = (F.col("written_date") >= utc_day(floor)) & recent
         log = log.filter(recent)
     if as_of is not None:
         log = log.filter(F.col("written_at") <= as_of_col)
@@ -129,7 +143,7 @@ def compact_bans(log: DataFrame, before: str) -> DataFrame:
     aggregate with map-side combine, shuffled on ip. A previous snapshot
     can be folded in: ``compact_bans(with_snapshot(old, log, old_cut), cut)``.
     """
-    cut = F.to_timestamp(F.lit(before))
+    cut = utc_midnight(before)
     old = log.filter(F.col("written_at") < cut)
     if "written_date" in log.columns:
         old = log.filter((F.col("written_date") < F.lit(before).cast("date"))
@@ -144,8 +158,8 @@ def with_snapshot(snapshot: DataFrame, log: DataFrame, since: str) -> DataFrame:
     (whole days pruned at the scan on a log partitioned by `written_date`);
     `current_bans` over it equals `current_bans` over the whole log for any
     `as_of` at or after `since`."""
-    recent = log.filter(F.col("written_at") >= F.to_timestamp(F.lit(since)))
+    recent = log.filter(F.col("written_at") >= utc_midnight(since))
     if "written_date" in log.columns:
         recent = log.filter((F.col("written_date") >= F.lit(since).cast("date"))
-                            & (F.col("written_at") >= F.to_timestamp(F.lit(since))))
+                            & (F.col("written_at") >= utc_midnight(since)))
     return snapshot.unionByName(recent.select(*snapshot.columns))

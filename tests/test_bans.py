@@ -201,3 +201,33 @@ def test_read_ban_log_opens_only_the_days_in_range(spark, scratch):
     empty = read_ban_log(spark, f"{scratch}/log", since="2019-01-01", until="2019-01-02")
     assert empty.count() == 0 and current_bans(empty).count() == 0
     assert read_ban_log(spark, f"{scratch}/log").count() == 5
+
+
+def test_compaction_and_horizon_in_a_session_east_of_utc(spark, scratch):
+    """Folders are UTC days; the cut and the horizon must be UTC too, or
+    writes between local and UTC midnight fall between snapshot and log."""
+    from clickguard.operators.bans import compact_bans, utc_day, with_snapshot
+
+    h = dt.timedelta(hours=1)
+    day = dt.datetime(2018, 1, 3)
+    rows = [("a", 1, "r", day - 5 * h, 0),       # Jan 2 19:00 UTC = Jan 3 06:00 in Sydney
+            ("b", 2, "r", day - 30 * h, 0),
+            ("c", 3, "r", day + 2 * h, 0)]
+    (log(spark, rows, 0).withColumn("written_date", utc_day(F.col("written_at")))
+     .write.partitionBy("written_date").parquet(f"{scratch}/log"))
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Sydney")
+    try:
+        whole = spark.read.parquet(f"{scratch}/log")
+        compact_bans(whole, "2018-01-03").write.parquet(f"{scratch}/snap")
+        snap = spark.read.parquet(f"{scratch}/snap")
+        assert sorted(r["ip"] for r in snap.collect()) == ["a", "b"]
+        view = with_snapshot(snap, whole, "2018-01-03")
+        assert sorted(current_bans(view).collect()) == sorted(current_bans(whole).collect())
+        assert len(current_bans(view).collect()) == 3
+        # horizon: as_of Jan 3 12:00 UTC, 1 day -> every write after Jan 2 12:00 UTC is kept
+        got = current_bans(whole, as_of=F.timestamp_micros(F.lit(
+            int((day + 12 * h - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)))),
+            horizon="1 day")
+        assert sorted(r["ip"] for r in got.collect()) == ["a", "c"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
