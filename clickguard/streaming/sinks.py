@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickguard.operators.bans import ban_log_rows, dedupe_batch
+from clickguard.operators.bans import ban_log_rows, dedupe_batch, utc_day
 from clickguard.session import is_local_path, local_fs_path
 
 
@@ -198,8 +198,8 @@ class JsonLinesForeachWriter:
 
 def archive_sink(incidents: DataFrame, path: str, checkpoint: str,
                  partition_by: str = "day", files_per_partition: int = 4):
-    """Append-mode parquet archive of incidents. Partitioned by the day of
-    `lastEvent` (bounded directory count) or, as an option, by ip.
+    """Append-mode parquet archive of incidents. Partitioned by the UTC day
+    of `lastEvent` (bounded directory count) or, as an option, by ip.
 
     Rows are hash-partitioned on the partition column plus a salt of
     `files_per_partition` values (a hash of the row) before the write: a
@@ -209,7 +209,7 @@ def archive_sink(incidents: DataFrame, path: str, checkpoint: str,
     """
     df = incidents
     if partition_by == "day":
-        df = df.withColumn("day", F.to_date("lastEvent"))
+        df = df.withColumn("day", utc_day(F.col("lastEvent")))   # UTC, as the ban log
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in incidents.columns]),
                   F.lit(max(1, files_per_partition)))
     df = df.repartition(F.col(partition_by), salt)
