@@ -107,6 +107,9 @@ class BanLogWriter:
          .parquet(f"{self.path}/written_date={day}/run={self.run_id}/batch={batch_id}"))
 
 
+_MAX_GLOB_DAYS = 366
+
+
 def read_ban_log(spark, path: str, since: str | None = None,
                  until: str | None = None) -> DataFrame:
     """The ban log at `path`, or only its days from `since` to `until`
@@ -128,6 +131,11 @@ def read_ban_log(spark, path: str, since: str | None = None,
     last = (dt.date.fromisoformat(until) if until
             else dt.datetime.now(dt.timezone.utc).date())
     days = [(first + dt.timedelta(days=n)).isoformat() for n in range((last - first).days + 1)]
+    if len(days) > _MAX_GLOB_DAYS:
+        # a range this wide is most of the history: open it all, prune by day
+        return spark.read.parquet(base).filter(
+            F.col("written_date").between(F.lit(days[0]).cast("date"),
+                                          F.lit(days[-1]).cast("date")))
     if days:
         try:
             return (spark.read.option("basePath", base)

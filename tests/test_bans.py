@@ -201,6 +201,8 @@ def test_read_ban_log_opens_only_the_days_in_range(spark, scratch):
     empty = read_ban_log(spark, f"{scratch}/log", since="2019-01-01", until="2019-01-02")
     assert empty.count() == 0 and current_bans(empty).count() == 0
     assert read_ban_log(spark, f"{scratch}/log").count() == 5
+    wide = read_ban_log(spark, f"{scratch}/log", since="2015-01-01", until="2018-01-02")
+    assert sorted(r["written_date"].isoformat() for r in wide.collect()) == ["2018-01-01", "2018-01-02"]
 
 
 def test_compaction_and_horizon_in_a_session_east_of_utc(spark, scratch):
