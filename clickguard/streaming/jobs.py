@@ -11,6 +11,7 @@ Run from the command line, e.g.::
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from clickguard.streaming.sinks import (
     UpsertLogWriter,
     archive_sink,
     console_sink,
+    read_ban_log,
     run_key,
 )
 
@@ -134,7 +136,8 @@ def counter_job(spark: SparkSession, rows: DataFrame, checkpoint: str,
     if path is None:
         w = console_sink(totals)
     else:
-        w = totals.writeStream.outputMode("update").foreachBatch(UpsertLogWriter(path, run_key(checkpoint)))
+        w = (totals.writeStream.outputMode("update")
+             .foreachBatch(UpsertLogWriter(path, run_key(checkpoint))))
     return _start(w.option("checkpointLocation", checkpoint), trigger,
                   totals if explain else None)
 
@@ -178,11 +181,15 @@ def compact_job(spark: SparkSession, ban_path: str, out: str, before: str,
 
     if snapshot is not None and snapshot.rstrip("/") == out.rstrip("/"):
         raise ValueError("the new snapshot must go to another path than the one it reads")
-    log = spark.read.parquet(ban_path)
-    if snapshot is not None:
+    if snapshot is None:
+        log = spark.read.parquet(ban_path)
+    else:
         if snapshot_cut is None:
             raise ValueError("a previous snapshot needs its cut day")
-        log = with_snapshot(spark.read.parquet(snapshot), log, snapshot_cut)
+        # only the days between the two cuts are opened
+        last = (dt.date.fromisoformat(before) - dt.timedelta(days=1)).isoformat()
+        days = read_ban_log(spark, ban_path, since=snapshot_cut, until=last)
+        log = with_snapshot(spark.read.parquet(snapshot), days, snapshot_cut)
     compact_bans(log, before).write.mode("overwrite").parquet(out)
 
 
