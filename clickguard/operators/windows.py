@@ -6,14 +6,16 @@ Two physical strategies give the same rows:
   into its ceil(w/s) windows, then partial-aggregates map-side; one
   shuffle on (ip, window).
 * ``panes`` - aggregate each (ip, pane) first, pane = gcd(w, s), then
-  expand the *pane aggregates* into windows and merge them. The window
-  fan-out is paid per pane instead of per event, at the price of a second
-  (already combined) shuffle. Worth it when w/s is large and ips have many
-  events per pane - exactly the bots being hunted.
-
-Both hash-partition on (ip, window) or (ip, pane), never on ip alone, so a
-single hot ip is spread over all its windows, and each shuffle carries only
-map-side-combined rows (at most one per key and map task).
+  route each pane aggregate to the (at most two) blocks of k slides that
+  hold the starts of its windows, shuffle on (ip, block), and fan out to
+  windows and merge locally. The second shuffle carries each pane aggregate
+  at most twice rather than once per window (5.3x fewer rows at 10 min /
+  1 min, 72x at 1 day / 10 min on the sf0.1 `events`).
+
+Both hash-partition on (ip, window), (ip, pane) or (ip, block), never on ip
+alone, so a single hot ip is spread over its windows or blocks of time, and
+each shuffle carries combined rows (the first at most one per key and map
+task, the second one or two per pane aggregate).
 """
 
 from __future__ import annotations
@@ -94,15 +96,32 @@ def _pane_aggregates(df: DataFrame, conf: DetectorConfig, time_col: str,
     w, s = conf.window_us, conf.slide_us
     p = gcd(w, s)
     k = -(-w // s)  # windows per pane
+    block = k * s   # window starts are grouped into blocks of k slides (>= w)
     t = _micros(group_time)
     panes = (df.filter(F.col(group_time).isNotNull())
              .groupBy("ip", (t - F.pmod(t, F.lit(p))).alias("pane"))
              .agg(*aggregation_columns("action", time_col)))
+    # the starts of the windows holding a pane lie in (pane - w, pane]: a
+    # span shorter than a block, so at most two blocks
     last_start = F.col("pane") - F.pmod(F.col("pane"), F.lit(s))
-    starts = F.sequence(last_start - F.lit((k - 1) * s), last_start, F.lit(s))
-    fanned = (panes.select("*", F.explode(starts).alias("ws"))
-              .filter(F.col("ws") + F.lit(w) > F.col("pane")))
-    merged = fanned.groupBy("ip", "ws").agg(*merge_aggregation())
+    starts = F.filter(F.sequence(last_start - F.lit((k - 1) * s), last_start, F.lit(s)),
+                      lambda ws: ws + F.lit(w) > F.col("pane"))
+
+    def block_of(ws: Column) -> Column:
+        return ((ws - F.pmod(ws, F.lit(block))) / F.lit(block)).cast("long")
+
+    # Each pane aggregate goes to the (one or two) blocks of its windows, and
+    # the rows are hash-partitioned on (ip, block): the fan-out to window
+    # starts and the merge then run where the rows are, since grouping by
+    # (ip, block, start) needs no other partitioning. The shuffle carries
+    # each pane aggregate at most twice instead of once per window, and a
+    # hot ip is still spread over its blocks (time).
+    routed = (panes.select("*", F.explode(F.array_distinct(F.transform(starts, block_of)))
+                           .alias("blk"))
+              .repartition("ip", "blk"))
+    fanned = routed.select("*", F.explode(F.filter(starts, lambda ws: block_of(ws) == F.col("blk")))
+                           .alias("ws"))
+    merged = fanned.groupBy("ip", "blk", "ws").agg(*merge_aggregation())
     return merged.select(
         "ip",
         F.struct(F.timestamp_micros(F.col("ws")).alias("start"),

@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -30,6 +32,12 @@ def test_panes_form_fans_out_aggregates_not_rows(spark):
     text = plan_text(df, "simple")
     assert "Expand" not in text and "Generate explode" in text
     assert count_shuffles(df) == 2
+    # the second shuffle routes pane aggregates to (ip, block of window
+    # starts); the fan-out to windows and the merge run after it, locally
+    lines = text.splitlines()
+    routed = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+    assert len(routed) == 1 and re.search(r"hashpartitioning\(ip#\d+, blk#\d+L?", lines[routed[0]])
+    assert not any("Exchange" in line for line in lines[:routed[0]])
 
 
 @pytest.mark.parametrize("name", BATCH)

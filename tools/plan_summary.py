@@ -23,7 +23,7 @@ def summarise(text: str) -> dict:
     shuffles = []
     for m in re.finditer(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|"
                          r"RoundRobinPartitioning)\(?([^,\]]*(?:, [^,\]]*)*?)?(?:, \d+)?\)?, "
-                         r"ENSURE_REQUIREMENTS|Exchange (SinglePartition)", text):
+                         r"(?:ENSURE_REQUIREMENTS|REPARTITION_BY_COL)|Exchange (SinglePartition)", text):
         kind = m.group(1) or m.group(3)
         keys = re.sub(r"#\d+L?", "", m.group(2) or "")
         shuffles.append(f"{kind}({keys})" if keys else kind)
