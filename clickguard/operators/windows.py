@@ -71,8 +71,12 @@ def windowed_aggregates(events: DataFrame, conf: DetectorConfig,
             .agg(*aggregation_columns("action", time_col)))
 
 
-# Measured on the sf0.1 `events` (warm, local[8]): panes lose at a fan-out
-# of 4 (1.03 s vs 1.51 s), tie at 10, win at 24 (2.7 vs 3.1) and 144.
+# On one machine (sf0.1 `events`, warm, local[8], best of 3) Expand vs
+# panes: fan-out 4 0.48 vs 0.85 s, 10 1.31 vs 1.27 s, 12 1.08 vs 1.39 s,
+# 24 2.27 vs 2.57 s - a local shuffle is nearly free. On a cluster the
+# Expand form ships up to k rows per event (sparse ips combine little in
+# the partial aggregate) and panes about three (pane aggregate, then at
+# most two routed copies), so panes are chosen from a fan-out of 12 on.
 PANES_MIN_FAN_OUT = 12
 
 
