@@ -233,3 +233,21 @@ def test_compaction_and_horizon_in_a_session_east_of_utc(spark, scratch):
         assert sorted(r["ip"] for r in got.collect()) == ["a", "c"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_utc_day_and_midnight_ignore_the_session_zone(spark):
+    from clickguard.operators.bans import utc_day, utc_midnight
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        micros = [-1, 0, 86_399_999_999, 86_400_000_000,
+                  int((dt.datetime(2024, 1, 30, 23, 30) - dt.datetime(1970, 1, 1))
+                      / dt.timedelta(microseconds=1))]
+        df = spark.createDataFrame([(m,) for m in micros], "m long")
+        got = [r[0].isoformat() for r in
+               df.select(utc_day(F.timestamp_micros("m"))).collect()]
+        assert got == ["1969-12-31", "1970-01-01", "1970-01-01", "1970-01-02", "2024-01-30"]
+        row = spark.range(1).select(F.unix_micros(utc_midnight("2024-01-30")).alias("u")).first()
+        assert row["u"] == 19752 * 86_400_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
