@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickguard.llm import simhash
+from clickguard.llm import quality, simhash, substring
 from clickguard.llm.common import read_table
 
 
@@ -15,9 +15,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages that repeat from a document with a smaller id, one row
+    per span: words word_start .. word_start + n_words - 1 of doc_id."""
+    return substring.repeated_spans(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of held-out ids are not learnt."""
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"),
+                                  read_table(spark, sf_dir, "labels"))
+
+
 def queries():
     return {
         "op3_simhash": op3_simhash,
+        "op6_substring": op6_substring,
+        "op9_quality": op9_quality,
     }
 
 

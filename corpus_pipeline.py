@@ -5,11 +5,20 @@ input."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickguard.llm import simhash
+from clickguard.llm import quality, simhash, substring
 from clickguard.llm.common import read_table, stored
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts good stay. A null id has no
+    score of its own to join, so such rows are scored by their text's row."""
+    scores = quality.quality_scores(docs, read_table(spark, sf_dir, "labels"))
+    good = scores.where("predicted = 1").select("doc_id").distinct()
+    return docs.join(good, docs.doc_id.eqNullSafe(good.doc_id), "left_semi")
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one it is named by."""
     found = simhash.simhash_components(docs)
@@ -17,8 +26,16 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(keep, "doc_id", "left_semi")
 
 
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document with a smaller id keeps are cut."""
+    cut = substring.cut_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 STAGES = [
+    ("quality", quality_stage),
     ("simhash", simhash_stage),
+    ("substring", substring_stage),
 ]
 
 #: Not expressible in SQL (hash functions, trained models, tokenizer).
