@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickguard.llm import quality, simhash, substring
+from clickguard.llm import decontaminate, quality, simhash, substring
 from clickguard.llm.common import read_table
 
 
@@ -21,6 +21,13 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_spans(read_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents at a weighted 5-word shingle
+    similarity of 0.8 or more."""
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of held-out ids are not learnt."""
     return quality.quality_scores(read_table(spark, sf_dir, "documents"),
@@ -31,6 +38,7 @@ def queries():
     return {
         "op3_simhash": op3_simhash,
         "op6_substring": op6_substring,
+        "op7_decontaminate": op7_decontaminate,
         "op9_quality": op9_quality,
     }
 

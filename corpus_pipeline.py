@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickguard.llm import quality, simhash, substring
+from clickguard.llm import decontaminate, quality, simhash, substring
 from clickguard.llm.common import read_table, stored
 
 
@@ -32,10 +32,17 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 STAGES = [
     ("quality", quality_stage),
     ("simhash", simhash_stage),
     ("substring", substring_stage),
+    ("decontaminate", decontaminate_stage),
 ]
 
 #: Not expressible in SQL (hash functions, trained models, tokenizer).
