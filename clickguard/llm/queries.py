@@ -5,10 +5,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickguard.llm import decontaminate, quality, simhash, substring
+from clickguard.llm import decontaminate, pieces, quality, simhash, substring
 from clickguard.llm.common import read_table
 
 
+#: A public tokenizer's model on the driver's disk; its path is a parameter
+#: of the operator.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, decoded again and compared."""
+    return pieces.encode(read_table(spark, sf_dir, "documents"), MODEL, check=True)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document: 4-word
     shingles, links at 4 or fewer bits."""
@@ -36,6 +46,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {
+        "op1_sentencepiece": op1_sentencepiece,
         "op3_simhash": op3_simhash,
         "op6_substring": op6_substring,
         "op7_decontaminate": op7_decontaminate,

@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickguard.llm import decontaminate, quality, simhash, substring
+from clickguard.llm import decontaminate, pieces, quality, simhash, substring
 from clickguard.llm.common import read_table, stored
+from clickguard.llm.queries import MODEL
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +39,17 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, with whether they decode to the text."""
+    return pieces.encode(docs, MODEL, check=True)
+
+
 STAGES = [
     ("quality", quality_stage),
     ("simhash", simhash_stage),
     ("substring", substring_stage),
     ("decontaminate", decontaminate_stage),
+    ("sentencepiece", sentencepiece_stage),
 ]
 
 #: Not expressible in SQL (hash functions, trained models, tokenizer).
