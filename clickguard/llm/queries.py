@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickguard.llm import decontaminate, pieces, quality, simhash, substring
+from clickguard.llm import decontaminate, embedding, pieces, quality, simhash, substring
 from clickguard.llm.common import read_table
 
 
@@ -25,6 +25,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Direct links at a cosine of 0.95 or more and the component of every
+    vector."""
+    return embedding.embedding_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages that repeat from a document with a smaller id, one row
     per span: words word_start .. word_start + n_words - 1 of doc_id."""
@@ -48,6 +54,7 @@ def queries():
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op3_simhash": op3_simhash,
+        "op4_embedding": op4_embedding,
         "op6_substring": op6_substring,
         "op7_decontaminate": op7_decontaminate,
         "op9_quality": op9_quality,
