@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickguard.llm import decontaminate, embedding, pieces, quality, simhash, substring
+from clickguard.llm import decontaminate, embedding, pieces, quality, simhash, substring, warc
 from clickguard.llm.common import read_table
 
 
@@ -19,6 +19,21 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read_table(spark, sf_dir, "documents"), MODEL, check=True)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written and read back."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     q AS (SELECT page_id, h, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM q
+"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document: 4-word
     shingles, links at 4 or fewer bits."""
@@ -53,6 +68,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries():
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
         "op4_embedding": op4_embedding,
         "op6_substring": op6_substring,
@@ -62,4 +78,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": OP2_SQL}
