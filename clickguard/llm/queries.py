@@ -5,7 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickguard.llm import decontaminate, embedding, pieces, quality, simhash, substring, warc
+from clickguard.llm import (
+    decontaminate,
+    embedding,
+    pieces,
+    preference,
+    quality,
+    simhash,
+    substring,
+    urls,
+    warc,
+)
 from clickguard.llm.common import read_table
 
 
@@ -46,6 +56,38 @@ def op4_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embedding_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference pairs of all conversations with a reply: the conversation
+    against itself with the last reply replaced by the one before, as rows of
+    prompt, chosen and rejected turns with loss spans."""
+    chosen, rejected = preference.last_reply_pairs(read_table(spark, sf_dir, "conversations"))
+    return preference.format_preferences(chosen, rejected)
+
+
+OP5_SQL = """
+WITH replies AS (SELECT * FROM conversations WHERE role = 'assistant'),
+ends AS (SELECT conv_id, max(turn) AS last_turn FROM replies GROUP BY conv_id),
+prior AS (SELECT r.conv_id, arg_max(r.text, r.turn) AS prior_text
+          FROM replies r JOIN ends e ON r.conv_id = e.conv_id AND r.turn < e.last_turn GROUP BY r.conv_id),
+chosen AS (SELECT c.conv_id, c.turn, c.role, c.text, e.last_turn, coalesce(p.prior_text, '') AS prior_text
+           FROM conversations c JOIN ends e ON c.conv_id = e.conv_id LEFT JOIN prior p ON c.conv_id = p.conv_id),
+both_sides AS (SELECT *, CASE WHEN turn = last_turn THEN prior_text ELSE text END AS other FROM chosen),
+cut AS (SELECT conv_id, min(CASE WHEN other <> text THEN turn END) AS first_turn FROM both_sides GROUP BY conv_id),
+parts AS (
+  SELECT b.conv_id, 'prompt' AS part, b.turn, b.role, b.text FROM both_sides b JOIN cut USING (conv_id)
+  WHERE first_turn IS NULL OR turn < first_turn
+  UNION ALL SELECT b.conv_id, 'chosen', b.turn, b.role, b.text FROM both_sides b JOIN cut USING (conv_id)
+  WHERE turn >= first_turn
+  UNION ALL SELECT b.conv_id, 'rejected', b.turn, b.role, b.other FROM both_sides b JOIN cut USING (conv_id)
+  WHERE turn >= first_turn)
+SELECT conv_id AS pair_id, part, turn, 1 AS n, role,
+       '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+       CAST(length(role) + 5 AS INTEGER) AS loss_start,
+       CAST(CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(text) ELSE 0 END AS INTEGER) AS loss_length
+FROM parts
+"""
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages that repeat from a document with a smaller id, one row
     per span: words word_start .. word_start + n_words - 1 of doc_id."""
@@ -65,17 +107,34 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   read_table(spark, sf_dir, "labels"))
 
 
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def queries():
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_warc": op2_warc,
         "op3_simhash": op3_simhash,
         "op4_embedding": op4_embedding,
+        "op5_preference": op5_preference,
         "op6_substring": op6_substring,
         "op7_decontaminate": op7_decontaminate,
         "op9_quality": op9_quality,
+        "op10_urls": op10_urls,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL}
+    return {"op2_warc": OP2_SQL, "op5_preference": OP5_SQL}
