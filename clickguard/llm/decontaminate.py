@@ -3,10 +3,11 @@ multi-index over Hamming blocks, exact weighted-shingle similarity.
 
 Texts are lower-cased (A-Z), split at white space and read as shingles of
 `SHINGLE` words. An item of W words is looked up by windows of its size class c
-(the largest of 5, 6, 7, ... growing by a fifth, at most `LARGEST`, that is
-not above W); its own windows of c words at the first offsets are indexed.
-Every document is covered by windows of c words at a step of about c/8 words,
-so some window meets an indexed one word for word wherever a copy starts.
+(the largest of 5, 6, 7, ... growing by a fifth, at most `LARGEST`, with room
+for a step); its own windows of c words at the first offsets are indexed, one
+for each remainder of the step. Every document is covered by windows of c words
+at a step of c/8 words, so some window meets an indexed one word for word
+wherever a copy starts.
 A window's fingerprint has bit i where more than half of its shingle hashes do.
 Two fingerprints within `RADIUS` = 15 bits agree to 3 bits in at least one of
 four 16-bit blocks (4 x 4 would be 16): per block, a table from each of the
@@ -76,17 +77,20 @@ def fingerprints(total: np.ndarray, start: np.ndarray, m: np.ndarray) -> np.ndar
     return (((x >> _U(7)) * _PICK) >> _U(56)).astype(np.uint8).view(_U).ravel()
 
 
+def step(c: int) -> int:
+    """Words between the windows of a class."""
+    return max(1, c // 8)
+
+
 def size_class(words: int) -> int:
+    """The largest class of which an item has a window for each remainder of
+    the step: then some window of a copy is one of the item's own."""
     c = SHINGLE
-    while (up := max(c + 1, c * 6 // 5)) <= min(words, LARGEST):
+    while (up := max(c + 1, c * 6 // 5)) + step(up) - 1 <= words and up <= LARGEST:
         c = up
     return c
 
 
-def step(c: int) -> int:
-    return max(2, c // 8)
-
-
 class Index:
     """The items of one block of the benchmark, by size class."""
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickguard.llm import (
     decontaminate,
     embedding,
+    licenses,
     pieces,
     preference,
     quality,
@@ -101,6 +102,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                read_table(spark, sf_dir, "benchmark"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices found in documents, at a containment of 0.8 or more of
+    their 5-word shingles."""
+    return licenses.license_hits(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of held-out ids are not learnt."""
     return quality.quality_scores(read_table(spark, sf_dir, "documents"),
@@ -131,6 +138,7 @@ def queries():
         "op5_preference": op5_preference,
         "op6_substring": op6_substring,
         "op7_decontaminate": op7_decontaminate,
+        "op8_licenses": op8_licenses,
         "op9_quality": op9_quality,
         "op10_urls": op10_urls,
     }

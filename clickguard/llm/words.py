@@ -24,7 +24,9 @@ class WordHasher:
     """A word's hash is a polynomial in its bytes, A-Z lower-cased: a
     difference of running sums, moved back to the word's start."""
 
-    def __init__(self):
+    def __init__(self, table: bytes | None = None):
+        """`table`: what each byte of the texts is read as (bytes.translate)."""
+        self.table = table
         self.power = self.inverse = np.zeros(0, _U)
 
     def _grow(self, n: int) -> None:
@@ -51,6 +53,8 @@ class WordHasher:
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         """The word hashes of each text."""
         raw = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
+        if self.table:
+            raw = [t.translate(self.table) for t in raw]
         out: list = [None] * len(raw)
         group, size = [], 0
 

@@ -13,18 +13,24 @@ from clickguard.llm.queries import MODEL
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts good stay. A null id has no
-    score of its own to join, so such rows are scored by their text's row."""
+    """Documents that the classifier predicts good stay; rows that share an id
+    stay if one of them does (null is an id like any other)."""
     scores = quality.quality_scores(docs, read_table(spark, sf_dir, "labels"))
     good = scores.where("predicted = 1").select("doc_id").distinct()
     return docs.join(good, docs.doc_id.eqNullSafe(good.doc_id), "left_semi")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one it is named by."""
-    found = simhash.simhash_components(docs)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """One document of each SimHash component stays: the one it is named by.
+    Of rows that repeat both its id and its text one stays; rows without an id
+    stay only where no member of their component has one."""
+    found = stored(simhash.simhash_components(docs).select("doc_id", "component_id"), "pipeline-groups")
+    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = named.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    once, more = (keep.where(c).select(F.col("doc_id").alias("keep_id")) for c in ("rows = 1", "rows > 1"))
+    same = docs.doc_id.eqNullSafe(F.col("keep_id"))
+    return (docs.join(once, same, "left_semi")
+            .unionByName(docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"])))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +40,11 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, with the rows that share their
+    id (null is an id like any other)."""
     found = decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
+    return docs.join(bad, docs.doc_id.eqNullSafe(bad.bad_id), "left_anti")
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

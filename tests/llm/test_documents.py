@@ -1,0 +1,273 @@
+"""SimHash, substring, decontamination, quality, license operators against
+brute force on small tables with nulls, repeats, ties and clashing columns."""
+
+import itertools
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from clickguard.llm import components, decontaminate, licenses, quality, simhash, substring
+
+DOCS = "doc_id long, text string, id string, fp int, text_hash string, k int"
+
+
+def words(r, n, pool=400):
+    return " ".join(f"w{r.randrange(pool)}" for _ in range(n))
+
+
+def table(spark, rows, schema=DOCS):
+    """Rows of (id, text) with columns whose names the operators also use."""
+    return spark.createDataFrame([(*r, "x", 1, "y", 2) for r in rows], schema)
+
+
+def brute_fingerprint(text, n=4):
+    w = (text or "").encode().lower().split()
+    sh = [b" ".join(w[i:i + n]) for i in range(max(1, len(w) - n + 1))] if w else []
+    h = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def near_rows(seed=1):
+    r = random.Random(seed)
+    rows = [(i, words(r, 120)) for i in range(30)]
+    for i in range(30, 120):  # near copies of few texts: one word changed
+        w = rows[i % 3][1].split()
+        w[r.randrange(len(w))] = f"n{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(200, None), (201, ""), (202, " \t\n"), (203, "ONE two"), (204, "one TWO"),
+             (5, rows[5][1]), (None, rows[6][1]), (None, "alone " + words(r, 50))]
+    return rows
+
+
+def brute_components(rows, bits=4):
+    fps = [brute_fingerprint(t) for _, t in rows]
+    a, b = zip(*[(i, j) for i, j in itertools.combinations(range(len(rows)), 2)
+                 if (fps[i] ^ fps[j]).bit_count() <= bits])
+    root = components.roots(np.array(a), np.array(b), len(rows))
+    low = defaultdict(list)
+    for i, (doc, _) in zip(root, rows):
+        if doc is not None:
+            low[i].append(doc)
+    return sorted(((doc, f"{f:016x}", min(low[i], default=None)) for (doc, _), f, i in zip(rows, fps, root)),
+                  key=str)
+
+
+@pytest.mark.parametrize("bucket", [simhash.BUCKET_ROWS, 3])
+def test_simhash_components(spark, bucket):
+    """A bucket limit of 3 sends the near copies through the finer keys."""
+    rows = near_rows()
+    got = simhash.simhash_components(table(spark, rows), bucket_rows=bucket).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows)
+
+
+def test_simhash_empty_and_long(spark):
+    assert simhash.simhash_components(table(spark, [])).count() == 0
+    text = words(random.Random(2), 30_000)
+    assert simhash.fingerprint(text) == brute_fingerprint(text)
+
+
+def test_simhash_fine_keys_cover_and_bound():
+    for mask in simhash.block_masks(4)[:3]:
+        free = 64 - (mask % (1 << 64)).bit_count()
+        fine = simhash.fine_masks(mask, 4)
+        assert all(free - (m % (1 << 64)).bit_count() <= 13 for m in fine)
+        r = random.Random(3)
+        for _ in range(200):  # any 4 bits outside the mask leave one key whole
+            bits = r.sample([i for i in range(64) if not mask >> i & 1], 4)
+            assert any(all(not m >> b & 1 for b in bits) for m in fine)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (None, 3)]
+    got = {r.node: r.component for r in components.connected_components(
+        spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    assert got == {**dict.fromkeys(range(301), 0), **dict.fromkeys(range(1000, 1200), 1000)}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def passage_rows():
+    r = random.Random(4)
+    p, q = words(r, 90, 10**6), words(r, 70, 10**6)
+    rows = [(i, f"{words(r, 60, 10**6)} {p if i % 2 else ''} {words(r, 40 + i, 10**6)}") for i in range(8)]
+    rows += [(20, f"{words(r, 33, 10**6)}\n{q}"), (21, q.replace(" ", "  ")), (22, words(r, 200, 10**6)),
+             (23, None), (24, ""), (25, f"{q} {q}"), (None, p), (22, rows[0][1].replace("w1", "x")),
+             (1, rows[1][1])]
+    return rows, p, q
+
+
+def test_substring_spans_and_cut(spark):
+    rows, p, q = passage_rows()
+    spans = substring.repeated_spans(table(spark, rows)).collect()
+    hit = {r.doc_id for r in spans}
+    assert hit >= {3, 5, 7, 21, 25} and not hit & {0, 1, 2, 4, 6, 20, None}
+    text = dict(rows[:-2])
+    for r in spans:
+        if r.doc_id in (3, 5, 7):
+            cut = " ".join(text[r.doc_id].split()[r.word_start:r.word_start + r.n_words])
+            assert cut in p and len(cut) > 0.6 * len(p) and r.first_id == 1
+    left = {(r.doc_id, r.text): r for r in substring.cut_repeats(table(spark, rows)).collect()}
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.values()) == sorted(
+        (i is None, i or 0) for i, t in dict.fromkeys(rows))
+    for (i, t), r in left.items():
+        if i in (0, 1, 2, 20, 23, 24, None):
+            assert (i, t) in rows  # untouched, white space and all
+        assert (r.id, r.fp, r.text_hash, r.k) == ("x", 1, "y", 2)
+    assert len(next(t for i, t in left if i == 21).split()) < 25
+
+
+def test_substring_drops_what_is_all_repeated(spark):
+    t = words(random.Random(5), 300, 10**6)
+    got = substring.cut_repeats(table(spark, [(1, t), (2, t), (3, None)])).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3]
+    assert substring.cut_repeats(table(spark, [])).count() == 0
+
+
+def test_chunks_do_not_depend_on_pieces(monkeypatch):
+    data = words(random.Random(6), 5000).encode()
+    whole = substring.chunks(data)
+    monkeypatch.setattr(substring, "_PIECE", 1 << 10)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, substring.chunks(data)))
+    first, n, _ = whole
+    assert np.array_equal(first[1:], (first + n)[:-1]) and n.sum() == 5000
+    assert substring.chunks(b"same " * 9000)[1].max() <= substring.MOST_WORDS
+
+
+def bag(text, n=5):
+    w = text.encode().lower().split()
+    return Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+
+
+def test_leaks(spark):
+    r = random.Random(7)
+    items = [(i, words(r, n, 10**6)) for i, n in enumerate([5, 6, 9, 14, 15, 23, 37, 57, 120, 300])]
+    items += [(90, "too few words"), (91, None), (92, ""), (3, items[3][1])]
+    rows = []
+    for i, (_, t) in enumerate(items[:10]):
+        for shift in range(4):
+            rows.append((100 * i + shift, f"{words(r, 30 + shift, 10**6)} {t.upper()}\n{words(r, 50, 10**6)}"))
+    w = items[7][1].split()
+    w[20] = "changed"  # 43 + 5 of 53 shingles: 48 / 58
+    rows += [(5000, words(r, 80, 10**6) + " " + " ".join(w)), (5001, " ".join(w[:25])), (5002, None), (5003, ""),
+             (5004, words(r, 400, 10**6)), (None, items[5][1]), (5005, items[6][1]), (5005, items[6][1])]
+    got = decontaminate.leaks(table(spark, rows),
+                              spark.createDataFrame(items, "item_id long, text string")).collect()
+    pairs = Counter((x.doc_id, x.item_id) for x in got)
+    want = Counter((100 * i + s, i) for i in range(10) for s in range(4))
+    want.update({(300 + s, 3): 1 for s in range(4)})  # the item that comes twice
+    want.update([(5000, 7), (None, 5), (5005, 6), (5005, 6)])
+    assert pairs == want
+    sim = {x.doc_id: x.similarity for x in got}
+    assert sim[5000] == pytest.approx(48 / 58) and sim[0] == 1.0
+    assert {x.word_start for x in got if x.doc_id == 702} == {32}
+
+
+def test_leaks_in_blocks_and_empty(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEMS", 2)
+    r = random.Random(8)
+    items = [(f"i{i}", words(r, 30, 10**6)) for i in range(5)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs = table(spark, [(i, words(r, 9) + " " + t) for i, (_, t) in enumerate(items)])
+    assert sorted((x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench).collect()) == [
+        (i, f"i{i}") for i in range(5)]
+    assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
+    assert decontaminate.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_leaks_in_a_long_text(monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEGMENT", 500)
+    r = random.Random(9)
+    item = words(r, 40, 10**6)
+    index = decontaminate.Index([(1, item)])
+    for at in (0, 480, 499, 500, 2000):
+        text = f"{words(r, at, 10**6)} {item} {words(r, 700, 10**6)}"
+        assert decontaminate.search(index, decontaminate.WordHasher()([text]), 0.8) == {(0, 0): (1.0, at)}
+
+
+def test_radius_is_complete():
+    """Every fingerprint within 15 bits of an indexed one is found."""
+    r = random.Random(10)
+    index = decontaminate.Index([(1, words(r, 20, 10**6))])
+    (c, (fp, _, _, _)), = index.classes.items()
+    probe = []
+    for _ in range(500):
+        flip = sum(1 << b for b in r.sample(range(64), decontaminate.RADIUS))
+        probe.append(int(fp[0]) ^ flip)
+    row, hit = index.lookup(c, np.array(probe, np.uint64))
+    assert set(row[hit == 0]) == set(range(500))
+
+
+def quality_rows(n=900):
+    r = random.Random(11)
+    rows, labels = [], []
+    for i in range(n):
+        w = words(r, r.randrange(20, 90)).split()
+        good = i % 3 > 0
+        rows.append((i, " ".join(w) + "." if good else "### ".join(x.upper() for x in w)))
+        labels.append((i, int(good)))
+    return rows, labels
+
+
+def test_quality(spark):
+    rows, labels = quality_rows()
+    edge = [(5001, None), (5002, ""), (None, "some words"), (7, rows[7][1]), (5003, "a" * 200_000)]
+    marks = spark.createDataFrame(labels + [(3, None), (None, 1), (4, 7)], "doc_id long, quality int")
+    got = quality.quality_scores(table(spark, rows + edge), marks).collect()
+    assert len(got) == len(rows) + len(edge)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
+    import zlib
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    known = dict(labels)
+    held = [(r.predicted, known[r.doc_id]) for r in got if r.held_out and r.doc_id in known]
+    assert sum(a == b for a, b in held) / len(held) > 0.98
+    # held-out labels are not learnt
+    flipped = spark.createDataFrame([(i, q ^ (zlib.crc32(str(i).encode()) % 4 == 2)) for i, q in labels],
+                                    "doc_id long, quality int")
+    again = quality.quality_scores(table(spark, rows), flipped).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert all(score[r.doc_id] == pytest.approx(r.score, abs=1e-9) for r in again)
+
+
+def test_quality_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality.quality_scores(table(spark, [(1, "a b"), (2, None)]), none).collect()
+    assert [(r.score, r.predicted) for r in got] == [(0.5, 0)] * 2
+    assert quality.quality_scores(table(spark, []), none).count() == 0
+
+
+def test_isotonic_is_monotone_and_pools():
+    x, y = np.arange(6.0), np.array([0, 1, 0, 0.5, 0.4, 1])
+    grid, level = quality.isotonic(x, y, np.ones(6))
+    assert (np.diff(level) >= 0).all()
+    assert np.interp([1, 2, 3, 4], grid, level) == pytest.approx([0.45, 0.45, 0.45, 0.45], abs=0.06)
+
+
+def test_licenses(spark):
+    r = random.Random(12)
+    rows, want = [], set()
+    for i, (name, text) in enumerate(licenses.TEMPLATES):
+        for k in range(6):
+            body = text.lower() if k % 2 else text.replace(" ", "\n").replace(".", " .")
+            rows.append((10 * i + k, f"{words(r, 20 + k)} {body} {words(r, 30)}"))
+            want.add((10 * i + k, name))
+    full = dict(licenses.TEMPLATES)["MIT-text"].split()
+    full[30] = "changed"
+    rows += [(900, " ".join(full)), (901, " ".join(full[:30])), (902, None), (903, ""), (904, words(r, 500)),
+             (None, "x Released under the MIT License"), (905, "Released under the MIT License.")]
+    want |= {(900, "MIT-text"), (None, "MIT"), (905, "MIT")}
+    # the long Apache notice starts with the words of the short one
+    got = {(x.doc_id, x.license) for x in licenses.license_hits(table(spark, rows)).collect()}
+    short = {(d, "Apache-2.0") for d, n in want if n == "Apache-2.0-text"}
+    assert got == want | short
+    assert licenses.license_hits(table(spark, [])).count() == 0
+
+
+def test_tiny_template_and_long_text(monkeypatch):
+    monkeypatch.setattr(licenses, "SEGMENT", 300)
+    t = licenses.Templates([("pd", "Public Domain"), ("none", ""), ("mit", "Released under the MIT License.")])
+    text = words(random.Random(13), 3000) + " public domain! " + words(random.Random(13), 700) + \
+        " released under the MIT license"
+    assert licenses.search(t, licenses.hasher()([text, "public", None]), 0.8) == {
+        (0, 0): (1.0, 3000), (0, 1): (1.0, 3702)}
