@@ -75,7 +75,6 @@ class DetectorConfig:
     min_rate: float = 0.8
     ban_time: str = "1 day"
     batch: str = "1 minute"
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         for name in ("window", "slide", "watermark", "ban_time", "batch"):
@@ -131,10 +130,10 @@ class KafkaConfig:
     """
 
     brokers: str = "127.0.0.1:9092"
-    topics: tuple[str, ...] = ("stop-bot-ip-requests",)
+    topics: tuple[str, ...] = ("clicks",)
     starting_offsets: str = "earliest"
     max_offsets_per_trigger: int = 1_000_000
-    group_id_prefix: str = "StopBotAggregation"
+    group_id_prefix: str = "clickguard"
     options: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):

@@ -5,11 +5,14 @@ Two policies, as in the reference:
 * lenient (`parse_lenient`): ip from the record key, bad fields become
   null and the row is kept - the detector then counts it as unknown;
 * strict (`parse_strict`): ip from the body, a row is kept only when the
-  body is JSON with all four fields well typed and the type is `click` or
-  `watch`. `quarantine` returns the rejected rows with the reason.
-
-All of it is `from_json` + built-in expressions, evaluated per row inside
-whole-stage codegen; nothing leaves the JVM.
+  body is one JSON object, nothing after it, with all four fields of their
+  JSON type (three strings, an integer) and the type is `click` or `watch`.
+  Quoted or fractional numbers are no integers, and an object that repeats a
+  key is malformed. `quarantine` returns the rejected rows with the reason.
+
+A `unix_time` outside the years 1 to 9999 is no time: null when lenient, an
+invalid field when strict. All of it is built-in expressions; nothing leaves
+the JVM.
 """
 
 from __future__ import annotations
@@ -20,9 +23,11 @@ from pyspark.sql import types as T
 
 from clickguard.schema import MESSAGE
 
-CORRUPT = "_corrupt_record"
-_PARSE_SCHEMA = T.StructType(MESSAGE.fields + [T.StructField(CORRUPT, T.StringType())])
-_PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+# 0001-01-01 00:00:00 to 9999-12-31 23:59:59 UTC, in epoch seconds.
+EARLIEST_S, LATEST_S = -62_135_596_800, 253_402_300_799
+
+# The JSON type of each message field, as `schema_of_variant` names it.
+_JSON_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
 
 # The event types the detector recognises.
 KNOWN_TYPES = ("click", "watch")
@@ -37,9 +42,14 @@ def _text(c: str | Column) -> Column:
 
 
 def parse_message(value: str | Column = "value") -> Column:
-    """`from_json` of a message body; ill-typed fields are null and the
-    text is kept in `_corrupt_record`."""
-    return F.from_json(_text(value), _PARSE_SCHEMA, _PARSE_OPTIONS)
+    """`from_json` of a message body; ill-typed fields are null."""
+    return F.from_json(_text(value), MESSAGE, {"mode": "PERMISSIVE"})
+
+
+def event_time(unix_time: Column) -> Column:
+    """Epoch seconds as a timestamp; null outside the years 1 to 9999 (any
+    client can send any number, and the cast would fail the job)."""
+    return F.when(unix_time.between(EARLIEST_S, LATEST_S), F.timestamp_seconds(unix_time))
 
 
 def _pinned(records: DataFrame, keep: tuple[str, ...], **cols: Column) -> DataFrame:
@@ -62,62 +72,82 @@ def parse_lenient(records: DataFrame, key: str = "key", value: str = "value",
     return (_pinned(records, keep, _k=_text(key), _m=parse_message(value))
             .select(*keep, F.col("_k").alias("ip"),
                     m.getField("type").alias("action"),
-                    m.getField("unix_time").cast("timestamp").alias("eventTime")))
+                    event_time(m.getField("unix_time")).alias("eventTime")))
+
+
+def _only_value(raw: Column) -> Column:
+    """The one JSON value that the text is, as a variant; null for anything
+    else. The variant parser stops after the first value, so the text is read
+    as the head of an array that ends in the text's own hash: junk, a second
+    value or a closing bracket in the text would keep the hash from its place.
+    """
+    mark = F.xxhash64(raw)
+    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(","), mark.cast("string"), F.lit("]")))
+    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == mark,
+                  F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def _checked(records: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame:
-    """Raw text and parsed struct, pinned (the acceptance test reads the
-    struct five times; unpinned, each read would re-parse)."""
-    return _pinned(records, keep, _raw=_text(value), _m=parse_message(value))
+    """`_raw` text, `_object` (whether it is one JSON object) and per field
+    its JSON type `_t_<field>` and value `_<field>`; the parse is pinned, the
+    fields are read from it once."""
+    doc = F.col("_doc")
+    parsed = _pinned(records, keep, _raw=_text(value), _doc=_only_value(_text(value)))
+    cols = {"_object": F.coalesce(F.schema_of_variant(doc).startswith("OBJECT<"), F.lit(False))}
+    for f in MESSAGE.fields:
+        cols[f"_t_{f.name}"] = F.schema_of_variant(F.try_variant_get(doc, f"$.{f.name}", "variant"))
+        cols[f"_{f.name}"] = F.try_variant_get(doc, f"$.{f.name}", f.dataType.simpleString())
+    return _pinned(parsed, (*keep, "_raw"), **cols)
+
+
+def _well_typed(f: T.StructField) -> Column:
+    ok = F.col(f"_t_{f.name}") == _JSON_TYPE[f.dataType]
+    if f.name == "unix_time":
+        ok = ok & F.col("_unix_time").between(EARLIEST_S, LATEST_S)
+    return F.coalesce(ok, F.lit(False))
 
 
-def _accepted(m: Column) -> Column:
-    return (m.isNotNull() & m.getField(CORRUPT).isNull()
-            & m.getField("type").isin(*KNOWN_TYPES)
-            & m.getField("ip").isNotNull()
-            & m.getField("unix_time").isNotNull()
-            & m.getField("url").isNotNull())
+def _accepted() -> Column:
+    ok = F.col("_object")
+    for f in MESSAGE.fields:
+        ok = ok & _well_typed(f)
+    return ok & F.coalesce(F.col("_type").isin(*KNOWN_TYPES), F.lit(False))
 
 
 def parse_strict(records: DataFrame, value: str = "value",
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Kafka-shaped records -> `(ip, action, eventTime)`, ip from the body,
     rejects dropped."""
-    m = F.col("_m")
     return (_checked(records, value, keep)
-            .filter(_accepted(m))
-            .select(*keep, m.getField("ip").alias("ip"),
-                    m.getField("type").alias("action"),
-                    m.getField("unix_time").cast("timestamp").alias("eventTime")))
+            .filter(_accepted())
+            .select(*keep, F.col("_ip").alias("ip"), F.col("_type").alias("action"),
+                    F.timestamp_seconds("_unix_time").alias("eventTime")))
 
 
-def _field_problem(raw: Column, m: Column, name: str) -> Column:
-    present = F.get_json_object(raw, f"$.{name}").isNotNull()
-    return (F.when(m.getField(name).isNull() & present,
-                   F.lit(f"invalid field: {name}"))
-            .when(m.getField(name).isNull(), F.lit(f"missing field: {name}")))
+def _field_problem(f: T.StructField) -> Column:
+    kind = F.col(f"_t_{f.name}")
+    return (F.when(kind.isNull() | (kind == "VOID"), F.lit(f"missing field: {f.name}"))
+            .when(~_well_typed(f), F.lit(f"invalid field: {f.name}")))
 
 
-def reject_reason(raw: Column, m: Column) -> Column:
+def reject_reason() -> Column:
     """Why a record fails the strict parse (null when it passes). The first
     problem wins: empty, not a JSON object, a field (in declared order),
     then an unknown type."""
-    field_checks = [_field_problem(raw, m, f.name) for f in MESSAGE.fields]
-    return (F.when(raw.isNull(), F.lit("empty message"))
-            .when(F.json_object_keys(raw).isNull(), F.lit("malformed json"))
+    return (F.when(F.col("_raw").isNull(), F.lit("empty message"))
+            .when(~F.col("_object"), F.lit("malformed json"))
             .otherwise(F.coalesce(
-                *field_checks,
-                F.when(~m.getField("type").isin(*KNOWN_TYPES),
-                       F.concat(F.lit("unknown type: "), m.getField("type"))))))
+                *[_field_problem(f) for f in MESSAGE.fields],
+                F.when(~F.col("_type").isin(*KNOWN_TYPES),
+                       F.concat(F.lit("unknown type: "), F.col("_type"))))))
 
 
 def quarantine(records: DataFrame, value: str = "value",
                keep: tuple[str, ...] = ()) -> DataFrame:
     """The records `parse_strict` rejects, with `raw` text and `reason`."""
-    m, raw = F.col("_m"), F.col("_raw")
     return (_checked(records, value, keep)
-            .filter(~F.coalesce(_accepted(m), F.lit(False)))
-            .select(*keep, raw.alias("raw"), reject_reason(raw, m).alias("reason")))
+            .filter(~_accepted())
+            .select(*keep, F.col("_raw").alias("raw"), reject_reason().alias("reason")))
 
 
 def normalise_action(action: str | Column = "action") -> Column:

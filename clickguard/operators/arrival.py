@@ -36,12 +36,18 @@ def skip_old(events: DataFrame, conf: DetectorConfig,
 def find_incidents_by_arrival(events: DataFrame, conf: DetectorConfig,
                               arrival: str = "arrival", skip_old_events: bool = False,
                               quantize_to_batch: bool = False,
-                              with_window: bool = False) -> DataFrame:
+                              with_window: bool = False,
+                              delay: str | None = None) -> DataFrame:
     """Incidents of every arrival-time window `(ip, lastEvent, reason)`.
 
     The same incident is reported again in every window that still holds
     the ip's events, as the micro-batch job re-emits it at every slide.
     With `with_window` the window end (the emitting batch's time) is kept.
+
+    On a stream, `delay` is how late an arrival time may be (default: the
+    configured watermark). Partitions of a topic progress unevenly and a
+    producer may set record times, so it is zero only where arrival is the
+    micro-batch's own time.
     """
     df = events
     if quantize_to_batch:
@@ -49,7 +55,7 @@ def find_incidents_by_arrival(events: DataFrame, conf: DetectorConfig,
     if skip_old_events:
         df = skip_old(df, conf, arrival)
     stats = windowed_aggregates(df, conf, time_col="eventTime", group_time=arrival,
-                                watermark=df.isStreaming, watermark_delay="0 seconds")
+                                watermark=df.isStreaming, watermark_delay=delay)
     keep = ("windowEnd",) if with_window else ()
     if with_window:
         stats = stats.withColumn("windowEnd", F.col("window.end"))

@@ -45,7 +45,8 @@ def classify_windows(stats: DataFrame, conf: DetectorConfig,
     """
     cols = rate_columns()
     total, rate = cols["total_events"], cols["rate"]
-    fires = ((total > F.lit(conf.min_events))
+    # a window whose events have no time would have no reason text
+    fires = (F.col("firstEvent").isNotNull() & (total > F.lit(conf.min_events))
              & ((total >= F.lit(conf.max_events)) | (rate <= F.lit(conf.min_rate))))
     return (stats.filter(fires)
             .select("ip", *keep, "lastEvent",

@@ -24,6 +24,7 @@ from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickguard.config import DetectorConfig
 from clickguard.functions.aggregate import aggregation_columns, merge_aggregation
@@ -49,12 +50,15 @@ def windowed_aggregates(events: DataFrame, conf: DetectorConfig,
     sliding window of `group_time` (default: `time_col`).
 
     `firstEvent` / `lastEvent` are always min / max of `time_col`.
-    `watermark_delay` overrides the configured delay (arrival time, which
-    is never late, uses zero).
+    `watermark_delay` overrides the configured delay. Times without a zone
+    are read in the session's, whatever the strategy.
     """
     group_time = group_time or time_col
     require_columns(events, "ip", "action", time_col, group_time)
     df = _require(events, require)
+    for c in {time_col, group_time}:
+        if df.schema[c].dataType == T.TimestampNTZType():
+            df = df.withColumn(c, F.col(c).cast("timestamp"))
     if strategy == "auto":
         strategy = choose_strategy(df, conf)
     if strategy == "panes":
@@ -105,14 +109,16 @@ def _pane_aggregates(df: DataFrame, conf: DetectorConfig, time_col: str,
     panes = (df.filter(F.col(group_time).isNotNull())
              .groupBy("ip", (t - F.pmod(t, F.lit(p))).alias("pane"))
              .agg(*aggregation_columns("action", time_col)))
-    # the starts of the windows holding a pane lie in (pane - w, pane]: a
-    # span shorter than a block, so at most two blocks
-    last_start = F.col("pane") - F.pmod(F.col("pane"), F.lit(s))
-    starts = F.filter(F.sequence(last_start - F.lit((k - 1) * s), last_start, F.lit(s)),
-                      lambda ws: ws + F.lit(w) > F.col("pane"))
+    # the starts of the windows holding a pane are the multiples of s in
+    # (pane - w, pane]: a span shorter than a block, so at most two blocks
+    def multiple_up_to(c: Column) -> Column:
+        return c - F.pmod(c, F.lit(s))
 
-    def block_of(ws: Column) -> Column:
-        return ((ws - F.pmod(ws, F.lit(block))) / F.lit(block)).cast("long")
+    last_start = multiple_up_to(F.col("pane"))
+    first_start = multiple_up_to(F.col("pane") - F.lit(w)) + F.lit(s)
+
+    def block_start(ws: Column) -> Column:
+        return ws - F.pmod(ws, F.lit(block))
 
     # Each pane aggregate goes to the (one or two) blocks of its windows, and
     # the rows are hash-partitioned on (ip, block): the fan-out to window
@@ -120,11 +126,12 @@ def _pane_aggregates(df: DataFrame, conf: DetectorConfig, time_col: str,
     # (ip, block, start) needs no other partitioning. The shuffle carries
     # each pane aggregate at most twice instead of once per window, and a
     # hot ip is still spread over its blocks (time).
-    routed = (panes.select("*", F.explode(F.array_distinct(F.transform(starts, block_of)))
-                           .alias("blk"))
+    routed = (panes.select("*", F.explode(F.sequence(block_start(first_start), block_start(last_start),
+                                                     F.lit(block))).alias("blk"))
               .repartition("ip", "blk"))
-    fanned = routed.select("*", F.explode(F.filter(starts, lambda ws: block_of(ws) == F.col("blk")))
-                           .alias("ws"))
+    fanned = routed.select("*", F.explode(F.sequence(
+        F.greatest(first_start, F.col("blk")),
+        F.least(last_start, F.col("blk") + F.lit(block - s)), F.lit(s))).alias("ws"))
     merged = fanned.groupBy("ip", "blk", "ws").agg(*merge_aggregation())
     return merged.select(
         "ip",

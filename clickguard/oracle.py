@@ -145,6 +145,15 @@ SELECT ip, period, reason, written_at, expires_at
 FROM ranked WHERE rn = 1 AND expires_at > (SELECT t FROM cut)"""
 
 # Kafka-shaped records built from `events` with DuckDB's own JSON functions.
+SECONDS = "BETWEEN -62135596800 AND 253402300799"  # years 1 to 9999
+
+
+def _json(**other: str | None) -> str:
+    fields = {"type": "typ", "ip": "ip", "unix_time": "ut", "url": "url"} | other
+    inner = ", ".join(f"'{n}', {c}" for n, c in fields.items() if c is not None)
+    return f"CAST(json_object({inner}) AS VARCHAR)"
+
+
 REC = f"""src AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS ip, value,
          CASE WHEN event_type = 'view' THEN 'watch' ELSE event_type END AS typ,
@@ -157,22 +166,35 @@ rec AS (
   SELECT event_id AS "offset", ip AS key,
          {_arrival('t', 'value')} AS "timestamp",
          CASE WHEN k < 3 THEN concat_ws(' ', typ, ip, CAST(ut AS VARCHAR), url)
-              WHEN k < 6 THEN CAST(json_object('type', typ, 'ip', ip, 'unix_time', ut) AS VARCHAR)
-              WHEN k < 9 THEN CAST(json_object('type', typ, 'ip', ip,
-                                               'unix_time', CAST(ut AS VARCHAR), 'url', url) AS VARCHAR)
-              ELSE CAST(json_object('type', typ, 'ip', ip, 'unix_time', ut, 'url', url) AS VARCHAR)
-         END AS v
+              WHEN k < 6 THEN {_json(url=None)}
+              WHEN k < 9 THEN {_json(unix_time="CAST(ut AS VARCHAR)")}
+              WHEN k < 10 THEN {_json(ip="CAST(ip AS BIGINT)")}
+              WHEN k < 11 THEN {_json(url="json_object('path', url)")}
+              WHEN k < 12 THEN {_json()} || ' end'
+              WHEN k < 13 THEN {_json()} || {_json()}
+              WHEN k < 14 THEN replace({_json()}, '"', '''')
+              WHEN k < 15 THEN {_json(unix_time="ut * 1000000")}
+              WHEN k < 16 THEN {_json(ip="NULL")}
+              ELSE {_json()}
+         END AS v,
+         -- what a lenient parser reads: the first value, single quotes allowed
+         CASE WHEN k BETWEEN 11 AND 13 THEN {_json()} END AS first_value
   FROM src),
 js AS (
   SELECT *, CASE WHEN json_valid(v) AND json_type(CAST(v AS JSON)) = 'OBJECT'
                  THEN CAST(v AS JSON) END AS j
   FROM rec),
 msg AS (
-  SELECT "offset", key, "timestamp", v, j,
+  SELECT "offset", key, "timestamp", v, j, coalesce(CAST(first_value AS JSON), j) AS lj,
          CASE WHEN json_type(j, '$.type') = 'VARCHAR' THEN json_extract_string(j, '$.type') END AS m_type,
          CASE WHEN json_type(j, '$.ip') = 'VARCHAR' THEN json_extract_string(j, '$.ip') END AS m_ip,
          CASE WHEN json_type(j, '$.unix_time') IN ('BIGINT', 'UBIGINT')
+               AND CAST(json_extract(j, '$.unix_time') AS BIGINT) {SECONDS}
               THEN CAST(json_extract(j, '$.unix_time') AS BIGINT) END AS m_time,
+         CASE WHEN json_type(lj, '$.type') = 'VARCHAR' THEN json_extract_string(lj, '$.type') END AS l_type,
+         CASE WHEN json_type(lj, '$.unix_time') IN ('BIGINT', 'UBIGINT')
+               AND CAST(json_extract(lj, '$.unix_time') AS BIGINT) {SECONDS}
+              THEN CAST(json_extract(lj, '$.unix_time') AS BIGINT) END AS l_time,
          CASE WHEN json_type(j, '$.url') = 'VARCHAR' THEN json_extract_string(j, '$.url') END AS m_url
   FROM js)"""
 
@@ -181,8 +203,8 @@ ACCEPTED = ("j IS NOT NULL AND m_type IN ('click', 'watch') AND m_ip IS NOT NULL
 
 LENIENT = f"""{REC},
 lenient AS (
-  SELECT "offset", key AS ip, m_type AS action,
-         make_timestamp(m_time * 1000000) AS eventTime, "timestamp"
+  SELECT "offset", key AS ip, l_type AS action,
+         make_timestamp(l_time * 1000000) AS eventTime, "timestamp"
   FROM msg)"""
 
 STRICT = f"""{REC},
@@ -228,8 +250,8 @@ FROM_MESSAGES_STRICT = incidents_sql(f"{STRICT}, arr AS (SELECT *, \"timestamp\"
 
 SPOOL = f"""{REC},
 spool AS (
-  SELECT NULLIF(regexp_extract(v, '"ip":.?"([^"]+)"', 1), '') AS ip, m_type AS action,
-         make_timestamp(m_time * 1000000) AS eventTime
+  SELECT NULLIF(regexp_extract(v, '"ip":.?"([^"]+)"', 1), '') AS ip, l_type AS action,
+         make_timestamp(l_time * 1000000) AS eventTime
   FROM msg)"""
 
 FROM_SPOOL = incidents_sql(SPOOL, "spool") + f"\nSELECT ip, {PERIOD_S} AS period, reason FROM inc"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -53,8 +53,9 @@ _FALLBACK: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a folder of our own
-    created and registered as the checkpoint dir.
+    Only when the setting is absent on a local master (tests) is a folder of
+    our own created and registered as the checkpoint dir; executors on other
+    machines would not see one, so elsewhere its absence is an error.
     """
     base = None
     try:
@@ -69,11 +70,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not base and sc is not None:
         base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        key = sc.applicationId if sc is not None else "connect"
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        key = sc.applicationId
         if key not in _FALLBACK:
             _FALLBACK[key] = tempfile.mkdtemp(prefix="clickguard-")
-            if sc is not None:
-                sc.setCheckpointDir(_FALLBACK[key])
+            sc.setCheckpointDir(_FALLBACK[key])
         base = _FALLBACK[key]
     return base.rstrip("/")
 
@@ -94,14 +96,16 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
+def apply_base_conf(spark: SparkSession) -> None:
+    """The engine's session settings where the user set none: a job started
+    from the command line renders times and keeps state as the tests do."""
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql.") and not spark.sparkContext.getConf().contains(k):
+            spark.conf.set(k, v)
 
 
 def shuffle_partitions_for(shuffle_bytes: int, cores: int = 8,
-                           target_bytes: int = 256 << 20,
-                           max_partitions: int = 100_000) -> int:
+                           target_bytes: int = 256 << 20) -> int:
     """Initial `spark.sql.shuffle.partitions` for a windowed aggregate.
 
     `shuffle_bytes` is what the exchange carries after map-side combine:
@@ -114,4 +118,4 @@ def shuffle_partitions_for(shuffle_bytes: int, cores: int = 8,
     fixed when its checkpoint is first created.
     """
     n = -(-max(1, shuffle_bytes) // target_bytes)
-    return int(min(max_partitions, max(2 * cores, n)))
+    return int(max(2 * cores, n))

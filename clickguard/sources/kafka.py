@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clickguard.schema import KAFKA_RECORD
 from clickguard.sources.tables import action_of
 
-TOPIC = "stop-bot-ip-requests"
+TOPIC = "clicks"
 
 
 def kafka_stream(spark: SparkSession, brokers: str, topics: list[str] | str,
@@ -45,27 +45,16 @@ def kafka_stream_from(spark: SparkSession, conf) -> DataFrame:
                         conf.max_offsets_per_trigger, **opts)
 
 
-def kafka_batch(spark: SparkSession, brokers: str, topics: list[str] | str,
-                **options: str) -> DataFrame:
-    """Batch read of the same topics (``spark.read.format("kafka")``)."""
-    if not isinstance(topics, str):
-        topics = ",".join(t.strip() for t in topics)
-    r = (spark.read.format("kafka")
-         .option("kafka.bootstrap.servers", brokers)
-         .option("subscribe", topics))
-    for k, v in options.items():
-        r = r.option(k, v)
-    return r.load()
-
-
 def _record_kind(k: Column) -> Column:
     """Which form the message of an event takes, chosen by the event's
     own `props.k` (0-99): a few percent are broken in each way the parser
     must handle."""
-    return (F.when(k < 3, F.lit("text"))
-            .when(k < 6, F.lit("no_url"))
-            .when(k < 9, F.lit("quoted_time"))
-            .otherwise(F.lit("json")))
+    forms = {3: "text", 6: "no_url", 9: "quoted_time", 10: "number_ip", 11: "object_url",
+             12: "junk_after", 13: "two_objects", 14: "single_quotes", 15: "far_time", 16: "null_ip"}
+    kind = F.lit("json")
+    for below, name in sorted(forms.items(), reverse=True):
+        kind = F.when(k < below, F.lit(name)).otherwise(kind)
+    return kind
 
 
 def _message_parts(events: DataFrame) -> DataFrame:
@@ -85,15 +74,25 @@ def _message_parts(events: DataFrame) -> DataFrame:
 
 def _body() -> Column:
     typ, ip, ut, url, kind = (F.col(c) for c in ("_type", "_ip", "_unix_time", "_url", "_kind"))
+
+    def json(**other: Column | None) -> Column:
+        fields = {"type": typ, "ip": ip, "unix_time": ut, "url": url} | other
+        return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items() if c is not None]),
+                         {"ignoreNullFields": "false"})
+
+    # in milliseconds of milliseconds: beyond any calendar
     return (
         F.when(kind == "text", F.concat_ws(" ", typ, ip, ut.cast("string"), url))
-        .when(kind == "no_url",
-              F.to_json(F.struct(typ.alias("type"), ip.alias("ip"), ut.alias("unix_time"))))
-        .when(kind == "quoted_time",
-              F.to_json(F.struct(typ.alias("type"), ip.alias("ip"),
-                                 ut.cast("string").alias("unix_time"), url.alias("url"))))
-        .otherwise(F.to_json(F.struct(typ.alias("type"), ip.alias("ip"),
-                                      ut.alias("unix_time"), url.alias("url"))))
+        .when(kind == "no_url", json(url=None))
+        .when(kind == "quoted_time", json(unix_time=ut.cast("string")))
+        .when(kind == "number_ip", json(ip=ip.cast("long")))
+        .when(kind == "object_url", json(url=F.struct(url.alias("path"))))
+        .when(kind == "junk_after", F.concat(json(), F.lit(" end")))
+        .when(kind == "two_objects", F.concat(json(), json()))
+        .when(kind == "single_quotes", F.translate(json(), '"', "'"))
+        .when(kind == "far_time", json(unix_time=ut * F.lit(1_000_000)))
+        .when(kind == "null_ip", json(ip=F.lit(None).cast("string")))
+        .otherwise(json())
     )
 
 
