@@ -67,6 +67,32 @@ def incidents_require_action(spark, sf_dir):
     return find_incidents_typed_aggregator(_events(spark, sf_dir), C)
 
 
+def _events_with_nulls(spark, sf_dir):
+    """The events with nulls in each detector column, by the event's id."""
+    ev = _events(spark, sf_dir, keep=("event_id",))
+
+    def holes(c, every):
+        return F.when(F.col("event_id") % every != 0, F.col(c)).alias(c)
+
+    return ev.select(holes("ip", 13), holes("action", 7), holes("eventTime", 11))
+
+
+def incidents_nulls(spark, sf_dir):
+    """Nulls kept: events without ip are one more address, an unknown action
+    moves first and last only, an event without time is in no window."""
+    return find_incidents(_events_with_nulls(spark, sf_dir), C)
+
+
+def incidents_nulls_typed(spark, sf_dir):
+    """Rows without ip or time are dropped first."""
+    return find_incidents_typed(_events_with_nulls(spark, sf_dir), C)
+
+
+def incidents_nulls_aggregator(spark, sf_dir):
+    """Rows without ip or action are dropped first."""
+    return find_incidents_typed_aggregator(_events_with_nulls(spark, sf_dir), C)
+
+
 def incidents_distinct_sorted(spark, sf_dir):
     return find_incidents(_events(spark, sf_dir), C).distinct().sort("lastEvent", "reason")
 
@@ -119,8 +145,9 @@ def current_bans(spark, sf_dir):
     table would be, so the as-of subquery (one column) and the per-ip pick
     both scan it instead of recomputing the detector twice."""
     path = scratch_path(spark, "ban-log-replay")
-    bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C).write.parquet(path)
-    return bans.current_bans(spark.read.parquet(path))
+    log = bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C)
+    log.write.parquet(path)
+    return bans.current_bans(spark.read.schema(log.schema).parquet(path))
 
 
 def current_bans_compacted(spark, sf_dir):
@@ -133,15 +160,17 @@ def current_bans_compacted(spark, sf_dir):
     (bans.replay_ban_log(find_incidents(_events(spark, sf_dir), C), C)
      .withColumn("written_date", bans.utc_day(F.col("written_at")))
      .write.partitionBy("written_date").parquet(path))
-    log = spark.read.parquet(path)
+    log = read_ban_log(spark, path)
     # the cut is one scalar: the newest write day (a daily compaction job
-    # takes it from the calendar instead)
-    cut = log.agg(F.max("written_date")).first()[0].isoformat()
+    # takes it from the calendar instead); any day does for an empty log
+    newest = log.agg(F.max("written_date")).first()[0]
+    cut = newest.isoformat() if newest else "1970-01-01"
     snap = scratch_path(spark, "ban-snapshot")
-    bans.compact_bans(log, cut).write.parquet(snap)
+    old = bans.compact_bans(log, cut)
+    old.write.parquet(snap)
     # the view opens only the days from the cut on (older folders unlisted)
     recent = read_ban_log(spark, path, since=cut, until=cut)
-    return bans.current_bans(bans.with_snapshot(spark.read.parquet(snap), recent, cut))
+    return bans.current_bans(bans.with_snapshot(spark.read.schema(old.schema).parquet(snap), recent, cut))
 
 
 def _records(spark, sf_dir):
@@ -195,6 +224,21 @@ def incidents_from_spool_lines(spark, sf_dir):
     return bans.ban_records(find_incidents(parsed, C), C, precision="s")
 
 
+def incidents_from_spool_files(spark, sf_dir):
+    """As `incidents_from_spool_lines`, through files: the lines are written
+    to a spool folder and read from it."""
+    from clickguard.sources.kafka import with_message
+    from clickguard.sources.spool import spool_batch
+    from clickguard.streaming.jobs import keyed_lines
+
+    ensure_utc(spark)
+    folder = scratch_path(spark, "spool")
+    (with_message(read_table(spark, sf_dir, "events"), "_msg")
+     .select(F.col("_msg").alias("value")).write.text(folder))
+    parsed = parse_lenient(keyed_lines(spool_batch(spark, folder, "*.txt")))
+    return bans.ban_records(find_incidents(parsed, C), C, precision="s")
+
+
 def merge_partial_aggregates(spark, sf_dir):
     """Partial aggregates per (ip, window, event type), as if each type
     came from its own topic, merged into per-(ip, window) aggregates."""
@@ -225,6 +269,9 @@ def queries() -> dict[str, Query]:
         "incidents_struct": incidents_struct,
         "incidents_formatted": incidents_formatted,
         "incidents_require_action": incidents_require_action,
+        "incidents_nulls": incidents_nulls,
+        "incidents_nulls_typed": incidents_nulls_typed,
+        "incidents_nulls_aggregator": incidents_nulls_aggregator,
         "incidents_distinct_sorted": incidents_distinct_sorted,
         "incidents_panes": incidents_panes,
         "window_event_stats_panes": window_event_stats_panes,
@@ -243,6 +290,7 @@ def queries() -> dict[str, Query]:
         "incidents_from_messages": incidents_from_messages,
         "incidents_from_messages_strict": incidents_from_messages_strict,
         "incidents_from_spool_lines": incidents_from_spool_lines,
+        "incidents_from_spool_files": incidents_from_spool_files,
         "merge_partial_aggregates": merge_partial_aggregates,
         "counter_totals": counter_totals,
         **replay.stream_queries(),

@@ -280,6 +280,65 @@ r AS (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY period DESC, reason
 SELECT ip, period, reason FROM r WHERE rn = 1"""
 
 
+EV_NULLS = f"""{EV},
+evn AS (SELECT CASE WHEN event_id % 13 <> 0 THEN ip END AS ip,
+               CASE WHEN event_id % 7 <> 0 THEN action END AS action,
+               CASE WHEN event_id % 11 <> 0 THEN eventTime END AS eventTime FROM ev),
+evt AS (SELECT * FROM evn WHERE ip IS NOT NULL AND eventTime IS NOT NULL),
+eva AS (SELECT * FROM evn WHERE ip IS NOT NULL AND action IS NOT NULL)"""
+
+
+def _nulls(src: str, fmt: bool) -> str:
+    return incidents_sql(EV_NULLS, src, fmt=fmt) + "\nSELECT ip, lastEvent, reason FROM inc"
+
+
+def _batched(parsed: str, src: str, time: str) -> str:
+    """Rows of a replay in four batches, fanned out to their windows, without
+    those whose window had ended at the watermark of the batches before: `win`
+    (ip, action, eventTime, ws, batch), with `wm` the watermark each batch
+    starts with and `wm_end` the last one, in ms."""
+    return f"""{parsed},
+bt AS (
+  SELECT s.ip, s.action, s.eventTime, s.{time} AS tm,
+         least(CAST(floor((day(e.ts) - 1) / 8) AS INTEGER)
+               + CASE WHEN coalesce(TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) < 20, false)
+                      THEN 1 ELSE 0 END, 3) AS batch
+  FROM {src} s JOIN events e ON e.event_id = s."offset"),
+wm AS (SELECT b.b AS batch, (SELECT max(epoch_ms(tm)) FROM bt WHERE bt.batch < b.b) - {WM_MS} AS w
+       FROM range(4) b(b)),
+wm_end AS (SELECT max(epoch_ms(tm)) - {WM_MS} AS w FROM bt),
+fan AS (SELECT *, (epoch_us(tm) // {S} - o) * {S} AS ws
+        FROM (SELECT *, unnest(range({K})) AS o FROM bt WHERE tm IS NOT NULL)),
+win AS (SELECT fan.* FROM fan JOIN wm USING (batch)
+        WHERE epoch_us(tm) < ws + {W} AND (wm.w IS NULL OR ws + {W} > wm.w * 1000))"""
+
+
+_STATS = """count(*) FILTER (WHERE action = 'click') AS clicks,
+         count(*) FILTER (WHERE action = 'watch') AS watches,
+         min(eventTime) AS firstEvent, max(eventTime) AS lastEvent"""
+_RATED = """rated AS (
+  SELECT *, clicks + watches AS total_events,
+         CASE WHEN clicks > 0 THEN watches / clicks ELSE CAST(watches AS DOUBLE) END AS rate
+  FROM stats)"""
+
+STREAM_BANS_BY_ARRIVAL = f"""WITH {_batched(STRICT, "strict", '"timestamp"')},
+changed AS (SELECT DISTINCT ip, ws, batch FROM win),
+stats AS (
+  SELECT c.ip, c.ws, c.batch AS seen, {_STATS}
+  FROM changed c JOIN win w ON w.ip = c.ip AND w.ws = c.ws AND w.batch <= c.batch
+  GROUP BY c.ip, c.ws, c.batch),
+{_RATED},
+b AS (SELECT ip, {PERIOD_MS} AS period, {reason()} AS reason, seen FROM rated WHERE {FIRES}),
+r AS (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY seen DESC, period DESC, reason DESC) AS rn FROM b)
+SELECT ip, period, reason FROM r WHERE rn = 1"""
+
+STREAM_INCIDENTS_LATE = f"""WITH {_batched(LENIENT, "lenient", "eventTime")},
+stats AS (SELECT ip, ws, {_STATS} FROM win GROUP BY ip, ws),
+{_RATED}
+SELECT ip, lastEvent, {reason()} AS reason FROM rated
+WHERE {FIRES} AND (ws + {W}) // 1000 <= (SELECT w FROM wm_end)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "window_event_stats": WINDOW_EVENT_STATS,
@@ -288,6 +347,9 @@ def oracle_sql() -> dict[str, str]:
         "incidents_struct": INCIDENTS,
         "incidents_formatted": INCIDENTS_FORMATTED,
         "incidents_require_action": INCIDENTS_FORMATTED,
+        "incidents_nulls": _nulls("evn", fmt=False),
+        "incidents_nulls_typed": _nulls("evt", fmt=True),
+        "incidents_nulls_aggregator": _nulls("eva", fmt=True),
         "incidents_distinct_sorted": "SELECT DISTINCT * FROM (" + INCIDENTS
         + ") ORDER BY lastEvent, reason",
         "incidents_panes": INCIDENTS,
@@ -307,10 +369,13 @@ def oracle_sql() -> dict[str, str]:
         "incidents_from_messages": FROM_MESSAGES,
         "incidents_from_messages_strict": FROM_MESSAGES_STRICT,
         "incidents_from_spool_lines": FROM_SPOOL,
+        "incidents_from_spool_files": FROM_SPOOL,
         "merge_partial_aggregates": MERGE_PARTIALS,
         "counter_totals": COUNTER_TOTALS,
         "stream_incidents_append": STREAM_APPEND,
         "stream_incidents_event_time": STREAM_APPEND_EVENTS,
         "stream_bans_upsert": STREAM_BANS,
         "stream_counter": COUNTER_TOTALS,
+        "stream_bans_by_arrival": STREAM_BANS_BY_ARRIVAL,
+        "stream_incidents_late": STREAM_INCIDENTS_LATE,
     }

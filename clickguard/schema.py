@@ -89,6 +89,17 @@ COUNTER_ROW = T.StructType(
 )
 
 
+# Running totals per key.
+COUNTER_TOTAL = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("total", T.LongType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("last", T.LongType()),
+    ]
+)
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     """Fail early, on the driver, when an input lacks a column."""
     missing = [n for n in names if n not in df.columns]

@@ -23,3 +23,13 @@ def spool_stream(spark: SparkSession, directory: str, pattern: str = "*.log",
 def spool_batch(spark: SparkSession, directory: str,
                 pattern: str = "*.log") -> DataFrame:
     return spark.read.option("pathGlobFilter", pattern).text(directory)
+
+
+def keyed_stream(spark: SparkSession, path: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """The keyed records that the spool job writes to `path`, as the topic
+    would hold them: (key, value, timestamp). The folder must exist."""
+    r = spark.readStream.schema("key string, value string, timestamp timestamp")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.parquet(f"{path.rstrip('/')}/run=*/batch=*")

@@ -25,10 +25,13 @@ from clickguard.operators.incidents import (
     find_incidents,
     find_incidents_struct,
     find_incidents_typed,
+    find_incidents_typed_aggregator,
 )
 from clickguard.plans.sql import find_incidents_sql
+from clickguard.session import apply_base_conf
 from clickguard.streaming.sinks import (
     BanLogWriter,
+    JsonLinesForeachWriter,
     UpsertLogWriter,
     archive_sink,
     console_sink,
@@ -41,6 +44,7 @@ DETECTORS = {
     "sql": lambda spark, df, conf: find_incidents_sql(spark, df, conf),
     "struct": lambda spark, df, conf: find_incidents_struct(df, conf),
     "typed": lambda spark, df, conf: find_incidents_typed(df, conf),
+    "aggregator": lambda spark, df, conf: find_incidents_typed_aggregator(df, conf),
 }
 
 
@@ -68,12 +72,14 @@ def _trigger(writer, trigger: str | None):
 
 def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
            detector: str = "sql", time: str = "event",
-           parse: str = "lenient") -> DataFrame:
+           parse: str = "lenient", skip_old: bool = False) -> DataFrame:
     """Kafka-shaped records -> incidents.
 
     `time="event"`: event-time windows with watermark; `time="arrival"`:
-    windows over the record timestamp (the broker's append time);
-    `time="batch"`: windows over the micro-batch time.
+    windows over the record timestamp (the broker's append time), which may be
+    as late as the watermark says; `time="batch"`: windows over the
+    micro-batch time, which is never late. `skip_old` drops events older than
+    a window at their arrival.
     """
     if parse == "lenient":
         events = parse_lenient(records, keep=("timestamp",))
@@ -83,9 +89,12 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
         raise ValueError(f"parse must be lenient or strict, not {parse!r}")
     if time == "arrival":
         arrived = events.withColumnRenamed("timestamp", "arrival")
-        return find_incidents_by_arrival(arrived, conf)
+        return find_incidents_by_arrival(arrived, conf, skip_old_events=skip_old)
     if time == "batch":
-        return find_incidents_by_arrival(with_batch_arrival(events.drop("timestamp")), conf)
+        return find_incidents_by_arrival(with_batch_arrival(events.drop("timestamp")), conf,
+                                         skip_old_events=skip_old, delay="0 seconds")
+    if skip_old:
+        raise ValueError("skip_old needs an arrival: time='arrival' or 'batch'")
     events = events.drop("timestamp")
     return DETECTORS[detector](spark, events, conf)
 
@@ -94,22 +103,34 @@ def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
             ban_path: str, checkpoint: str, detector: str = "sql",
             time: str = "event", parse: str = "lenient", precision: str = "s",
             trigger: str | None = None, run_id: str | None = None,
-            explain: bool = False):
+            explain: bool = False, skip_old: bool = False,
+            options: dict[str, str] | None = None, sink: str = "log"):
     """Records -> incidents -> ban records upserted with a TTL of the ban
-    time (update mode; a window is judged again whenever it changes)."""
-    incidents = detect(spark, records, conf, detector, time, parse)
+    time (update mode; a window is judged again whenever it changes).
+
+    `options` (`ban.columns`, `ban.ttl`; see `validate_ban_sink_options`)
+    override the table's column names and TTL. ``sink="rows"`` writes JSON
+    lines row by row instead of the log.
+    """
+    incidents = detect(spark, records, conf, detector, time, parse, skip_old)
     bans = ban_records(incidents, conf, precision)
-    writer = BanLogWriter(ban_path, conf.ban_us // 1_000_000,
-                          run_id=run_id or run_key(checkpoint))
-    w = (bans.writeStream.outputMode("update").foreachBatch(writer)
-         .option("checkpointLocation", checkpoint))
+    w = bans.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    settings = {"ban.columns": "ip,period,reason", "ban.ttl": str(conf.ban_us // 1_000_000),
+                **(options or {}), "ban.path": ban_path}
+    writer = BanLogWriter.from_options(settings, run_id, checkpoint)
+    if sink == "rows":
+        w = w.foreach(JsonLinesForeachWriter(spark, ban_path, checkpoint, writer.ttl_s))
+    elif sink == "log":
+        w = w.foreachBatch(writer)
+    else:
+        raise ValueError(f"sink must be log or rows, not {sink!r}")
     return _start(w, trigger, bans if explain else None)
 
 
 def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
                 path: str, checkpoint: str, partition_by: str = "day",
                 trigger: str | None = None, explain: bool = False,
-                files_per_partition: int = 4):
+                files_per_partition: int | None = None):
     """Records -> incidents appended to parquet once their window closes
     (watermark past the window end)."""
     incidents = detect(spark, records, conf, "plain")
@@ -137,7 +158,7 @@ def counter_job(spark: SparkSession, rows: DataFrame, checkpoint: str,
         w = console_sink(totals)
     else:
         w = (totals.writeStream.outputMode("update")
-             .foreachBatch(UpsertLogWriter(path, run_key(checkpoint))))
+             .foreachBatch(UpsertLogWriter(path, checkpoint=checkpoint)))
     return _start(w.option("checkpointLocation", checkpoint), trigger,
                   totals if explain else None)
 
@@ -149,16 +170,22 @@ def keyed_lines(lines: DataFrame) -> DataFrame:
 
 def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
                      quarantine_path: str, checkpoint: str,
-                     trigger: str | None = None):
-    """Spool lines -> keyed records (parquet, or a Kafka topic by swapping
-    the sink); lines the strict parser rejects also go to quarantine."""
-    keyed = keyed_lines(lines)
-    run = run_key(checkpoint)   # a replayed batch overwrites itself, a new run never does
+                     trigger: str | None = None,
+                     topic: dict[str, str] | None = None):
+    """Spool lines -> keyed records, as parquet that `keyed_stream` reads or,
+    with `topic` (options of Spark's kafka sink: `kafka.bootstrap.servers`,
+    `topic`), on a topic that the other jobs read; lines the strict parser
+    rejects also go to quarantine. A record's timestamp is when it was read."""
+    keyed = keyed_lines(lines).withColumn("timestamp", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_key(spark, checkpoint)   # a replayed batch overwrites itself, a new run never does
         batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+            if topic:
+                batch.select("key", "value").write.format("kafka").options(**topic).save()
+            else:
+                batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
             (quarantine(batch, keep=("key",)).write.mode("overwrite")
              .parquet(f"{quarantine_path}/run={run}/batch={batch_id}"))
         finally:
@@ -197,7 +224,7 @@ def main(argv: list[str] | None = None) -> None:
     from clickguard.config import KafkaConfig
     from clickguard.sources.counter import counter_stream
     from clickguard.sources.kafka import kafka_stream_from
-    from clickguard.sources.spool import spool_stream
+    from clickguard.sources.spool import keyed_stream, spool_stream
 
     ap = argparse.ArgumentParser(prog="clickguard.streaming.jobs")
     ap.add_argument("job", choices=["bans", "archive", "console", "counter", "spool", "compact"])
@@ -213,8 +240,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ban-path")
     ap.add_argument("--archive-path")
     ap.add_argument("--archive-partition", default="day", choices=["day", "ip"])
-    ap.add_argument("--archive-files", type=int, default=4,
-                    help="files (and write tasks) per archive partition and batch")
+    ap.add_argument("--archive-files", type=int,
+                    help="write tasks per archive partition and batch "
+                         "(default: the state partitions)")
     ap.add_argument("--snapshot-out", help="compact: where the new snapshot is written")
     ap.add_argument("--before", help="compact: first day (YYYY-MM-DD, UTC) not compacted")
     ap.add_argument("--snapshot", help="compact: previous snapshot to fold in")
@@ -223,12 +251,20 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--spool-archive")
     ap.add_argument("--max-files", type=int,
                     help="spool: files per micro-batch (maxFilesPerTrigger)")
-    ap.add_argument("--keyed-path")
+    ap.add_argument("--keyed-path", help="spool: where keyed records go; with --from-spool "
+                                         "bans, archive and console read them from there")
+    ap.add_argument("--from-spool", action="store_true")
+    ap.add_argument("--spool-topic", help="spool: put the records on this topic instead")
     ap.add_argument("--quarantine-path")
     ap.add_argument("--detector", default="sql", choices=sorted(DETECTORS))
     ap.add_argument("--time", default="event", choices=["event", "arrival", "batch"])
     ap.add_argument("--parse", default="lenient", choices=["lenient", "strict"])
     ap.add_argument("--precision", default="s", choices=["s", "ms"])
+    ap.add_argument("--skip-old", action="store_true",
+                    help="bans by arrival: drop events older than a window at arrival")
+    ap.add_argument("--ban-sink", default="log", choices=["log", "rows"])
+    ap.add_argument("--ban-columns", help="what ip, period and reason are called in the table")
+    ap.add_argument("--ban-ttl", help="seconds; default: the ban time")
     ap.add_argument("--window", default=DetectorConfig.window)
     ap.add_argument("--slide", default=DetectorConfig.slide)
     ap.add_argument("--watermark", default=DetectorConfig.watermark)
@@ -247,6 +283,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "compact" and not (a.ban_path and a.snapshot_out and a.before):
         ap.error("compact needs --ban-path, --snapshot-out and --before")
     spark = SparkSession.builder.appName(f"clickguard-{a.job}").getOrCreate()
+    apply_base_conf(spark)
     if a.job == "compact":
         compact_job(spark, a.ban_path, a.snapshot_out, a.before, a.snapshot, a.snapshot_cut)
         return
@@ -266,12 +303,17 @@ def main(argv: list[str] | None = None) -> None:
         lines = spool_stream(spark, a.spool_dir, max_files_per_trigger=a.max_files,
                              archive_dir=a.spool_archive)
         q = spool_ingest_job(spark, lines, a.keyed_path, a.quarantine_path, a.checkpoint,
-                             trigger=a.trigger)
+                             trigger=a.trigger, topic=a.spool_topic and {
+                                 "kafka.bootstrap.servers": a.brokers, "topic": a.spool_topic})
     else:
-        records = kafka_stream_from(spark, kconf)
+        records = (keyed_stream(spark, a.keyed_path, a.max_files) if a.from_spool
+                   else kafka_stream_from(spark, kconf))
         if a.job == "bans":
+            given = {"ban.columns": a.ban_columns, "ban.ttl": a.ban_ttl}
             q = ban_job(spark, records, conf, a.ban_path, a.checkpoint, a.detector,
-                        a.time, a.parse, a.precision, trigger=a.trigger, explain=a.explain)
+                        a.time, a.parse, a.precision, trigger=a.trigger, explain=a.explain,
+                        skip_old=a.skip_old, sink=a.ban_sink,
+                        options={k: v for k, v in given.items() if v is not None})
         elif a.job == "archive":
             q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
                             a.archive_partition, trigger=a.trigger, explain=a.explain,

@@ -66,7 +66,6 @@ def test_sink_options_report_every_error():
     with pytest.raises(ValueError) as e:
         validate_ban_sink_options({"ban.ttl": "x"})
     msg = str(e.value)
-    assert msg.startswith("Incorrect sink configuration:")
     assert "ban.path" in msg and "ban.columns" in msg and "ban.ttl" in msg
     o = validate_ban_sink_options({"ban.path": "/p", "ban.columns": "ip, period, reason",
                                    "ban.ttl": "86400"})
@@ -117,7 +116,7 @@ def test_columns_are_paired_by_position(spark, scratch):
     r = spark.read.parquet(scratch + "/bans").collect()[0]
     assert (r["ip"], r["period"], r["reason"]) == ("a", 7, "x")
     with pytest.raises(ValueError):
-        validate_ban_sink_options({"ban.path": "/p", "ban.columns": "ip, until, reason"})
+        validate_ban_sink_options({"ban.path": "/p", "ban.columns": "ip, IP, reason"})
 
 
 @pytest.mark.parametrize("ttl_s", [0, 3600, 86400])

@@ -1,6 +1,7 @@
 """The reference's detector cases, run through every detector form."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
 from clickguard.operators.incidents import (
@@ -138,3 +139,26 @@ def test_missing_column_fails_early(spark):
     df = spark.createDataFrame([(IP, at(0))], "ip string, eventTime timestamp")
     with pytest.raises(ValueError, match="action"):
         find_incidents(df, CONF)
+
+
+@pytest.mark.parametrize("slide", ["1 hour", "6 hours"])
+@pytest.mark.parametrize("strategy", ["expand", "panes"])
+def test_times_without_a_zone_are_read_in_the_session_zone(spark, strategy, slide):
+    conf = DetectorConfig(window="1 day", slide=slide, min_events=0, max_events=1)
+    with_zone = spark.createDataFrame([("a", "click", at(0)), ("a", "watch", at(9))],
+                                      "ip string, action string, eventTime timestamp")
+    bare = with_zone.withColumn("eventTime", F.col("eventTime").cast("timestamp_ntz"))
+    got, want = (sorted(map(tuple, find_incidents(e, conf, strategy=strategy).collect()))
+                 for e in (bare, with_zone))
+    assert got == want and want
+
+
+def test_no_incident_without_a_time(spark):
+    """Arrivals whose message had no readable time: counted, never reported."""
+    from clickguard.operators.arrival import find_incidents_by_arrival
+
+    rows = [("a", "click", None, at(n)) for n in range(9)] + [("b", "click", at(n), at(n)) for n in range(9)]
+    df = spark.createDataFrame(rows, "ip string, action string, eventTime timestamp, arrival timestamp")
+    conf = DetectorConfig(window="10 seconds", slide="10 seconds", min_events=2, max_events=5)
+    got = find_incidents_by_arrival(df, conf).collect()
+    assert {r["ip"] for r in got} == {"b"} and all(r["reason"] and r["lastEvent"] for r in got)

@@ -18,6 +18,53 @@ MATRIX = [
 ]
 
 
+# JSON whose fields have other types, or that is not one object.
+ILL = [
+    ('{"type":"click","ip":12345,"unix_time":1514800800,"url":"/a"}', "invalid field: ip"),
+    ('{"type":"click","ip":"1.1.1.1","unix_time":1514800800,"url":true}', "invalid field: url"),
+    ('{"type":"click","ip":"1.1.1.1","unix_time":1514800800,"url":{"a":1}}', "invalid field: url"),
+    ('{"type":"click","ip":"1.1.1.1","unix_time":1514800800.0,"url":"/a"}', "invalid field: unix_time"),
+    ('{"type":"click","ip":null,"unix_time":1514800800,"url":"/a"}', "missing field: ip"),
+    ("{'type':'click','ip':'1.1.1.1','unix_time':1514800800,'url':'/a'}", "malformed json"),
+    (GOOD + " junk", "malformed json"),
+    (GOOD + GOOD, "malformed json"),
+    (GOOD + "," + GOOD, "malformed json"),
+    (GOOD + "] x", "malformed json"),
+    (GOOD + ",1] x", "malformed json"),
+    (GOOD + "} {", "malformed json"),
+    ("[" + GOOD + "]", "malformed json"),
+    ('"' + "text" + '"', "malformed json"),
+    ("", "malformed json"),
+] + [('{"type":"click","ip":"1.1.1.1","unix_time":%d,"url":"/a"}' % t, "invalid field: unix_time")
+     for t in (9223372036854775807, 9223372036854, -9223372036855, 253402300800000, 253402300800)]
+
+
+def test_strict_rejects_what_is_not_well_typed(spark):
+    df = spark.createDataFrame([("k", v) for v, _ in ILL], "key string, value string")
+    assert parse_strict(df).count() == 0
+    got = {r["raw"]: r["reason"] for r in quarantine(df).collect()}
+    assert got == dict(ILL)
+
+
+def test_times_of_any_size_do_not_fail_a_job(spark):
+    from clickguard.config import DetectorConfig
+    from clickguard.operators.bans import ban_records
+    from clickguard.operators.incidents import find_incidents
+    from clickguard.plans.sql import find_incidents_sql
+
+    times = [9223372036854775807, 9223372036854, -9223372036855, 253402300800000, 253402300799,
+             -62135596800, -62135596801]
+    df = spark.createDataFrame([("k", '{"type":"click","ip":"i","unix_time":%d,"url":"/"}' % t)
+                                for t in times], "key string, value string")
+    events = parse_lenient(df)
+    assert [r["eventTime"] is None for r in events.select("eventTime").selectExpr(
+        "string(eventTime) eventTime").collect()] == [True] * 4 + [False] * 2 + [True]
+    conf = DetectorConfig(min_events=0, max_events=1)
+    for inc in (find_incidents(events, conf, strategy="expand"), find_incidents(events, conf, strategy="panes"),
+                find_incidents_sql(spark, events, conf)):
+        assert ban_records(inc, conf).count() == 20  # two times, ten windows each
+
+
 def records(spark):
     return spark.createDataFrame(MATRIX, "key string, value string")
 

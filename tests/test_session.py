@@ -23,4 +23,4 @@ def test_shuffle_partitions_for():
 
     assert shuffle_partitions_for(0, cores=8) == 16
     assert shuffle_partitions_for(10 << 40, cores=8) == 40960       # 10 TiB / 256 MiB
-    assert shuffle_partitions_for(1 << 60, cores=8) == 100_000
+    assert shuffle_partitions_for(1 << 60, cores=8) == 1 << 32

@@ -169,14 +169,16 @@ def test_foreach_row_writer(spark, scratch):
 
     write_files(f"{scratch}/in", FILES[:1])
     q = (event_stream(spark, f"{scratch}/in").writeStream
-         .foreach(JsonLinesForeachWriter(f"{scratch}/rows"))
+         .foreach(JsonLinesForeachWriter(spark, f"{scratch}/rows", f"{scratch}/ckpt", ttl_s=60))
          .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
     assert q.awaitTermination(300) and q.exception() is None
     n = 0
     for root, _, files in os.walk(f"{scratch}/rows"):
         for fn in files:
             with open(os.path.join(root, fn)) as f:
-                n += sum(1 for _ in f)
+                rows = [json.loads(line) for line in f]
+                assert all(r["expires"] > time.time() * 1000 for r in rows)
+                n += len(rows)
     assert n == 5
 
 
@@ -394,3 +396,155 @@ def test_events_stream_reads_a_folder_of_part_files(spark, scratch):
              .trigger(availableNow=True).start())
         assert q.awaitTermination(300) and q.exception() is None
         assert spark.read.parquet(f"{scratch}/out/{len(d)}").count() == 1000
+
+
+GOOD = '{"type":"click","ip":"%s","unix_time":%d,"url":"/a"}'
+
+
+def topic_files(d, batches):
+    """Kafka-shaped JSON files, one per micro-batch: (ip, broker second)."""
+    os.makedirs(d)
+    base = time.time() - 1000
+    for i, rows in enumerate(batches):
+        with open(f"{d}/b{i}.json", "w") as f:
+            for ip, sec in rows:
+                unix_time = int((at(sec) - dt.datetime(1970, 1, 1)).total_seconds())
+                f.write(json.dumps({"key": ip, "value": GOOD % (ip, unix_time),
+                                    "timestamp": at(sec).isoformat()}) + "\n")
+        os.utime(f"{d}/b{i}.json", (base + i, base + i))
+
+
+def topic(spark, d):
+    return (spark.readStream.schema("key string, value string, timestamp timestamp")
+            .option("maxFilesPerTrigger", 1).json(d))
+
+
+def test_arrival_stream_keeps_a_lagging_partition(spark, scratch):
+    """A key whose partition lags the others by less than the watermark is
+    judged as in the batch form; no row is dropped."""
+    from clickguard.functions.parse import parse_strict
+    from clickguard.operators.arrival import find_incidents_by_arrival
+    from clickguard.streaming.jobs import ban_job
+
+    conf = DetectorConfig(window="10 seconds", slide="1 second", watermark="10 minutes",
+                          min_events=2, max_events=4, min_rate=0.5)
+    topic_files(f"{scratch}/in", [[("fast", 100 + n) for n in range(5)], [("fast", 105)],
+                                  [("slow", 30 + n) for n in range(6)], [("fast", 106)]])
+    q = ban_job(spark, topic(spark, f"{scratch}/in"), conf, f"{scratch}/bans", f"{scratch}/ckpt",
+                time="arrival", parse="strict", trigger="availableNow")
+    q.awaitTermination()
+    assert sum(s.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+               for s in p["stateOperators"]) == 0
+    records = spark.read.schema("key string, value string, timestamp timestamp").json(f"{scratch}/in")
+    batch = find_incidents_by_arrival(
+        parse_strict(records, keep=("timestamp",)).withColumnRenamed("timestamp", "arrival"), conf)
+    want = {r["reason"] for r in batch.where("ip = 'slow'").collect()}
+    got = {r["reason"] for r in spark.read.parquet(f"{scratch}/bans").where("ip = 'slow'").collect()}
+    assert got and got <= want
+
+
+def test_a_checkpoint_made_anew_keeps_the_older_run(spark, scratch):
+    """The same checkpoint path with another query behind it: batch ids start
+    at 0 again, and nothing of the first run is overwritten."""
+    from clickguard.sources.spool import spool_stream
+    from clickguard.streaming.jobs import spool_ingest_job
+
+    for run in "ab":
+        os.makedirs(f"{scratch}/{run}")
+        with open(f"{scratch}/{run}/x.log", "w") as f:
+            f.write(GOOD % (run, 1514800800) + "\n")
+        q = spool_ingest_job(spark, spool_stream(spark, f"{scratch}/{run}"), f"{scratch}/keyed",
+                             f"{scratch}/quarantine", f"{scratch}/ckpt", trigger="availableNow")
+        q.awaitTermination()
+        os.rename(f"{scratch}/ckpt", f"{scratch}/ckpt-{run}")
+    assert sorted(r["key"] for r in spark.read.parquet(f"{scratch}/keyed").collect()) == ["a", "b"]
+
+
+def test_a_replay_after_midnight_finds_its_folder(spark, scratch, monkeypatch):
+    from clickguard.streaming import sinks
+
+    batch = spark.createDataFrame([("1.1.1.1", 5, "why")], "ip string, period bigint, reason string")
+    seen = []
+    for day in (0, 1):  # a new writer, as after a restart, a day later
+        monkeypatch.setattr(sinks.time, "time_ns", lambda d=day: (1_700_000_000 + 86_400 * d) * 10**9)
+        sinks.BanLogWriter(f"{scratch}/log", 3600, run_id="r")(batch, 4)
+        seen.append([tuple(r) for r in spark.read.parquet(f"{scratch}/log").collect()])
+    assert seen[0] == seen[1] and len(seen[1]) == 1
+
+
+@pytest.mark.parametrize("schema", ["reason string, ip string, period bigint", "a string, b bigint",
+                                    "a string, b bigint, c string, d string"])
+def test_ban_columns_that_do_not_fit_raise(spark, scratch, schema):
+    from clickguard.streaming.sinks import BanLogWriter
+
+    with pytest.raises(ValueError):
+        BanLogWriter(f"{scratch}/log", 0)(spark.createDataFrame([], schema), 0)
+
+
+def test_ban_table_with_other_column_names(spark, scratch):
+    from clickguard.streaming.sinks import BanLogWriter
+
+    writer = BanLogWriter.from_options({"ban.path": f"{scratch}/log", "ban.columns": "addr,until,why"})
+    writer(spark.createDataFrame([("a", 5, "x"), ("a", 6, "y")], "i string, p bigint, r string"), 0)
+    row = spark.read.parquet(f"{scratch}/log").collect()
+    assert [(r["addr"], r["until"], r["why"], r["expires_at"]) for r in row] == [("a", 6, "y", None)]
+
+
+def test_small_batches_make_one_file(spark, scratch):
+    from clickguard.streaming.sinks import BanLogWriter
+
+    rows = spark.range(200).selectExpr("string(id) ip", "id period", "'r' reason").repartition(16)
+    w = BanLogWriter(f"{scratch}/log", 0, run_id="r")
+    w(rows, 0)
+    w(rows.limit(0), 1)
+    files = [f for d, _, fs in os.walk(f"{scratch}/log") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 2 and spark.read.parquet(f"{scratch}/log").count() == 200
+
+
+def test_spool_to_bans_from_the_command_line(spark, scratch):
+    """Lines, keyed records, bans: what the spool job writes the ban job reads."""
+    from clickguard.operators.bans import current_bans
+    from clickguard.streaming.jobs import main
+
+    os.makedirs(f"{scratch}/spool")
+    with open(f"{scratch}/spool/a.log", "w") as f:
+        for n in range(6):
+            f.write(GOOD % ("1.1.1.1", 1514800800 + n) + "\n")
+        f.write(GOOD % ("2.2.2.2", 1514800800) + "\n")
+        f.write(GOOD % ("1.1.1.1", 2**62) + "\n")  # a time that no calendar has
+    keyed = ["--keyed-path", f"{scratch}/keyed", "--trigger", "availableNow"]
+    main(["spool", "--spool-dir", f"{scratch}/spool", "--quarantine-path", f"{scratch}/q",
+          "--checkpoint", f"{scratch}/c1", *keyed])
+    main(["bans", "--from-spool", "--ban-path", f"{scratch}/bans", "--checkpoint", f"{scratch}/c2",
+          "--min-events", "2", "--max-events", "5", *keyed])
+    got = current_bans(spark.read.parquet(f"{scratch}/bans")).collect()
+    assert [r["ip"] for r in got] == ["1.1.1.1"] and got[0]["reason"].startswith("too much events: 6 from")
+    main(["bans", "--from-spool", "--ban-path", f"{scratch}/bans3", "--checkpoint", f"{scratch}/c3",
+          "--time", "batch", "--detector", "aggregator", "--skip-old", *keyed])
+
+
+def test_jobs_apply_the_session_settings(spark):
+    from clickguard.session import BASE_CONF, apply_base_conf
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        apply_base_conf(spark)  # the session was started with the zone set
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    assert spark.conf.get(key) == BASE_CONF[key]
+
+
+def test_registered_queries_on_a_table_without_incidents(spark, scratch):
+    """Five events: no incident, no ban, no failure."""
+    import __spark_entry__ as entry
+    from clickguard import catalog
+
+    src = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src.limit(5).withColumn("user_id", F.col("event_id")).coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    for name, query in catalog.queries().items():
+        rows = query(spark, scratch).count()
+        assert name in entry.queries()
+        if "incident" in name or "ban" in name:
+            assert rows == 0, name
