@@ -75,13 +75,11 @@ def windowed_aggregates(events: DataFrame, conf: DetectorConfig,
             .agg(*aggregation_columns("action", time_col)))
 
 
-# On one machine (sf0.1 `events`, warm, local[8], best of 3) Expand vs
-# panes: fan-out 4 0.48 vs 0.85 s, 10 1.31 vs 1.27 s, 12 1.08 vs 1.39 s,
-# 24 2.27 vs 2.57 s - a local shuffle is nearly free. On a cluster the
-# Expand form ships up to k rows per event (sparse ips combine little in
-# the partial aggregate) and panes about three (pane aggregate, then at
-# most two routed copies), so panes are chosen from a fan-out of 12 on.
-PANES_MIN_FAN_OUT = 12
+# Rows crossing exchanges on sf0.1 `events` in 8 map tasks, Expand vs panes
+# (both shuffles): fan-out 2 199k vs 246k, 4 350k vs 231k, 6 525k vs 251k,
+# 10 999k vs 290k, 12 1,049k vs 274k, 24 2,098k vs 287k. Panes need one more
+# shuffle, so they are chosen from where they carry at most half the rows.
+PANES_MIN_FAN_OUT = 6
 
 
 def choose_strategy(df: DataFrame, conf: DetectorConfig) -> str:
