@@ -218,7 +218,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     texts; repeated rows and items give repeated results; null ids stay null; an
     empty table on either side gives an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).alias("item"),
                              F.col(item_text).cast("string").alias("text"))
@@ -230,10 +229,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found = None
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in mine.collect()]))
+        index = Index([tuple(r) for r in mine.collect()])
 
-        def run(batches, index=index):
-            ix, hasher = index.value, WordHasher()
+        def run(batches, ix=index):  # Spark sends a large function as a broadcast
+            hasher = WordHasher()
             for b in slabs(batches, "text", _SLAB):
                 best = search(ix, hasher(b.column("text").to_pylist()), least)
                 if best:
@@ -249,7 +248,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         part = rows.mapInArrow(run, schema)
         if blocks > 1:  # an index at a time in the executors' memory
             part = stored(part, "leaks")
-            index.unpersist()
         found = part if found is None else found.unionByName(part)
     out = ["similarity", "word_start", "n_words"]
     return found.select(F.col("id").alias(id_col),

@@ -217,10 +217,10 @@ def license_hits(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     rows stay; an empty table gives an empty one; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    index = docs.sparkSession.sparkContext.broadcast(Templates(templates))
+    t = Templates(templates)
 
     def run(batches):
-        t, words = index.value, hasher()
+        words = hasher()
         for b in slabs(batches, "text", _SLAB):
             best = search(t, words(b.column("text").to_pylist()), least)
             if best:

@@ -88,8 +88,8 @@ def merge_order(word: str, rank: dict[str, int]) -> tuple[list[str], list]:
 
 
 class Vocabulary:
-    """What encoding and decoding need of a model file; small, so it is
-    broadcast as a whole."""
+    """What encoding and decoding need of a model file: a few MB, sent whole
+    to every task."""
 
     def __init__(self, model_path: str):
         from sentencepiece import sentencepiece_model_pb2
@@ -371,11 +371,11 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     table gives an empty one; other columns are not read. Text holding
     U+2581 itself decodes to spaces there, as in the library.
     """
-    vocab = docs.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
+    vocab = Vocabulary(model_path)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        codec = Codec(vocab.value)
+        codec = Codec(vocab)
         for b in slabs(batches, "text", SLAB_BYTES):
             texts = b.column("text").to_pylist()
             ids, n = codec.encode([t or "" for t in texts])
@@ -400,11 +400,11 @@ def decode(tokens: DataFrame, model_path: str, id_col: str = "doc_id",
            ids_col: str = "token_ids") -> DataFrame:
     """(`id_col`, text) per row of `tokens`: null for null ids, empty for
     none. A null among the ids counts as the unknown piece."""
-    vocab = tokens.sparkSession.sparkContext.broadcast(Vocabulary(model_path))
+    vocab = Vocabulary(model_path)
     rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
 
     def run(batches):
-        codec = Codec(vocab.value)
+        codec = Codec(vocab)
         for b in batches:
             lists = b.column("ids")
             for lo in range(0, b.num_rows, 512):
