@@ -41,7 +41,7 @@ def summarise(text: str) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as e
+    from clickguard import catalog as e
     from clickguard.plans.explain import plan_text
     from clickguard.session import local_session
 
