@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickguard.session import scratch_path
 
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 2 << 20
+#: Rows of an Arrow batch where rows are whole texts.
+BATCH_ROWS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +30,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_texts(rows: DataFrame, run, schema: str) -> DataFrame:
+    """`rows.mapInArrow(run, schema)` in batches of at most `BATCH_ROWS`: the
+    default of 10,000 is meant for short rows. A lower setting of the session
+    stays."""
+    conf, key = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return rows.mapInArrow(run, schema)
+
+
 def fresh(name: str, taken: Iterable[str]) -> str:
     """`name`, or `name` with underscores in front until no column of `taken`
     has it (Spark compares names without case)."""

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, ragged, slabs, stored
+from clickguard.llm.common import fresh, map_texts, ragged, slabs, stored
 from clickguard.llm.words import WordHasher
 
 SHINGLE = 5
@@ -42,10 +42,10 @@ LARGEST = 256
 BLOCKS, BLOCK_BITS, PER_BLOCK = 4, 16, 3
 RADIUS = BLOCKS * (PER_BLOCK + 1) - 1
 ITEMS = 500
-_SLAB = 2 << 20
-_WINDOWS = 1 << 16  # looked up at a time
+_SLAB = 1 << 20
+_WINDOWS = 1 << 15  # looked up at a time
 #: Words of a text searched at a time, besides the overlap.
-SEGMENT = 1 << 18
+SEGMENT = 1 << 17
 
 _U = np.uint64
 _ONES, _HIGH, _PICK = _U(0x0101010101010101), _U(0x8080808080808080), _U(0x0102040810204080)
@@ -245,7 +245,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                          pa.array([int(ix.size[i]) for _, i in key], pa.int32())],
                         ["id", "item", "similarity", "word_start", "n_words"])
 
-        part = rows.mapInArrow(run, schema)
+        part = map_texts(rows, run, schema)
         if blocks > 1:  # an index at a time in the executors' memory
             part = stored(part, "leaks")
         found = part if found is None else found.unionByName(part)

@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, slabs
+from clickguard.llm.common import fresh, map_texts, slabs
 from clickguard.llm.decontaminate import LARGEST, SEGMENT, SHINGLE, shingles, size_class, step
 from clickguard.llm.words import WordHasher, mixed
 
 BANDS, ROWS = 8, 2
 TEMPLATE_BYTES = 16 << 20
-_SLAB = 2 << 20
+_SLAB = 1 << 20
 _PART = 1 << 15  # windows a step
 
 #: Wordings of public licenses' notices.
@@ -233,6 +233,6 @@ def license_hits(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
                     ["id", "license", "containment", "word_start"])
 
     out = ["license", "containment", "word_start"]
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, license string, "
+    return map_texts(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, license string, "
                                 "containment double, word_start long").select(
         F.col("id").alias(id_col), *[F.col(c).alias(fresh(c, [id_col])) for c in out])

@@ -33,16 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, ragged, slabs
+from clickguard.llm.common import fresh, map_texts, ragged, slabs
 from clickguard.llm.words import mixed
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 1 << 20
 #: Words whose pieces a task remembers, and pairs judged.
 CACHED_WORDS, CACHED_PAIRS = 400_000, 1_000_000
 #: Rows x lengths of a Viterbi step.
-STEP_CELLS = 1 << 21
+STEP_CELLS = 1 << 19
 _NEVER = 1 << 40
 _UNKNOWN_PENALTY = 10.0
 
@@ -392,7 +392,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     schema = (f"id {rows.schema['id'].dataType.simpleString()}, token_ids array<int>, n_tokens int"
               + ", round_trip boolean" * check)
     out = ["token_ids", "n_tokens", "round_trip"][:2 + check]
-    return rows.mapInArrow(run, schema).select(
+    return map_texts(rows, run, schema).select(
         F.col("id").alias(id_col), *[F.col(c).alias(fresh(c, [id_col])) for c in out])
 
 
@@ -415,5 +415,5 @@ def decode(tokens: DataFrame, model_path: str, id_col: str = "doc_id",
                                 mask=part.is_null().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([b.column("id").slice(lo, 512), text], ["id", "text"])
 
-    return (rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string")
+    return (map_texts(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, text string")
             .select(F.col("id").alias(id_col), F.col("text").alias(fresh("text", [id_col]))))

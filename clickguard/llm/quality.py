@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, slabs, stored
+from clickguard.llm.common import fresh, map_texts, slabs, stored
 
 FOURIER = 256
 RIDGE = 1e-3
@@ -81,7 +81,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             x = [statistics(t).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(x, pa.binary())], ["id", "x"])
 
-    return rows.mapInArrow(run, f"id {kind}, x binary")
+    return map_texts(rows, run, f"id {kind}, x binary")
 
 
 def _matrix(column) -> np.ndarray:

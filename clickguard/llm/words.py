@@ -10,7 +10,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _FINAL = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Bytes hashed at a time (longer texts in pieces, cut at white space).
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
