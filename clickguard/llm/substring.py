@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, slabs
+from clickguard.llm.common import fresh, map_texts, slabs
 
 #: Bytes that a hash depends on, and the shift a byte.
 WINDOW, SHIFT = 16, 4
 #: A chunk is also cut after so many words, which its packed length can hold.
 MOST_WORDS = 4095
-_PIECE = 4 << 20
+_PIECE = 1 << 20
 _PLACE, _LENGTH = 40, 12  # bit offsets in the packed place of a chunk
 
 #: byte -> random word; 0 for the byte that pads the start of a text
@@ -113,7 +113,7 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      pa.array(np.concatenate(at)), pa.array(np.concatenate(digest))],
                     ["id", "at", "digest"])
 
-    return rows.mapInArrow(run, f"id {kind}, at long, digest long")
+    return map_texts(rows, run, f"id {kind}, at long, digest long")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -174,7 +174,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ref, cuts, th = (fresh(c, have) for c in ("ref", "cuts", "text_hash"))
     per_doc = spans.groupBy(F.col("id").alias(ref)).agg(
         F.collect_list(F.struct("text_hash", "word_start", "n_words")).alias(cuts))
-    joined = docs.join(per_doc, F.col(id_col) == F.col(ref), "left").drop(ref)
+    # one pass: texts without cuts do not go through Python
+    joined = docs.join(per_doc, F.col(id_col) == F.col(ref), "left")
 
     @F.pandas_udf("string")
     def cut(texts, lists):
@@ -187,9 +188,9 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out.append(without_spans(t, mine) if mine else t)
         return texts.__class__(out, dtype=object)
 
-    some = joined.where(F.col(cuts).isNotNull()).withColumn(th, cut(text_col, cuts))
-    left = F.length(F.regexp_replace(F.col(th), r"[ \t-\r]+", "")) > 0
-    same = F.col(th).eqNullSafe(F.col(text_col))
-    return (joined.where(F.col(cuts).isNull()).select(have)
-            .unionByName(some.where(left | same)
-                         .select(*[F.col(th).alias(c) if c == text_col else F.col(c) for c in have])))
+    some = F.col(cuts).isNotNull()
+    done = joined.withColumn(th, cut(F.when(some, F.col(text_col)), F.col(cuts)))
+    new = F.coalesce(th, text_col)
+    left = F.col(th).rlike(r"[^ \t-\r]") | F.col(th).eqNullSafe(F.col(text_col))
+    return (done.where(~some | left)
+            .select(*[new.alias(c) if c == text_col else F.col(c) for c in have]))
