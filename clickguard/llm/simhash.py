@@ -38,8 +38,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, slabs, stored
+from clickguard.llm.common import fresh, map_texts, slabs, stored
 from clickguard.llm.components import connected_components
+from clickguard.llm.words import mixed
 
 SEED = 42
 PIVOTS = 16
@@ -94,7 +95,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(np.array(fp, np.uint64).view(np.int64))], ["id", "fp"])
 
-    return rows.mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    return map_texts(rows, run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
 def _cuts(bits: list[int], blocks: int) -> list[list[int]]:
@@ -175,41 +176,56 @@ class _Linker:
 
     def __call__(self, batches):
         """Rows (kind, a, b): a link of two fingerprints (kind 0), or a bucket
-        key and a fingerprint of an overfull bucket (kind 1)."""
+        key and a fingerprint of an overfull bucket of family kind - 1."""
         key, fp, full = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
 
         def rows(kind, a, b):
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(a), kind, np.int8)), pa.array(a.view(np.int64)),
+                [pa.array(np.broadcast_to(np.int8(kind), len(a))), pa.array(a.view(np.int64)),
                  pa.array(b.view(np.int64))], ["kind", "a", "b"])
 
-        def overfull(key, fp):
-            return rows(1, key.view(np.uint64), fp)
+        family = np.zeros(0, np.int8)
 
-        for b in batches:
-            key = np.r_[key, b.column("k").to_numpy()]
-            fp = np.r_[fp, b.column("fp").to_numpy().view(np.uint64)]
+        def overfull(key, fp, family):
+            return rows(family + 1, key.view(np.uint64), fp)
+
+        for more in self.chunks(batches):
+            key, fp, family = (np.r_[x, y] for x, y in zip((key, fp, family), more))
             if full is not None:  # the rest of a bucket that goes on
                 n = int(np.searchsorted(key != full, True))
-                yield overfull(key[:n], fp[:n])
-                key, fp = key[n:], fp[n:]
+                yield overfull(key[:n], fp[:n], family[:n])
+                key, fp, family = key[n:], fp[n:], family[n:]
                 full = full if not len(key) else None
-            if len(key) >= CHUNK_ROWS or self.limit and len(key) > self.limit:
+            if len(key):
                 n = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
-                yield from self.whole(key[:n], fp[:n], rows, overfull)
-                key, fp = key[n:], fp[n:]
+                yield from self.whole(key[:n], fp[:n], family[:n], rows, overfull)
+                key, fp, family = key[n:], fp[n:], family[n:]
                 if self.limit and len(key) > self.limit:
-                    yield overfull(key, fp)
-                    full, key, fp = key[0], key[:0], fp[:0]
-        yield from self.whole(key, fp, rows, overfull)
-
-    def whole(self, key, fp, rows, overfull):
+                    yield overfull(key, fp, family)
+                    full, key, fp, family = key[0], key[:0], fp[:0], family[:0]
+        yield from self.whole(key, fp, family, rows, overfull)
+
+    @staticmethod
+    def chunks(batches):
+        """The rows, about CHUNK_ROWS at a time."""
+        parts, n = [], 0
+        for b in batches:
+            parts.append((b.column("k").to_numpy(), b.column("fp").to_numpy().view(np.uint64),
+                          b.column("family").to_numpy()))
+            n += b.num_rows
+            if n >= CHUNK_ROWS:
+                yield [np.concatenate(x) for x in zip(*parts)]
+                parts, n = [], 0
+        if n:
+            yield [np.concatenate(x) for x in zip(*parts)]
+
+    def whole(self, key, fp, family, rows, overfull):
         if self.limit and len(key):
             cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
             size = np.diff(cut)
             over = np.repeat(size > self.limit, size)
             if over.any():
-                yield overfull(key[over], fp[over])
+                yield overfull(key[over], fp[over], family[over])
                 key, fp = key[~over], fp[~over]
         if len(key) > 1:
             yield rows(0, *self.chunk(key, fp))
@@ -220,28 +236,33 @@ def hamming_links(fps: DataFrame, max_bits: int = 4, bucket_rows: int = BUCKET_R
     of the pairs within `max_bits` bits that connects all that such pairs
     connect. An empty input gives no links."""
     masks = block_masks(max_bits)
-
-    def keys(of, family):
-        # the family's number in the key keeps families apart; equal keys by
-        # chance only cost comparisons, as every link is verified
-        return F.explode(F.array(*[F.xxhash64(F.lit(f), of.bitwiseAND(F.lit(m)))
-                                   for f, m in family]))
-
-    first = fps.select(F.col("fp"), keys(F.col("fp"), list(enumerate(masks))).alias("k"))
+    # the family's number in the key keeps families apart; equal keys by
+    # chance only cost comparisons, as every link is verified
+    keys = F.array(*[F.xxhash64(F.lit(f), F.col("fp").bitwiseAND(F.lit(m))) for f, m in enumerate(masks)])
+    first = fps.select("fp", F.posexplode(keys).alias("family", "k")).select(
+        "k", "fp", F.col("family").cast("byte"))
     found = stored(_linked(first, max_bits, bucket_rows), "simhash-links")
-    links, over = found.where("kind = 0"), found.where("kind = 1")
+    links, over = found.where("kind = 0").select("a", "b"), found.where("kind > 0")
     if over.isEmpty():
-        return links.select("a", "b")
-    fine = None
-    for i, m in enumerate(masks):
-        # the bucket's key among the finer ones keeps its rows apart
-        mine = over.where(F.col("a") == F.xxhash64(F.lit(i), F.col("b").bitwiseAND(F.lit(m))))
-        part = mine.select(
-            F.col("b").alias("fp"),
-            F.explode(F.array(*[F.xxhash64(F.col("a"), F.lit(j), F.col("b").bitwiseAND(F.lit(x)))
-                                for j, x in enumerate(fine_masks(m, max_bits))])).alias("k"))
-        fine = part if fine is None else fine.unionByName(part)
-    return links.select("a", "b").unionByName(_linked(fine, max_bits, None).select("a", "b"))
+        return links
+    finer = [np.array(fine_masks(m, max_bits), np.int64).view(np.uint64) for m in masks]
+
+    def fine(batches):
+        """Keys of the finer buckets: the bucket's own, and each mask's bits."""
+        for b in batches:
+            family, key, fp = (b.column(c).to_numpy() for c in ("kind", "a", "b"))
+            for lo in range(0, b.num_rows, 256):
+                for f in np.unique(family[lo:lo + 256]):
+                    at = lo + np.flatnonzero(family[lo:lo + 256] == f)
+                    bits = fp[at].view(np.uint64)[:, None] & finer[f - 1]
+                    k = mixed(mixed(bits + np.arange(bits.shape[1], dtype=np.uint64))
+                              + key[at].view(np.uint64)[:, None])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(k.ravel().view(np.int64)), pa.array(np.repeat(fp[at], bits.shape[1])),
+                         pa.array(np.zeros(k.size, np.int8))], ["k", "fp", "family"])
+
+    rows = over.mapInArrow(fine, "k long, fp long, family byte")
+    return links.unionByName(_linked(rows, max_bits, None).select("a", "b"))
 
 
 def _linked(keyed: DataFrame, max_bits: int, limit: int | None) -> DataFrame:

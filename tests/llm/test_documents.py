@@ -55,9 +55,9 @@ def brute_components(rows, bits=4):
                   key=str)
 
 
-@pytest.mark.parametrize("bucket", [simhash.BUCKET_ROWS, 3])
+@pytest.mark.parametrize("bucket", [simhash.BUCKET_ROWS, 12])
 def test_simhash_components(spark, bucket):
-    """A bucket limit of 3 sends the near copies through the finer keys."""
+    """A bucket limit of 12 sends the near copies through the finer keys."""
     rows = near_rows()
     got = simhash.simhash_components(table(spark, rows), bucket_rows=bucket).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(rows)

@@ -6,7 +6,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
-from clickguard.llm import queries
+from clickguard.llm import queries, simhash
 from clickguard.llm.common import stored
 
 N = 240
@@ -20,14 +20,17 @@ def words(r, n):
 def tables(spark, tmp_path_factory):
     """Documents 0..N-1: every fourth one junk; then the planted ones."""
     r = random.Random(1)
-    text = {i: words(r, 150).capitalize() + "." for i in range(N)}
+    text = {i: words(r, r.randrange(60, 400)).capitalize() + "." for i in range(N)}
     for i in range(0, N, 4):
         text[i] = "### ".join(text[i].upper().split())
     item, passage = words(r, 30), words(r, 80)
+    long = max((i for i in text if i % 4), key=lambda i: len(text[i]))
+    near = (text[long].replace(w, "changed", 1) for w in text[long].split())
+    near = next(t for t in near if (simhash.fingerprint(t) ^ simhash.fingerprint(text[long])).bit_count() <= 4)
     good = [i for i in range(N) if i % 4]
     planted = {
         1000: text[good[0]],  # exact copy
-        1001: text[good[1]].replace(text[good[1]].split()[70], "changed"),  # near copy
+        1001: near,  # near copy
         1002: f"{words(r, 90)} {item} {words(r, 90)}.",  # benchmark leak
         1003: f"{words(r, 120)} {passage} {words(r, 110)}.",
         1004: f"{words(r, 100)} {passage} {words(r, 130)}.",
