@@ -23,6 +23,7 @@ import gzip
 import hashlib
 import re
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -191,7 +192,7 @@ class _Writer:
             ("WARC-Profile", PROFILE if refers else None),
             ("WARC-Refers-To", _uuid(refers) if refers else None),
             ("WARC-Payload-Digest", f"sha1:{h['payload_digest']}"),
-            ("X-Page-ID", _uri(str(h["id"])) if h["id"] is not None else None),
+            ("X-Page-ID", quote(str(h["id"]), safe="") if h["id"] is not None else None),
             ("Content-Type", "application/http;msgtype=response"),
             ("Content-Length", str(len(http) + (0 if refers else h["payload_bytes"])))])
         self.put(http)
@@ -305,7 +306,8 @@ def records_of(path: str, stream, chunk_bytes: int = CHUNK_BYTES, data: bool = T
             left -= f.tell() - at
         stated = http.get("content-length")
         digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
-        row = (path, h.get("warc-record-id"), kind, h.get("x-page-id"), h.get("warc-target-uri"),
+        ident = h.get("x-page-id")
+        row = (path, h.get("warc-record-id"), kind, ident and unquote(ident), h.get("warc-target-uri"),
                h.get("warc-refers-to"), int(stated) if stated else None, digest)
         sha, size, n = hashlib.sha1(), 0, 0
         while True:
