@@ -7,19 +7,24 @@ chunk where the hash before it is below 2^64 / `mean_words`: the cuts of a
 passage are its own, wherever it stands and whatever was inserted before it,
 from its fourth word or so on. Chunks are compared by their 64-bit XXH3 digest.
 
-A chunk that also occurs in a document with a smaller id is repeated; the
-document with the smallest id keeps it. Maximal runs of neighbouring repeated
-chunks of at least `min_words` words are the spans to cut: by chance a few
-words repeat, so short runs are left alone. A passage loses about 3 words of
-sync and a part of a chunk at either end, so with the defaults (chunks of 4
-words, runs of 24) a passage of 50 words is found with probability 0.99, one of
-60 with 0.999; the part outside the whole chunks stays. A stretch of one word
-over and over has no cuts of its own and is found by what surrounds it only.
-
-Scale: one row of 3 longs per chunk. Keepers come from a map-side combined
-min/max per digest (hash aggregate); the repeated chunks from a join on the
-digest, whose hot keys adaptive execution splits, as the other side has one row
-per digest. Only repeated chunks are shuffled once more, by document.
+A window is a series of whole neighbouring chunks of at least `min_words` words
+that is not longer than it must be, counted from its first chunk on or from its
+last one back. Windows are compared by the 64-bit XXH3 digest of their chunks'
+digests, so one that repeats stands whole in one earlier document, and chunks
+that repeat by chance, each in another document, do not add up. A window that
+also occurs in a document with a smaller id is repeated; the document with the
+smallest id keeps it. Repeated windows that overlap or adjoin are one span to
+cut. As windows are taken from either side, a passage of whole chunks is covered
+up to its last chunk. It loses about 3 words of sync and a part of a chunk at
+either end, so with the defaults (chunks of 4 words, windows of 24) a passage of
+50 words is found with probability 0.99, one of 60 with 0.999; the part outside
+the whole chunks stays. A stretch of one word over and over has no cuts of its
+own and is found by what surrounds it only.
+
+Scale: one row of 3 longs per window, about 1.4 a chunk. Keepers come from a
+map-side combined min/max per digest (hash aggregate); the repeated windows from
+a join on the digest, whose hot keys adaptive execution splits, as the other side
+has one row per digest. Only repeated windows are shuffled once more, by document.
 """
 
 from __future__ import annotations
@@ -34,10 +39,11 @@ from clickguard.llm.common import fresh, map_texts, slabs
 
 #: Bytes that a hash depends on, and the shift a byte.
 WINDOW, SHIFT = 16, 4
-#: A chunk is also cut after so many words, which its packed length can hold.
-MOST_WORDS = 4095
+#: A chunk is also cut after so many words: a window is shorter than `min_words`
+#: and a chunk together, which its packed length can hold.
+MOST_WORDS = 2048
 _PIECE = 1 << 20
-_PLACE, _LENGTH = 40, 12  # bit offsets in the packed place of a chunk
+_PLACE, _LENGTH = 40, 12  # bit offsets in the packed place of a window
 
 #: byte -> random word; 0 for the byte that pads the start of a text
 _GEAR = np.array([0] + [xxhash.xxh64_intdigest(bytes([b]), 7) for b in range(1, 256)], np.uint64)
@@ -81,17 +87,35 @@ def chunks(data: bytes, mean_words: int = 4):
     if n.max() > MOST_WORDS:
         first = np.concatenate([np.arange(f, f + k, MOST_WORDS) for f, k in zip(first, n)])
         n = np.diff(np.r_[first, len(words)])
-    h64 = xxhash.xxh3_64_intdigest
-    digest = np.fromiter((h64(joined[a:b]) for a, b in
-                          zip(start[first].tolist(), end[first + n - 1].tolist())),
-                         np.uint64, len(first))
-    return first, n, digest.view(np.int64)
+    return first, n, _digests(joined, start[first], end[first + n - 1])
 
 
-def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                mean_words: int = 4) -> DataFrame:
-    """(id, at, digest) per chunk of the rows with an id; `at` packs a hash of
+def _digests(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    h64 = xxhash.xxh3_64_intdigest
+    digest = np.fromiter((h64(data[a:b]) for a, b in zip(start.tolist(), end.tolist())),
+                         np.uint64, len(start))
+    return digest.view(np.int64)
+
+
+def windows(data: bytes, mean_words: int = 4, min_words: int = 24):
+    """(first word, words, digest) arrays of the windows of a text."""
+    first, n, digest = chunks(data, mean_words)
+    if not len(first):
+        return first, n, digest
+    stop, k = first + n, np.arange(len(first))
+    on = np.searchsorted(stop, first + min_words, "left")
+    back = np.searchsorted(first, stop - min_words, "right") - 1
+    pair = np.unique(np.r_[(k * len(k) + on)[on < len(k)], (back * len(k) + k)[back >= 0]])
+    i, j = pair // len(k), pair % len(k)
+    return first[i], stop[j] - first[i], _digests(digest.tobytes(), 8 * i, 8 * j + 8)
+
+
+def window_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 mean_words: int = 4, min_words: int = 24) -> DataFrame:
+    """(id, at, digest) per window of the rows with an id; `at` packs a hash of
     the text, the first word's number and the number of words."""
+    if not 1 <= min_words < 1 << _LENGTH - 1:
+        raise ValueError(f"min_words must be from 1 to {(1 << _LENGTH - 1) - 1}")
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -103,7 +127,7 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 if not t:
                     continue
                 data = t.encode("utf-8", "surrogatepass")
-                first, n, d = chunks(data, mean_words)
+                first, n, d = windows(data, mean_words, min_words)
                 of.append(np.full(len(n), i))
                 at.append((_text_hash(data) << _PLACE) | (first << _LENGTH) | n)
                 digest.append(d)
@@ -126,7 +150,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     alone. Null ids and null or empty texts take no part. Empty tables give an
     empty result; other columns are not read.
     """
-    rows = chunk_table(docs, id_col, text_col, mean_words)
+    rows = window_table(docs, id_col, text_col, mean_words, min_words)
     kept = (rows.groupBy("digest").agg(F.min("id").alias("keep"), F.max("id").alias("last"))
             .where("keep <> last").select("digest", "keep"))
     again = (rows.join(kept, "digest").where("id <> keep")
@@ -134,17 +158,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      F.shiftright("at", _LENGTH).bitwiseAND(F.lit((1 << _PLACE - _LENGTH) - 1))
                      .alias("start"),
                      F.col("at").bitwiseAND(F.lit((1 << _LENGTH) - 1)).alias("n"), "keep"))
-    # repeated rows give the same chunk twice
-    by_text = Window.partitionBy("id", "text_hash").orderBy("start")
-    steps = (again.withColumn("before", F.lag(F.col("start") + F.col("n")).over(by_text))
-             .withColumn("same", F.coalesce(F.lag("start").over(by_text) == F.col("start"),
-                                            F.lit(False)))
-             .where("not same")
-             .withColumn("run", F.sum(F.when(F.col("before") == F.col("start"), 0).otherwise(1))
-                         .over(by_text)))
+    by_text = Window.partitionBy("id", "text_hash").orderBy("start", "n")
+    steps = (again.withColumn("stop", F.col("start") + F.col("n"))
+             .withColumn("before", F.max("stop").over(by_text.rowsBetween(Window.unboundedPreceding, -1)))
+             .withColumn("run", F.sum(F.when(F.col("start") <= F.col("before"), 0).otherwise(1))
+                         .over(by_text.rowsBetween(Window.unboundedPreceding, 0))))
     spans = (steps.groupBy("id", "text_hash", "run")
-             .agg(F.min("start").alias("word_start"), F.sum("n").alias("n_words"),
-                  F.min("keep").alias("first_id")).where(F.col("n_words") >= min_words))
+             .agg(F.min("start").alias("word_start"), (F.max("stop") - F.min("start")).alias("n_words"),
+                  F.min("keep").alias("first_id")))
     out = "text_hash", "word_start", "n_words", "first_id"
     return spans.select(F.col("id").alias(id_col),
                         *[F.col(c).alias(fresh(c, [id_col])) for c in out])

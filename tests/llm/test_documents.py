@@ -125,6 +125,44 @@ def test_substring_drops_what_is_all_repeated(spark):
     assert substring.cut_repeats(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("pool", [1, 2, 3, 6])
+def test_spans_stand_in_one_earlier_document(spark, pool):
+    """Few words, so that chunks repeat by chance: of a span every word is
+    within 24 words in a row that one document with a smaller id has."""
+    r = random.Random(20 + pool)
+    rows = [(i, words(r, r.randrange(40, 400), pool)) for i in range(40)]
+    p = words(r, 90, 10**6)
+    rows += [(50, f"{words(r, 90, pool)} {p} {words(r, 90, pool)}"), (51, f"{p} {words(r, 200, pool)}")]
+    text = {i: t.split() for i, t in rows}
+    grams = defaultdict(lambda: len(text))
+    for i, w in text.items():
+        for a in range(len(w) - 23):
+            grams[tuple(w[a:a + 24])] = min(i, grams[tuple(w[a:a + 24])])
+    spans = substring.repeated_spans(table(spark, rows)).collect()
+    for s in spans:
+        w, covered = text[s.doc_id], set()
+        for a in range(s.word_start, s.word_start + s.n_words - 23):
+            if grams[tuple(w[a:a + 24])] < s.doc_id:
+                covered.update(range(a, a + 24))
+        assert covered == set(range(s.word_start, s.word_start + s.n_words))
+    assert any(s.doc_id == 51 and s.n_words > 60 for s in spans)
+
+
+def test_windows_reach_both_ends_of_a_run():
+    data = words(random.Random(21), 3000, 10**6).encode()
+    first, n, _ = substring.chunks(data)
+    a, m, _ = substring.windows(data)
+    for i in range(0, len(n), 7):
+        for j in range(i, min(i + 20, len(n))):
+            lo, hi = first[i], first[j] + n[j]
+            inside = (a >= lo) & (a + m <= hi)
+            if hi - lo >= 24:
+                assert a[inside].min() == lo and (a + m)[inside].max() == hi
+            else:
+                assert not inside.any()
+    assert substring.windows(b"same " * 9000)[1].max() < 1 << substring._LENGTH
+
+
 def test_chunks_do_not_depend_on_pieces(monkeypatch):
     data = words(random.Random(6), 5000).encode()
     whole = substring.chunks(data)
