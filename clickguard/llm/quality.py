@@ -71,17 +71,21 @@ def statistics(text: str | None) -> np.ndarray:
         -(p * np.log2(p)).sum(), np.sqrt(ragged_end / len(words))]]
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, x) per row: x holds the statistics as doubles in a binary."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        row_col: str | None = None) -> DataFrame:
+    """(id, x) per row: x holds the statistics as doubles in a binary; with
+    `row_col` (id, row, x)."""
+    keys = {"id": id_col} | ({"row": row_col} if row_col else {})
+    rows = docs.select(*[F.col(c).alias(k) for k, c in keys.items()],
+                       F.col(text_col).cast("string").alias("text"))
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
         for b in slabs(batches, "text"):
             x = [statistics(t).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(x, pa.binary())], ["id", "x"])
+            yield pa.RecordBatch.from_arrays([*map(b.column, keys), pa.array(x, pa.binary())], [*keys, "x"])
 
-    return map_texts(rows, run, f"id {kind}, x binary")
+    return map_texts(rows, run, f"{kinds}, x binary")
 
 
 def _matrix(column) -> np.ndarray:
@@ -198,8 +202,9 @@ def held_out(id_col) -> F.Column:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text", label_col: str = "quality",
-                   threshold: float = 0.7) -> DataFrame:
-    """(`id_col`, held_out, score, predicted) per row of `docs`.
+                   threshold: float = 0.7, row_col: str | None = None) -> DataFrame:
+    """(`id_col`, held_out, score, predicted) per row of `docs`; `row_col`, a
+    column that tells rows apart, is passed on after the id.
 
     Labels are learnt from the rows of `labels` with a 0 or 1 whose id isn't
     held out: remainders 0 and 1 of crc32(id) mod 4 fit the ridge, remainder 3
@@ -208,7 +213,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     repeated labels count each; empty tables give empty results, or 0.5 each
     without labels. Other columns are not read.
     """
-    stats = stored(document_statistics(docs, id_col, text_col), "quality-stats")
+    stats = stored(document_statistics(docs, id_col, text_col, row_col), "quality-stats")
     y = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
          .select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
          .where(~held_out("id")))
@@ -216,15 +221,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         "x", "y", (F.crc32(F.col("id").cast("string")) % 4).alias("fold")), "quality-known")
     model = fit_quality(known.where("fold < 2").select("x", "y"),
                         known.where("fold = 3").select("x", "y"))
-    kind = stats.schema["id"].dataType.simpleString()
+    keys = ["id", "row"] if row_col else ["id"]
+    kinds = ", ".join(f"{k} {stats.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
         for b in batches:
             s = model.score(_matrix(b.column("x").to_pylist())) if b.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s)], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([*map(b.column, keys), pa.array(s)], [*keys, "score"])
 
-    out = [fresh(c, [id_col]) for c in ("held_out", "score", "predicted")]
-    return (stats.mapInArrow(run, f"id {kind}, score double")
-            .select(F.col("id").alias(id_col), held_out("id").alias(out[0]),
+    names = [id_col, row_col] if row_col else [id_col]
+    out = [fresh(c, names) for c in ("held_out", "score", "predicted")]
+    return (stats.mapInArrow(run, f"{kinds}, score double")
+            .select(*[F.col(k).alias(c) for k, c in zip(keys, names)], held_out("id").alias(out[0]),
                     F.col("score").alias(out[1]),
                     F.when(F.col("score") >= threshold, 1).otherwise(0).alias(out[2])))

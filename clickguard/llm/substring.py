@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickguard.llm.common import fresh, map_texts, slabs
+from clickguard.llm.common import fresh, map_texts, slabs, stored
 
 #: Bytes that a hash depends on, and the shift a byte.
 WINDOW, SHIFT = 16, 4
@@ -140,20 +140,40 @@ def window_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(rows, run, f"id {kind}, at long, digest long")
 
 
+def _after_first(again: DataFrame, places: DataFrame) -> DataFrame:
+    """The repeated windows without each one's first document in the order of
+    `places` (id, place); `keep` is that document."""
+    again = stored(again.drop("keep").join(places, "id"), "substring-again")
+    first = again.groupBy("digest").agg(F.min("place").alias("first"))
+    return (again.join(first, "digest").where("place <> first")
+            .withColumn("keep", F.col("first.id")))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   mean_words: int = 4, min_words: int = 24) -> DataFrame:
+                   mean_words: int = 4, min_words: int = 24,
+                   order_col: str | None = None) -> DataFrame:
     """(`id_col`, text_hash, word_start, n_words, first_id) per passage to cut.
 
     first_id is the smallest document that keeps a part of the passage.
     text_hash tells apart texts that share an id; rows that repeat id and text
     share their spans, and a passage that repeats within one id only is left
     alone. Null ids and null or empty texts take no part. Empty tables give an
-    empty result; other columns are not read.
+    empty result; other columns are not read. With `order_col`, whose value all
+    rows of an id share, earlier means smaller by it, nulls last, then by id.
     """
     rows = window_table(docs, id_col, text_col, mean_words, min_words)
     kept = (rows.groupBy("digest").agg(F.min("id").alias("keep"), F.max("id").alias("last"))
             .where("keep <> last").select("digest", "keep"))
-    again = (rows.join(kept, "digest").where("id <> keep")
+    again = rows.join(kept, "digest")
+    if order_col is None:
+        again = again.where("id <> keep")
+    else:
+        order = F.col(order_col)
+        places = docs.select(F.col(id_col).alias("id"), F.struct(
+            order.isNull().alias("none"), order.alias("order"), F.col(id_col).alias("id"))
+            .alias("place")).distinct()
+        again = _after_first(again, places)
+    again = (again
              .select("id", F.shiftright("at", _PLACE).alias("text_hash"),
                      F.shiftright("at", _LENGTH).bitwiseAND(F.lit((1 << _PLACE - _LENGTH) - 1))
                      .alias("start"),
@@ -186,11 +206,13 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                mean_words: int = 4, min_words: int = 24) -> DataFrame:
+                mean_words: int = 4, min_words: int = 24,
+                order_col: str | None = None) -> DataFrame:
     """`docs` with the repeated passages cut from its texts; rows whose text
     loses its last word go. All other rows and columns stay as they are."""
-    spans = repeated_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                           "id", "text", mean_words, min_words)
+    order = [] if order_col is None else [F.col(order_col).alias("order")]
+    spans = repeated_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *order),
+                           "id", "text", mean_words, min_words, "order" if order else None)
     have = docs.columns
     ref, cuts, th = (fresh(c, have) for c in ("ref", "cuts", "text_hash"))
     per_doc = spans.groupBy(F.col("id").alias(ref)).agg(

@@ -11,40 +11,58 @@ from clickguard.llm import decontaminate, pieces, quality, simhash, substring
 from clickguard.llm.common import read_table, stored
 from clickguard.llm.queries import MODEL
 
+ROW = "pipeline_row"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with a `ROW` key, a hash of id and text: rows that repeat both
+    share it, all others, also those without an id, have their own."""
+    return docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts good stay; rows that share an id
-    stay if one of them does (null is an id like any other)."""
-    scores = quality.quality_scores(docs, read_table(spark, sf_dir, "labels"))
-    good = scores.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(good, docs.doc_id.eqNullSafe(good.doc_id), "left_semi")
+    """Rows that the classifier predicts good stay."""
+    docs = keyed(docs)
+    scores = quality.quality_scores(docs, read_table(spark, sf_dir, "labels"), row_col=ROW)
+    good = scores.where("predicted = 1").select(F.col("doc_id").alias("good_id"),
+                                                F.col(ROW).alias("good_row")).distinct()
+    same = (docs[ROW] == good.good_row) & docs.doc_id.eqNullSafe(good.good_id)
+    return docs.join(good, same, "left_semi").drop(ROW)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one it is named by.
-    Of rows that repeat both its id and its text one stays; rows without an id
-    stay only where no member of their component has one."""
-    found = stored(simhash.simhash_components(docs).select("doc_id", "component_id"), "pipeline-groups")
-    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = named.groupBy("doc_id").agg(F.count("*").alias("rows"))
-    once, more = (keep.where(c).select(F.col("doc_id").alias("keep_id")) for c in ("rows = 1", "rows > 1"))
-    same = docs.doc_id.eqNullSafe(F.col("keep_id"))
+    """One row of each SimHash component stays: of those with its smallest id,
+    the one with the smallest key. Rows without an id come last, so one of them
+    stays only where no member of its component has one. Of rows that repeat
+    both id and text one stays."""
+    docs = keyed(docs)
+    found = simhash.simhash_components(docs.select(ROW, "text"), ROW)
+    found = found.groupBy(ROW, "component_id").agg(F.count("*").alias("rows"))
+    ids = docs.select(ROW, "doc_id").distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW, "rows")
+    keep = stored(found.join(ids, ROW).groupBy("component_id").agg(F.min(place).alias("first"))
+                  .select("first.*"), "pipeline-groups")
+    once, more = (keep.where(c).select(F.col("doc_id").alias("keep_id"), F.col(ROW).alias("keep_row"))
+                  for c in ("rows = 1", "rows > 1"))
+    same = (docs[ROW] == F.col("keep_row")) & docs.doc_id.eqNullSafe(F.col("keep_id"))
     return (docs.join(once, same, "left_semi")
-            .unionByName(docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"])))
+            .unionByName(docs.join(more, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+            .drop(ROW))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that a document with a smaller id keeps are cut."""
-    cut = substring.cut_repeats(docs)
+    """Passages that an earlier row keeps are cut: one with a smaller id, or of
+    rows that share it a smaller key; rows without an id come last."""
+    cut = substring.cut_repeats(keyed(docs), ROW, order_col="doc_id").drop(ROW)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go, with the rows that share their
-    id (null is an id like any other)."""
-    found = decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad.bad_id), "left_anti")
+    """Rows that hold a benchmark item go."""
+    docs = keyed(docs)
+    found = decontaminate.leaks(docs.select(ROW, "text"), read_table(spark, sf_dir, "benchmark"), ROW)
+    bad = found.select(F.col(ROW).alias("bad_row")).distinct()
+    return docs.join(bad, docs[ROW] == bad.bad_row, "left_anti").drop(ROW)
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,53 @@ def test_planted_cases(spark, tables):
         assert r.token_ids == sp.encode(left[r.doc_id]) and r.round_trip
 
 
+def test_decisions_are_by_row(spark, tables, tmp_path):
+    """Rows that share an id, or have none, each have their own decision."""
+    from pyspark.sql import functions as F
+
+    d, text, planted, passage = tables
+    r = random.Random(2)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    texts = lambda df: sorted((x.doc_id is None, x.doc_id or 0, x.text) for x in df.collect())
+    rows = lambda got: sorted((i is None, i or 0, t) for i, t in got)
+    stages = dict(corpus_pipeline.STAGES)
+    item = spark.read.parquet(f"{d}/benchmark.parquet").first().text
+    clean = [words(r, 150).capitalize() + "." for _ in range(4)]
+    leak = [f"{words(r, 60)} {item} {words(r, 60)}." for _ in range(2)]
+    junk = "$$$ ".join(words(r, 120).upper().split())
+    # a leak without an id, or with another's, takes no clean row along
+    got = stages["decontaminate"](spark, frame([(None, leak[0]), (None, clean[0]), (7, leak[1]), (7, clean[1])]), d)
+    assert texts(got) == rows([(None, clean[0]), (7, clean[1])])
+    # a good row keeps no junk
+    known = spark.read.parquet(f"{d}/documents.parquet").where("doc_id < 900")
+    got = stages["quality"](spark, known.unionByName(frame(
+        [(None, junk), (None, clean[0]), (1, junk)])), d)
+    left = {(x.doc_id, x.text) for x in got.collect()}
+    assert (None, clean[0]) in left and (None, junk) not in left and (1, junk) not in left
+    # one row of a component, whatever its ids
+    near = next(t for t in (clean[1].replace(w, "changed", 1) for w in clean[1].split())
+                if (simhash.fingerprint(t) ^ simhash.fingerprint(clean[1])).bit_count() <= 4)
+    got = stages["simhash"](spark, frame([
+        (None, clean[0]), (9, clean[0]),  # named by 9
+        (8, clean[1]), (8, near),  # one id, two near texts
+        (None, clean[2]), (None, clean[2]),  # no id at all
+        (8, clean[3]), (8, clean[3])]), d).collect()
+    left = sorted((x.doc_id is None, x.doc_id or 0, x.text) for x in got)
+    assert len(left) == 4 and (False, 9, clean[0]) in left and (True, 0, clean[2]) in left
+    assert (False, 8, clean[3]) in left
+    # a passage is cut from rows without an id, and once within an id
+    held = [f"{words(r, 100)} {passage} {words(r, 100 + k)}." for k in range(5)]
+    got = stages["substring"](spark, frame([(4, held[0]), (None, held[1])]), d)
+    left = {x.doc_id: x.text for x in got.collect()}
+    assert left[4] == held[0] and len(left[None].split()) < len(held[1].split()) - 55
+    got = stages["substring"](spark, frame([(4, held[2]), (4, held[3]), (None, clean[2])]), d)
+    left = [x.text for x in got.where(F.col("doc_id") == 4).collect()]
+    assert sum(t in held for t in left) == 1 and min(len(t.split()) for t in left) < 280 - 55
+    got = stages["substring"](spark, frame([(None, held[1]), (None, held[4])]), d).collect()
+    assert sum(x.text in held for x in got) == 1
+
+
 def test_run_over_empty_tables(spark, tables, tmp_path):
     d = tables[0]
     for t in ("documents", "labels", "benchmark"):
