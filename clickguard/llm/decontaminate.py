@@ -7,7 +7,9 @@ Texts are lower-cased (A-Z), split at white space and read as shingles of
 for a step); its own windows of c words at the first offsets are indexed, one
 for each remainder of the step. Every document is covered by windows of c words
 at a step of c/8 words, so some window meets an indexed one word for word
-wherever a copy starts.
+wherever a copy starts. An item of more than `LARGEST` words has such sets of
+windows all over it, every c words and at its end, of a class that at least
+three fit side by side: a change at one place leaves one of them whole.
 A window's fingerprint has bit i where more than half of its shingle hashes do.
 Two fingerprints within `RADIUS` = 15 bits agree to 3 bits in at least one of
 four 16-bit blocks (4 x 4 would be 16): per block, a table from each of the
@@ -19,8 +21,9 @@ step leaves open.
 
 One pass over the documents and no shuffle. Bit counts of all windows come
 from one running sum with eight 8-bit lanes a word: window sums stay below 256,
-so differences of the wrapped sums are exact. The index has a fixed bound:
-items are taken `ITEMS` at a time, a block against all documents.
+so differences of the wrapped sums are exact. The index has a bound: items are
+taken in blocks of about `ITEMS`, fewer where they are long (about
+`ITEMS` * `SET` windows, but at least one item), a block against all documents.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ LARGEST = 256
 BLOCKS, BLOCK_BITS, PER_BLOCK = 4, 16, 3
 RADIUS = BLOCKS * (PER_BLOCK + 1) - 1
 ITEMS = 500
+SET = 27  # windows of an item of the largest class
 _SLAB = 1 << 20
 _WINDOWS = 1 << 15  # looked up at a time
 #: Words of a text searched at a time, besides the overlap.
@@ -91,6 +95,17 @@ def size_class(words: int) -> int:
     return c
 
 
+def placed(words: int) -> tuple[int, np.ndarray]:
+    """The class of an item and where its indexed windows start."""
+    if words <= LARGEST:
+        c = size_class(words)
+        return c, np.arange(min(words - c + 1, step(c)))
+    c = size_class(words // 3)
+    last = words - c - step(c) + 1
+    sets = np.r_[np.arange(0, last, c), last]
+    return c, np.unique(sets[:, None] + np.arange(step(c)))
+
+
 class Index:
     """The items of one block of the benchmark, by size class."""
 
@@ -100,8 +115,7 @@ class Index:
         for (ident, _), w in zip(items, hashes):
             if len(w) < SHINGLE:
                 continue
-            s, c = shingles(w), size_class(len(w))
-            off = np.arange(min(len(w) - c + 1, step(c)))
+            s, (c, off) = shingles(w), placed(len(w))
             fp = fingerprints(running(s), off, np.full(len(off), c - SHINGLE + 1))
             found.setdefault(c, []).append((fp, np.full(len(off), len(self.ids)), off))
             self.ids.append(ident)
@@ -200,9 +214,12 @@ def _search(index: Index, words: list[np.ndarray], least: float):
             todo.update(zip(t[ok].tolist(), item[hit][ok].tolist(),
                             (at - begin[t])[ok].tolist(), np.full(ok.sum(), near).tolist()))
     best: dict = {}
+    starts: dict = {}
     for t, i, at, near in todo:
+        starts.setdefault((t, i), set()).update(range(at - near, at + near + 1))
+    for (t, i), places in starts.items():
         mine, w0 = s[begin[t]:end[t] - SHINGLE + 1], index.size[i]
-        for a in range(at - near, at + near + 1):
+        for a in places:
             sim = similarity(Counter(mine[max(a, 0):max(a + w0 - SHINGLE + 1, 0)].tolist()), index.bags[i])
             if sim >= least:
                 old = best.get((t, i))
@@ -225,7 +242,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
               f"item {items.schema['item'].dataType.simpleString()}, "
               "similarity double, word_start long, n_words int")
     item_type = pa.int64() if "item bigint" in schema else pa.string()
-    blocks = max(1, -(-items.count() // ITEMS))
+    n_words = F.size(F.split("text", r"[ \t-\r]+"))
+    windows = F.when(n_words > LARGEST, n_words / 8 + 2 * SET).otherwise(SET)
+    n, weight = items.agg(F.count("*"), F.coalesce(F.sum(windows), F.lit(0.0))).first()
+    blocks = max(1, -(-n // ITEMS), int(-(-weight // (ITEMS * SET))))
     found = None
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)

@@ -5,7 +5,8 @@ Texts are lower-cased (A-Z), ASCII punctuation is read as white space, and words
 form shingles of five (a template of fewer words is one shingle of its own
 size and is matched as such). A template is looked up by windows of its size
 class (of 5, 6, 7, ... growing by a fifth up to 256 the largest that leaves
-room for a step), its own windows at the first offsets are indexed, and
+room for a step), its own windows at the first offsets are indexed (of one of
+more than 256 words, windows all over it), and
 documents are covered by windows at a step of an eighth of that: up to 15
 words, every word. A window's signature is the minima of `BANDS` x `ROWS` hash functions over
 its shingles; windows that agree in all rows of a band are candidates. With 8
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickguard.llm.common import fresh, map_texts, slabs
-from clickguard.llm.decontaminate import LARGEST, SEGMENT, SHINGLE, shingles, size_class, step
+from clickguard.llm.decontaminate import LARGEST, SEGMENT, SHINGLE, placed, shingles, step
 from clickguard.llm.words import WordHasher, mixed
 
 BANDS, ROWS = 8, 2
@@ -110,9 +111,9 @@ class Templates:
                 self.sets.append(None)
                 self.tiny[k] = w
                 continue
-            s, c = shingles(w), size_class(len(w))
+            s, (c, off) = shingles(w), placed(len(w))
             self.sets.append(np.unique(s))
-            off, m = np.arange(min(len(w) - c + 1, step(c))), c - SHINGLE + 1
+            m = c - SHINGLE + 1
             keys = band_keys(minima(doubled(s, m), off, m))
             found.setdefault(c, []).append((keys, np.full(len(off), k), off))
         self.size = np.array(self.size, np.int64)

@@ -224,6 +224,35 @@ def test_leaks_in_a_long_text(monkeypatch):
         assert decontaminate.search(index, decontaminate.WordHasher()([text]), 0.8) == {(0, 0): (1.0, at)}
 
 
+@pytest.mark.parametrize("size", [260, 300, 500, 1000, 2000])
+def test_long_items_are_met_anywhere(size):
+    """Copies at a similarity of 0.8 and a bit, changed at one place."""
+    r = random.Random(size)
+    item = words(r, size, 10**6).split()
+    index = decontaminate.Index([(1, " ".join(item))])
+    n, texts = (size - 4) // 9 - 4, []
+    for at in (0, 1, size // 4, size // 2 - n // 2, size - n - 90, size - n):
+        copy = [*item[:at], *words(r, n, 10**7).split(), *item[at + n:]]
+        texts += [f"{words(r, 40 + at % 31, 10**6)} {' '.join(copy)} {words(r, 60, 10**6)}"]
+    texts += [f"{words(r, 33, 10**6)} {' '.join(part)}" for part in (item[n:], item[:-n])]
+    got = decontaminate.search(index, decontaminate.WordHasher()(texts), 0.8)
+    assert set(got) == {(k, 0) for k in range(len(texts))}
+    template = licenses.Templates([("long", " ".join(item))])
+    assert set(licenses.search(template, licenses.hasher()(texts), 0.8)) == set(got)
+
+
+def test_long_items_are_taken_in_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEMS", 4)
+    r, seen = random.Random(30), []
+    items = [(i, words(r, 1200, 10**6)) for i in range(4)]
+    whole = decontaminate.Index
+    monkeypatch.setattr(decontaminate, "Index", lambda x: seen.append(len(x)) or whole(x))
+    got = decontaminate.leaks(table(spark, [(i, t.split(" ", 200)[200]) for i, t in items]),
+                              spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == [(i, i) for i in range(4)]
+    assert len(seen) > 1 and sum(seen) == 4
+
+
 def test_radius_is_complete():
     """Every fingerprint within 15 bits of an indexed one is found."""
     r = random.Random(10)
