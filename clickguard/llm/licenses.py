@@ -57,6 +57,25 @@ TEMPLATES = [
                      "version 3 of the License, or (at your option) any later version."),
     ("BSD-text", "Redistribution and use in source and binary forms, with or without modification, are "
                  "permitted provided that the following conditions are met:"),
+    ("proprietary", "All rights reserved."),
+    ("MIT-licensed", "Licensed under the MIT License."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("BSD", "Licensed under the BSD License."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("ISC", "Released under the ISC License."),
+    ("ISC-text", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+                 "without fee is hereby granted, provided that the above copyright notice and this permission "
+                 "notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "Released under CC0 1.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
 ]
 
 _U = np.uint64

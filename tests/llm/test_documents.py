@@ -331,6 +331,26 @@ def test_licenses(spark):
     assert licenses.license_hits(table(spark, [])).count() == 0
 
 
+#: The lines that documents carry, and other usual ones.
+NOTICES = ["All rights reserved.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
+           "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY 4.0.",
+           "This work is licensed under the GNU General Public License, version 3.",
+           "This work is licensed under the GNU Lesser General Public License, version 3.",
+           "This work is licensed under the GNU Affero General Public License, version 3.",
+           "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+           "Released under the BSD 3-Clause License.", "Released under the BSD 2-Clause License.",
+           "Licensed under CC BY-SA 4.0.", "Released under CC0 1.0.", "Released under the ISC License.",
+           "This is free and unencumbered software released into the public domain."]
+
+
+def test_licenses_against_a_text_search(spark):
+    r = random.Random(14)
+    rows = [(i, f"{words(r, 60)}.\n{NOTICES[i % 16] if i % 16 < 15 else 'All rights'}\n{words(r, 40)}.")
+            for i in range(96)]
+    got = Counter(x.doc_id for x in licenses.license_hits(table(spark, rows)).collect())
+    assert got == Counter(i for i, t in rows for n in NOTICES if n in t)
+
+
 def test_tiny_template_and_long_text(monkeypatch):
     monkeypatch.setattr(licenses, "SEGMENT", 300)
     t = licenses.Templates([("pd", "Public Domain"), ("none", ""), ("mit", "Released under the MIT License.")])
