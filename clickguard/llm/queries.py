@@ -4,14 +4,18 @@ runs its operator with production parameters over its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickguard.llm import (
     decontaminate,
     embedding,
+    lexical,
     licenses,
+    neighbours,
     pieces,
     preference,
     quality,
+    runs,
     simhash,
     substring,
     urls,
@@ -129,6 +133,56 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(rows, rows.where("vec_id % 100 = 0"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item by the terms they share."""
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"),
+                                 read_table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = """
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT doc_id, r, w, len(w) AS n FROM words WHERE len(w) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM docs),
+item_words AS (
+  SELECT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+asked AS (SELECT item_id, t, count(*) AS times FROM item_words GROUP BY item_id, t),
+tfs AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs)
+        WHERE t IN (SELECT t FROM asked) GROUP BY r, t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS wt
+            FROM tfs, totals GROUP BY t, nn),
+impacts AS (
+  SELECT d.doc_id, d.r, f.t,
+         wt * ((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + (25 * d.n * nn) // ll))) AS impact
+  FROM tfs f JOIN docs d USING (r) JOIN weights USING (t), totals),
+scores AS (SELECT item_id, doc_id, r, CAST(sum(times * impact) AS BIGINT) AS score
+           FROM impacts JOIN asked USING (t) GROUP BY item_id, doc_id, r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+           FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document's words; one document in ten is made
+    to repeat itself first."""
+    docs = read_table(spark, sf_dir, "documents")
+    text = runs.looped(F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    return runs.run_digests(runs.periodic_runs(docs.select("doc_id", text.alias("text"))))
+
+
 def queries():
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -141,8 +195,11 @@ def queries():
         "op8_licenses": op8_licenses,
         "op9_quality": op9_quality,
         "op10_urls": op10_urls,
+        "op11_neighbours": op11_neighbours,
+        "op12_lexical": op12_lexical,
+        "op13_runs": op13_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op5_preference": OP5_SQL}
+    return {"op2_warc": OP2_SQL, "op5_preference": OP5_SQL, "op12_lexical": OP12_SQL}
