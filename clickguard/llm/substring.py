@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickguard.llm.common import fresh, map_texts, slabs, stored
 
@@ -140,40 +141,20 @@ def window_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(rows, run, f"id {kind}, at long, digest long")
 
 
-def _after_first(again: DataFrame, places: DataFrame) -> DataFrame:
-    """The repeated windows without each one's first document in the order of
-    `places` (id, place); `keep` is that document."""
-    again = stored(again.drop("keep").join(places, "id"), "substring-again")
-    first = again.groupBy("digest").agg(F.min("place").alias("first"))
-    return (again.join(first, "digest").where("place <> first")
-            .withColumn("keep", F.col("first.id")))
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   mean_words: int = 4, min_words: int = 24,
-                   order_col: str | None = None) -> DataFrame:
+                   mean_words: int = 4, min_words: int = 24) -> DataFrame:
     """(`id_col`, text_hash, word_start, n_words, first_id) per passage to cut.
 
     first_id is the smallest document that keeps a part of the passage.
     text_hash tells apart texts that share an id; rows that repeat id and text
     share their spans, and a passage that repeats within one id only is left
     alone. Null ids and null or empty texts take no part. Empty tables give an
-    empty result; other columns are not read. With `order_col`, whose value all
-    rows of an id share, earlier means smaller by it, nulls last, then by id.
+    empty result; other columns are not read.
     """
     rows = window_table(docs, id_col, text_col, mean_words, min_words)
     kept = (rows.groupBy("digest").agg(F.min("id").alias("keep"), F.max("id").alias("last"))
             .where("keep <> last").select("digest", "keep"))
-    again = rows.join(kept, "digest")
-    if order_col is None:
-        again = again.where("id <> keep")
-    else:
-        order = F.col(order_col)
-        places = docs.select(F.col(id_col).alias("id"), F.struct(
-            order.isNull().alias("none"), order.alias("order"), F.col(id_col).alias("id"))
-            .alias("place")).distinct()
-        again = _after_first(again, places)
-    again = (again
+    again = (rows.join(kept, "digest").where("id <> keep")
              .select("id", F.shiftright("at", _PLACE).alias("text_hash"),
                      F.shiftright("at", _LENGTH).bitwiseAND(F.lit((1 << _PLACE - _LENGTH) - 1))
                      .alias("start"),
@@ -206,13 +187,11 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                mean_words: int = 4, min_words: int = 24,
-                order_col: str | None = None) -> DataFrame:
+                mean_words: int = 4, min_words: int = 24) -> DataFrame:
     """`docs` with the repeated passages cut from its texts; rows whose text
     loses its last word go. All other rows and columns stay as they are."""
-    order = [] if order_col is None else [F.col(order_col).alias("order")]
-    spans = repeated_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *order),
-                           "id", "text", mean_words, min_words, "order" if order else None)
+    spans = repeated_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
+                           "id", "text", mean_words, min_words)
     have = docs.columns
     ref, cuts, th = (fresh(c, have) for c in ("ref", "cuts", "text_hash"))
     per_doc = spans.groupBy(F.col("id").alias(ref)).agg(
@@ -231,9 +210,110 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out.append(without_spans(t, mine) if mine else t)
         return texts.__class__(out, dtype=object)
 
+    return _cut(joined, cut, cuts, th, have, text_col)
+
+
+def _cut(joined: DataFrame, cut, cuts: str, made: str, have: list[str], text_col: str) -> DataFrame:
+    """`have` of `joined` with the texts that `cut` makes of those that have
+    `cuts`; rows whose text loses its last word go."""
     some = F.col(cuts).isNotNull()
-    done = joined.withColumn(th, cut(F.when(some, F.col(text_col)), F.col(cuts)))
-    new = F.coalesce(th, text_col)
-    left = F.col(th).rlike(r"[^ \t-\r]") | F.col(th).eqNullSafe(F.col(text_col))
+    done = joined.withColumn(made, cut(F.when(some, F.col(text_col)), F.col(cuts)))
+    new = F.coalesce(made, text_col)
+    left = F.col(made).rlike(r"[^ \t-\r]") | F.col(made).eqNullSafe(F.col(text_col))
     return (done.where(~some | left)
             .select(*[new.alias(c) if c == text_col else F.col(c) for c in have]))
+
+
+#: Bits of a place, and those that an id may take of them.
+_PLACE_BITS, _ID_BITS = 61, 48
+
+
+def with_places(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """`docs` with a long that orders its rows by id, nulls last, and those
+    that share an id, or have none, by a hash of their text; rows that repeat
+    both have the same place."""
+    whole = isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    number = F.col(id_col).cast("long")
+    low, high = docs.agg(F.min(number), F.max(number)).first() if whole else (None, None)
+    if whole and (low is None or high - low < 1 << 40):
+        low, bits, source = low or 0, ((high or 0) - (low or 0)).bit_length(), docs
+    else:  # numbers in the order of the ids instead
+        ref, number = fresh("id", docs.columns), fresh("number", docs.columns)
+        ids = docs.select(F.col(id_col).alias(ref)).where(F.col(ref).isNotNull()).distinct().sort(ref)
+        ids = stored(ids.withColumn(number, F.monotonically_increasing_id()), "substring-ids")
+        low, bits = 0, (ids.agg(F.max(number)).first()[0] or 0).bit_length()
+        if bits > _ID_BITS:
+            raise ValueError(f"{bits} bits of ids: sort them in fewer partitions")
+        source, number = docs.join(ids, F.col(id_col) == F.col(ref), "left").drop(ref), F.col(number)
+    free = _PLACE_BITS - bits
+    h = F.xxhash64(F.col(text_col).cast("string"))
+    # by shifts, not products: Spark's arithmetic may raise on overflow, these fit
+    first = F.shiftleft(number - F.lit(low), free).bitwiseOR(F.shiftrightunsigned(h, 64 - free))
+    last = F.lit(1 << _PLACE_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _PLACE_BITS))
+    return source.select(*[F.col(c) for c in docs.columns],
+                         F.when(F.col(id_col).isNull(), last).otherwise(first).alias(name))
+
+
+def _digest_table(docs: DataFrame, place: str, text_col: str, mean_words: int, min_words: int) -> DataFrame:
+    """(place, digest) per different window of every row."""
+
+    def run(batches):
+        for b in slabs(batches, "text"):
+            n, digest = [], []
+            for t in b.column("text").to_pylist():
+                d = np.unique(windows(t.encode("utf-8", "surrogatepass"), mean_words, min_words)[2]) if t else ()
+                n.append(len(d))
+                digest.append(np.asarray(d, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("place").take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.concatenate(digest))],
+                ["place", "digest"])
+
+    rows = docs.select(F.col(place).alias("place"), F.col(text_col).cast("string").alias("text"))
+    return map_texts(rows, run, "place long, digest long")
+
+
+def cut_later_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      mean_words: int = 4, min_words: int = 24) -> DataFrame:
+    """`docs` with the passages cut that stand in an earlier row: one with a
+    smaller id, or, of rows that share an id or have none, a smaller hash of the
+    text; rows without an id come after all others. Rows that repeat id and text
+    are cut alike and do not count as earlier than each other. Rows whose text
+    loses its last word go; null and empty texts and all other columns stay as
+    they are, an empty table empty.
+
+    Windows cross the network as (place, digest): once to find the first place
+    of each digest, once to find the others. A repeated digest goes to its rows,
+    whose windows are made anew there, so positions do not travel.
+    """
+    have = docs.columns
+    place, ref, cuts, made = (fresh(c, have) for c in ("place", "ref", "cuts", "made"))
+    placed = with_places(docs, id_col, text_col, place)
+    rows = _digest_table(placed, place, text_col, mean_words, min_words)
+    kept = (rows.groupBy("digest").agg(F.min("place").alias("keep"), F.max("place").alias("last"))
+            .where("keep <> last").select("digest", "keep"))
+    again = rows.join(kept, "digest").where("place <> keep")
+    per_row = again.groupBy(F.col("place").alias(ref)).agg(F.collect_set("digest").alias(cuts))
+    joined = placed.join(per_row, F.col(place) == F.col(ref), "left")
+
+    @F.pandas_udf("string")
+    def cut(texts, digests):
+        out = []
+        for t, known in zip(texts, digests):
+            if not t or known is None or not len(known):
+                out.append(t)
+                continue
+            first, n, digest = windows(t.encode("utf-8", "surrogatepass"), mean_words, min_words)
+            hit = np.isin(digest, np.asarray(known, np.int64))
+            out.append(without_spans(t, _spans(first[hit], n[hit])))
+        return texts.__class__(out, dtype=object)
+
+    return _cut(joined, cut, cuts, made, have, text_col)
+
+
+def _spans(first: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+    """(first word, words) of what the windows cover, those that overlap or
+    adjoin as one."""
+    order = np.argsort(first, kind="stable")
+    first, stop = first[order], np.maximum.accumulate((first + n)[order])
+    new = np.flatnonzero(np.r_[True, first[1:] > stop[:-1]])
+    return [(int(a), int(z - a)) for a, z in zip(first[new], stop[np.r_[new[1:] - 1, len(stop) - 1]])]

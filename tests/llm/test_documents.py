@@ -358,3 +358,55 @@ def test_tiny_template_and_long_text(monkeypatch):
         " released under the MIT license"
     assert licenses.search(t, licenses.hasher()([text, "public", None]), 0.8) == {
         (0, 0): (1.0, 3000), (0, 1): (1.0, 3702)}
+
+
+def test_later_repeats_equal_spans_by_id(spark):
+    """Where ids are unique, the cuts are those of the spans by id."""
+    r = random.Random(31)
+    p, q = words(r, 80, 10**6), words(r, 60, 10**6)
+    rows = [(i, words(r, r.randrange(30, 300), 10**6)) for i in range(30)]
+    rows += [(40 + i, f"{words(r, 40, 10**6)} {p if i % 2 else q} {words(r, 40, 10**6)}") for i in range(8)]
+    rows += [(60, None), (61, ""), (62, f"{p}\n{q}")]
+    old = {x.doc_id: x.text for x in substring.cut_repeats(table(spark, rows)).collect()}
+    for shift in (0, -5, 1 << 60):
+        moved = [(i + shift, t) for i, t in rows]
+        got = substring.cut_later_repeats(table(spark, moved)).collect()
+        assert {x.doc_id - shift: x.text for x in got} == old
+        assert {(x.id, x.fp, x.text_hash, x.k) for x in got} == {("x", 1, "y", 2)}
+    named = spark.createDataFrame([(f"{i:03d}", t, 1) for i, t in rows], "doc_id string, text string, place int")
+    got = substring.cut_later_repeats(named.repartition(3))
+    assert got.columns == named.columns
+    assert {int(x.doc_id): x.text for x in got.collect()} == old
+    assert substring.cut_later_repeats(table(spark, [])).count() == 0
+
+
+def test_later_repeats_by_row(spark):
+    """Wide spread ids, one id for a third of the rows and rows without one:
+    each passage is left in one row."""
+    r = random.Random(32)
+    passages = [words(r, 70, 10**6) for _ in range(4)]
+    ids = [7] * 20 + [None] * 20 + [-(1 << 62), 1 << 62, 0]
+    rows = [(i, f"{words(r, 50, 10**6)} {passages[k % 4]} {words(r, 50, 10**6)}") for k, i in enumerate(ids)]
+    rows += rows[:2]  # repeated in full: cut alike
+    got = [x.text for x in substring.cut_later_repeats(table(spark, rows)).collect()]
+    assert len(got) == len(rows)
+    for p in passages:
+        middle = " ".join(p.split()[25:45])
+        assert len({t for t in got if middle in t}) == 1
+    assert any(x.doc_id == -(1 << 62) and x.text == rows[40][1]
+               for x in substring.cut_later_repeats(table(spark, rows)).collect())
+
+
+def test_passages_that_must_be_found(spark):
+    """Every passage of 60 words that an earlier row has is cut but for a few
+    words at its ends, whatever stands around it."""
+    r = random.Random(33)
+    held = [words(r, 60, 10**6) for _ in range(150)]
+    rows = [(i, f"{words(r, 30, 10**6)} {p} {words(r, 30, 10**6)}") for i, p in enumerate(held)]
+    rows += [(1000 + i, f"{words(r, r.randrange(1, 40), 10**6)} {p} {words(r, r.randrange(1, 40), 10**6)}")
+             for i, p in enumerate(held)]
+    left = {x.doc_id: x.text for x in substring.cut_later_repeats(table(spark, rows)).collect()}
+    text = dict(rows)
+    cut = [len(text[1000 + i].split()) - len(left[1000 + i].split()) for i in range(150)]
+    assert sum(n >= 30 for n in cut) >= 148 and sum(cut) > 0.8 * 60 * 150
+    assert all(left[i] == text[i] for i in range(150))
