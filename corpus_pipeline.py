@@ -53,7 +53,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier row keeps are cut: one with a smaller id, or of
     rows that share it a smaller key; rows without an id come last."""
-    cut = substring.cut_repeats(keyed(docs), ROW, order_col="doc_id").drop(ROW)
+    cut = substring.cut_later_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
