@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from clickguard.llm.common import fresh, map_texts, ragged, slabs, stored
 from clickguard.llm.words import WordHasher
@@ -227,29 +228,34 @@ def _search(index: Index, words: list[np.ndarray], least: float):
     return {k: (-s, a) for k, (s, a) in best.items()}
 
 
+def _indexes(benchmark: DataFrame, item_col: str, item_text: str):
+    """The benchmark in blocks, an index each; none of an empty table."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text"))
+    n_words = F.size(F.split("text", r"[ \t-\r]+"))
+    windows = F.when(n_words > LARGEST, n_words / 8 + 2 * SET).otherwise(SET)
+    n, weight = items.agg(F.count("*"), F.coalesce(F.sum(windows), F.lit(0.0))).first()
+    blocks = max(-(-n // ITEMS), int(-(-weight // (ITEMS * SET))))
+    for k in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
+        yield blocks, Index([tuple(r) for r in mine.collect()])
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text: str = "text", least: float = 0.8) -> DataFrame:
     """(`id_col`, `item_col`, similarity, word_start, n_words): per row of
     `docs` and item that it holds, the most similar passage (the first of
     several). Items of fewer than five words match nothing, nor do null or empty
-    texts; repeated rows and items give repeated results; null ids stay null; an
-    empty table on either side gives an empty result; other columns are not read.
+    texts; repeated rows and items give repeated results; null ids stay null, ids
+    of items keep their type; an empty table on either side gives an empty
+    result; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).alias("item"),
-                             F.col(item_text).cast("string").alias("text"))
-    schema = (f"id {rows.schema['id'].dataType.simpleString()}, "
-              f"item {items.schema['item'].dataType.simpleString()}, "
+    item_kind = benchmark.schema[item_col].dataType
+    schema = (f"id {rows.schema['id'].dataType.simpleString()}, item {item_kind.simpleString()}, "
               "similarity double, word_start long, n_words int")
-    item_type = pa.int64() if "item bigint" in schema else pa.string()
-    n_words = F.size(F.split("text", r"[ \t-\r]+"))
-    windows = F.when(n_words > LARGEST, n_words / 8 + 2 * SET).otherwise(SET)
-    n, weight = items.agg(F.count("*"), F.coalesce(F.sum(windows), F.lit(0.0))).first()
-    blocks = max(1, -(-n // ITEMS), int(-(-weight // (ITEMS * SET))))
+    item_type = to_arrow_type(item_kind)
     found = None
-    for k in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        index = Index([tuple(r) for r in mine.collect()])
+    for blocks, index in _indexes(benchmark, item_col, item_text):
 
         def run(batches, ix=index):  # Spark sends a large function as a broadcast
             hasher = WordHasher()
@@ -269,7 +275,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         if blocks > 1:  # an index at a time in the executors' memory
             part = stored(part, "leaks")
         found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], schema)
     out = ["similarity", "word_start", "n_words"]
     return found.select(F.col("id").alias(id_col),
                         F.col("item").alias(fresh(item_col, [id_col])),
                         *[F.col(c).alias(fresh(c, [id_col, item_col])) for c in out])
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text: str = "text", least: float = 0.8) -> DataFrame:
+    """`docs` without the rows whose text holds an item of the benchmark, as
+    `leaks` finds it. Every row is judged where it is read: nothing is shuffled,
+    and rows that share an id, or have none, do not decide for each other. Rows
+    with null or empty texts stay, all columns stay as they are, and an empty
+    benchmark takes nothing."""
+    have, text = docs.columns, fresh("text", docs.columns)
+    for blocks, index in _indexes(benchmark, item_col, item_text):
+        rows = docs.withColumn(text, F.col(text_col).cast("string"))
+
+        def run(batches, ix=index):
+            hasher = WordHasher()
+            for b in slabs(batches, text, _SLAB):
+                held = {t for t, _ in search(ix, hasher(b.column(text).to_pylist()), least)}
+                stay = [t for t in range(b.num_rows) if t not in held]
+                yield b.select(have).take(pa.array(stay, pa.int64()))
+
+        docs = map_texts(rows if text != text_col else docs, run, docs.schema)
+        if blocks > 1:
+            docs = stored(docs, "without-leaks")
+    return docs

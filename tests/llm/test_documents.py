@@ -410,3 +410,60 @@ def test_passages_that_must_be_found(spark):
     cut = [len(text[1000 + i].split()) - len(left[1000 + i].split()) for i in range(150)]
     assert sum(n >= 30 for n in cut) >= 148 and sum(cut) > 0.8 * 60 * 150
     assert all(left[i] == text[i] for i in range(150))
+
+
+def test_rows_without_leaks(spark):
+    """The rows that `leaks` names go, all others stay whole; item ids of any
+    type; a benchmark in several blocks."""
+    r = random.Random(41)
+    items = [(i, words(r, r.randrange(10, 60), 10**6)) for i in range(40)] + [(None, None), (3, "few")]
+    rows = [(i, f"{words(r, 30, 10**6)} {items[i][1] if i % 3 == 0 else ''} {words(r, 30, 10**6)}") for i in range(40)]
+    rows += [(None, rows[0][1]), (None, rows[1][1]), (3, rows[4][1]), (50, None), (51, "")]
+    docs = table(spark, rows)
+    for kind in ("int", "long", "string"):
+        bench = spark.createDataFrame([(i if kind != "string" or i is None else f"{i}", t) for i, t in items],
+                                      f"item_id {kind}, text string")
+        found = decontaminate.leaks(docs, bench)
+        assert dict(found.dtypes)["item_id"] == kind.replace("long", "bigint")
+        assert {x.doc_id for x in found.collect()} == {None, *range(0, 40, 3)}
+    got = decontaminate.without_leaks(docs, bench)
+    assert got.schema == docs.schema
+    assert sorted(map(repr, got.collect())) == sorted(
+        repr(x) for x in docs.collect() if not (x.text and any(t and len(t) > 9 and t in x.text for _, t in items)))
+    empty = decontaminate.without_leaks(docs, bench.limit(0))
+    assert empty.count() == len(rows) and decontaminate.leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_leaks_equal_brute_force(spark):
+    """Every passage of an item's size, at every start, by the weighted
+    similarity of its five-word shingles."""
+    r = random.Random(42)
+    items = [(i, words(r, r.randrange(8, 50), 10**6)) for i in range(12)]
+    rows = []
+    for i in range(120):
+        w = items[i % 12][1].split()
+        for _ in range(r.randrange(0, max(1, len(w) // 12))):  # scattered edits
+            w[r.randrange(len(w))] = f"edit{i}"
+        if i % 5 == 0:
+            w = w[:len(w) * 2 // 3]
+        rows.append((i, " ".join([words(r, r.randrange(20), 10**6), *w, words(r, r.randrange(20), 10**6)])))
+
+    def bag(w):
+        return Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+
+    want = {}
+    for d, t in rows:
+        w = t.split()
+        for i, item in items:
+            mine, n = bag(item.split()), len(item.split())
+            sims = [0.0]
+            for a in range(max(1, len(w) - n + 1)):
+                theirs = bag(w[a:a + n])
+                both = sum((mine & theirs).values())
+                sims.append(both / max(1, sum((mine | theirs).values())))
+            if max(sims) >= 0.8:
+                want[d, i] = max(sims)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.leaks(table(spark, rows), bench).collect()}
+    assert got.keys() == want.keys() and len(want) > 30
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -135,6 +135,28 @@ def test_decisions_are_by_row(spark, tables, tmp_path):
     assert sum(x.text in held for x in got) == 1
 
 
+def test_stages_keep_clashing_columns_and_long_texts(spark, tables):
+    """Columns that stages use themselves, a very long text, nulls and repeats."""
+    d, text, planted, passage = tables
+    r = random.Random(3)
+    long = words(r, 40_000).capitalize() + "."
+    rows = [(1, long, 3, "a", 2, 7), (2, None, None, None, None, None), (3, "", 1, "b", 0, 1),
+            (4, f"{words(r, 80)} {planted[1003]}", 1, "c", 1, 1), (4, f"{words(r, 80)} {planted[1003]}", 2, "c", 1, 2)]
+    schema = "doc_id long, text string, pipeline_row int, place string, n_chars long, row int"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, d)
+        if name == "sentencepiece":
+            assert got.columns[:6] == docs.columns
+            assert {x.doc_id: len(x.token_ids or []) for x in got.collect()}[1] > 40_000
+            continue
+        assert got.schema == docs.schema, name
+        left = {(x.doc_id, x.pipeline_row, x.place, x.row) for x in got.collect()}
+        assert left <= {(a, p, q, w) for a, _, p, q, _, w in rows}
+        if name in ("substring", "decontaminate"):
+            assert len(left) == 5 and {x.doc_id: x.text for x in got.collect()}[1] == long
+
+
 def test_run_over_empty_tables(spark, tables, tmp_path):
     d = tables[0]
     for t in ("documents", "labels", "benchmark"):
