@@ -457,8 +457,8 @@ def test_leaks_equal_brute_force(spark):
         for i, item in items:
             mine, n = bag(item.split()), len(item.split())
             sims = [0.0]
-            for a in range(max(1, len(w) - n + 1)):
-                theirs = bag(w[a:a + n])
+            for a in range(-n, len(w)):  # passages reach over the ends of a text
+                theirs = bag(w[max(a, 0):max(a + n, 0)])
                 both = sum((mine & theirs).values())
                 sims.append(both / max(1, sum((mine | theirs).values())))
             if max(sims) >= 0.8:
