@@ -339,6 +339,56 @@ SELECT ip, lastEvent, {reason()} AS reason FROM rated
 WHERE {FIRES} AND (ws + {W}) // 1000 <= (SELECT w FROM wm_end)"""
 
 
+STREAM_INCIDENTS_BY_SLIDE = f"""WITH {_batched(LENIENT, "lenient", '"timestamp"')},
+stats AS (SELECT ip, ws, {_STATS} FROM win GROUP BY ip, ws),
+{_RATED}
+SELECT ip, make_timestamp(ws + {W}) AS "windowEnd", lastEvent, {reason()} AS reason FROM rated
+WHERE firstEvent IS NOT NULL AND {FIRES} AND (ws + {W}) // 1000 <= (SELECT w FROM wm_end)"""
+
+
+STREAM_OPEN_WINDOWS = f"""WITH {_batched(LENIENT, "lenient", "eventTime")},
+stats AS (SELECT ip, ws, {_STATS} FROM win GROUP BY ip, ws)
+SELECT ip, make_timestamp(ws) AS window_start, make_timestamp(ws + {W}) AS window_end,
+       clicks, watches, firstEvent, lastEvent
+FROM stats WHERE (ws + {W}) // 1000 > (SELECT w FROM wm_end)"""
+
+STREAM_INCIDENTS_DISTINCT = f"SELECT DISTINCT * FROM ({STREAM_INCIDENTS_LATE})"
+
+# deduplication drops a record whose own time the watermark has reached
+STREAM_INCIDENTS_REDELIVERED = f"""WITH {_batched(LENIENT, "lenient", "eventTime")},
+timely AS (SELECT win.* FROM win JOIN wm USING (batch) WHERE wm.w IS NULL OR epoch_us(tm) > wm.w * 1000),
+stats AS (SELECT ip, ws, {_STATS} FROM timely GROUP BY ip, ws),
+{_RATED}
+SELECT ip, lastEvent, {reason()} AS reason FROM rated
+WHERE {FIRES} AND (ws + {W}) // 1000 <= (SELECT w FROM wm_end)"""
+
+
+def _two_topics(policy: str, chosen: str) -> str:
+    """A run's watermark comes from the newest times of its topics, and never
+    goes back."""
+    return f"""SELECT '{policy}' AS policy, * FROM (WITH {LENIENT},
+bt AS (
+  SELECT s.ip, s.action, s.eventTime, e.event_id % 2 AS topic,
+         least(CAST(floor((day(e.ts) - 1) / 8) AS INTEGER) + e.event_id % 2, 3) AS batch
+  FROM lenient s JOIN events e ON e.event_id = s."offset"),
+runs AS (SELECT batch, max(epoch_ms(eventTime)) FILTER (WHERE topic = 0) AS a,
+                max(epoch_ms(eventTime)) FILTER (WHERE topic = 1) AS b FROM bt GROUP BY batch),
+marks AS (SELECT batch, {chosen} - {WM_MS} AS w FROM runs),
+wm AS (SELECT b.b AS batch, (SELECT max(w) FROM marks WHERE marks.batch < b.b) AS w FROM range(4) b(b)),
+fan AS (SELECT *, (epoch_us(eventTime) // {S} - o) * {S} AS ws
+        FROM (SELECT *, unnest(range({K})) AS o FROM bt WHERE eventTime IS NOT NULL)),
+win AS (SELECT fan.* FROM fan JOIN wm USING (batch)
+        WHERE epoch_us(eventTime) < ws + {W} AND (wm.w IS NULL OR ws + {W} > wm.w * 1000)),
+stats AS (SELECT ip, ws, {_STATS} FROM win GROUP BY ip, ws),
+{_RATED}
+SELECT ip, lastEvent, {reason()} AS reason FROM rated
+WHERE {FIRES} AND (ws + {W}) // 1000 <= (SELECT max(w) FROM marks))"""
+
+
+STREAM_INCIDENTS_TWO_TOPICS = (_two_topics("min", "CASE WHEN a < b THEN a ELSE b END") + "\nUNION ALL\n"
+                               + _two_topics("max", "greatest(a, b)"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "window_event_stats": WINDOW_EVENT_STATS,
@@ -378,4 +428,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_counter": COUNTER_TOTALS,
         "stream_bans_by_arrival": STREAM_BANS_BY_ARRIVAL,
         "stream_incidents_late": STREAM_INCIDENTS_LATE,
+        "stream_incidents_by_slide": STREAM_INCIDENTS_BY_SLIDE,
+        "stream_open_windows": STREAM_OPEN_WINDOWS,
+        "stream_incidents_distinct": STREAM_INCIDENTS_DISTINCT,
+        "stream_incidents_redelivered": STREAM_INCIDENTS_REDELIVERED,
+        "stream_incidents_two_topics": STREAM_INCIDENTS_TWO_TOPICS,
     }

@@ -33,6 +33,16 @@ INCIDENT = T.StructType(
     ]
 )
 
+# Detector output that names the window (the slide) it was judged at.
+SLIDE_INCIDENT = T.StructType(
+    [
+        T.StructField("ip", T.StringType()),
+        T.StructField("windowEnd", T.TimestampType()),
+        T.StructField("lastEvent", T.TimestampType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
 # The per-window aggregate; also the value type of event_aggregation().
 AGGREGATE = T.StructType(
     [

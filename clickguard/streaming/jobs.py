@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from clickguard.config import DetectorConfig
 from clickguard.functions.parse import extract_key, parse_lenient, parse_strict, quarantine
 from clickguard.operators.arrival import find_incidents_by_arrival, with_batch_arrival
+from clickguard.operators.arrival import skip_old as skip_old_events
 from clickguard.operators.bans import ban_records
 from clickguard.operators.counter import counter_totals
 from clickguard.operators.incidents import (
+    classify_windows,
     find_incidents,
     find_incidents_struct,
     find_incidents_typed,
@@ -29,6 +31,7 @@ from clickguard.operators.incidents import (
 )
 from clickguard.plans.sql import find_incidents_sql
 from clickguard.session import apply_base_conf
+from clickguard.streaming.slides import slide_stats
 from clickguard.streaming.sinks import (
     BanLogWriter,
     JsonLinesForeachWriter,
@@ -72,7 +75,8 @@ def _trigger(writer, trigger: str | None):
 
 def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
            detector: str = "sql", time: str = "event",
-           parse: str = "lenient", skip_old: bool = False) -> DataFrame:
+           parse: str = "lenient", skip_old: bool = False,
+           emit: str = "change") -> DataFrame:
     """Kafka-shaped records -> incidents.
 
     `time="event"`: event-time windows with watermark; `time="arrival"`:
@@ -80,6 +84,11 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     as late as the watermark says; `time="batch"`: windows over the
     micro-batch time, which is never late. `skip_old` drops events older than
     a window at their arrival.
+
+    `emit="change"` keeps the windows in state, for update mode (a window is
+    judged whenever it changes) or append mode (once, when it closes).
+    `emit="slide"` keeps panes: every ip still in a window is judged once per
+    slide, with the window's end, in append mode.
     """
     if parse == "lenient":
         events = parse_lenient(records, keep=("timestamp",))
@@ -87,6 +96,10 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
         events = parse_strict(records, keep=("timestamp",))
     else:
         raise ValueError(f"parse must be lenient or strict, not {parse!r}")
+    if emit == "slide":
+        return _by_slide(events, conf, time, skip_old)
+    if emit != "change":
+        raise ValueError(f"emit must be change or slide, not {emit!r}")
     if time == "arrival":
         arrived = events.withColumnRenamed("timestamp", "arrival")
         return find_incidents_by_arrival(arrived, conf, skip_old_events=skip_old)
@@ -99,22 +112,39 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     return DETECTORS[detector](spark, events, conf)
 
 
+def _by_slide(events: DataFrame, conf: DetectorConfig, time: str, skip_old: bool) -> DataFrame:
+    group, delay = {"event": ("eventTime", None), "arrival": ("arrival", None),
+                    "batch": ("arrival", "0 seconds")}[time]
+    if time == "batch":
+        events = with_batch_arrival(events)
+    elif time == "arrival":
+        events = events.withColumnRenamed("timestamp", "arrival")
+    if skip_old:
+        if time == "event":
+            raise ValueError("skip_old needs an arrival: time='arrival' or 'batch'")
+        events = skip_old_events(events, conf)
+    stats = slide_stats(events, conf, "eventTime", group, delay)
+    return classify_windows(stats.withColumn("windowEnd", F.col("window.end")), conf, keep=("windowEnd",))
+
+
 def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
             ban_path: str, checkpoint: str, detector: str = "sql",
             time: str = "event", parse: str = "lenient", precision: str = "s",
             trigger: str | None = None, run_id: str | None = None,
             explain: bool = False, skip_old: bool = False,
-            options: dict[str, str] | None = None, sink: str = "log"):
+            options: dict[str, str] | None = None, sink: str = "log",
+            emit: str = "change"):
     """Records -> incidents -> ban records upserted with a TTL of the ban
-    time (update mode; a window is judged again whenever it changes).
+    time (update mode; a window is judged again whenever it changes, or with
+    ``emit="slide"`` once per slide, in append mode).
 
     `options` (`ban.columns`, `ban.ttl`; see `validate_ban_sink_options`)
     override the table's column names and TTL. ``sink="rows"`` writes JSON
     lines row by row instead of the log.
     """
-    incidents = detect(spark, records, conf, detector, time, parse, skip_old)
+    incidents = detect(spark, records, conf, detector, time, parse, skip_old, emit)
     bans = ban_records(incidents, conf, precision)
-    w = bans.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    w = bans.writeStream.outputMode("append" if emit == "slide" else "update").option("checkpointLocation", checkpoint)
     settings = {"ban.columns": "ip,period,reason", "ban.ttl": str(conf.ban_us // 1_000_000),
                 **(options or {}), "ban.path": ban_path}
     writer = BanLogWriter.from_options(settings, run_id, checkpoint)
@@ -130,10 +160,11 @@ def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
 def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
                 path: str, checkpoint: str, partition_by: str = "day",
                 trigger: str | None = None, explain: bool = False,
-                files_per_partition: int | None = None):
+                files_per_partition: int | None = None,
+                time: str = "event", emit: str = "change"):
     """Records -> incidents appended to parquet once their window closes
-    (watermark past the window end)."""
-    incidents = detect(spark, records, conf, "plain")
+    (watermark past the window end); with ``emit="slide"`` with that end."""
+    incidents = detect(spark, records, conf, "plain", time, emit=emit)
     return _start(archive_sink(incidents, path, checkpoint, partition_by,
                                   files_per_partition), trigger,
                   incidents if explain else None)
@@ -258,6 +289,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--quarantine-path")
     ap.add_argument("--detector", default="sql", choices=sorted(DETECTORS))
     ap.add_argument("--time", default="event", choices=["event", "arrival", "batch"])
+    ap.add_argument("--emit", default="change", choices=["change", "slide"],
+                    help="bans and archive: judge windows when they change (or close), "
+                         "or every ip once per slide")
     ap.add_argument("--parse", default="lenient", choices=["lenient", "strict"])
     ap.add_argument("--precision", default="s", choices=["s", "ms"])
     ap.add_argument("--skip-old", action="store_true",
@@ -312,12 +346,12 @@ def main(argv: list[str] | None = None) -> None:
             given = {"ban.columns": a.ban_columns, "ban.ttl": a.ban_ttl}
             q = ban_job(spark, records, conf, a.ban_path, a.checkpoint, a.detector,
                         a.time, a.parse, a.precision, trigger=a.trigger, explain=a.explain,
-                        skip_old=a.skip_old, sink=a.ban_sink,
+                        skip_old=a.skip_old, sink=a.ban_sink, emit=a.emit,
                         options={k: v for k, v in given.items() if v is not None})
         elif a.job == "archive":
             q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
                             a.archive_partition, trigger=a.trigger, explain=a.explain,
-                            files_per_partition=a.archive_files)
+                            files_per_partition=a.archive_files, time=a.time, emit=a.emit)
         else:
             q = console_job(spark, records, conf, a.checkpoint, trigger=a.trigger)
     q.awaitTermination()

@@ -7,19 +7,28 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickguard.config import EVENTS_CONFIG as C
 from clickguard.config import duration_us
+from clickguard.functions.parse import parse_lenient
 from clickguard.operators.bans import current_bans
-from clickguard.schema import COUNTER_TOTAL, INCIDENT
+from clickguard.operators.once import (
+    RECORD,
+    find_distinct_incidents,
+    find_incidents_of_topics,
+    find_incidents_once,
+)
+from clickguard.schema import COUNTER_TOTAL, INCIDENT, SLIDE_INCIDENT
 from clickguard.session import ensure_utc, scratch_path
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
 from clickguard.sources.tables import TABLE_SCHEMAS, read_table, to_click_events
 from clickguard.streaming.jobs import archive_job, ban_job, counter_job
-from clickguard.streaming.sinks import latest_state, read_ban_log, read_upsert_log
+from clickguard.streaming.sinks import archive_sink, latest_state, read_ban_log, read_upsert_log
+from clickguard.streaming.state import open_windows
+
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `events` table as a file stream (declared schema).
@@ -87,7 +96,6 @@ def stream_incidents_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "archive-events")
     ckpt = scratch_path(spark, "checkpoints", "archive-events")
     from clickguard.operators.incidents import find_incidents
-    from clickguard.streaming.sinks import archive_sink
 
     inc = find_incidents(to_click_events(events_stream(spark, sf_dir)), C)
     _finish(archive_sink(inc, out, ckpt).trigger(availableNow=True).start())
@@ -97,19 +105,27 @@ def stream_incidents_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCHES = 4
 
 
-def in_batches(spark: SparkSession, sf_dir: str, run) -> None:
+def _quarter() -> Column:
+    return F.floor((F.dayofmonth("ts") - 1) / 8)
+
+
+def in_batches(spark: SparkSession, sf_dir: str, run, again_every: int | None = None) -> None:
     """The events as records that come in `BATCHES` batches, `run(records)` once
     per batch on all that has come, from one checkpoint: a job that is stopped
     and started again between batches. An event comes with the quarter of its
     month, one batch later if its `props.k` is under 20: such records lag the
-    others by a week, and more than the watermark waits for."""
+    others by a week, and more than the watermark waits for. With `again_every`
+    the records of every so manyth event are delivered again in the next batch
+    (twice in the last)."""
     topic = scratch_path(spark, "topic")
     events = read_table(spark, sf_dir, "events")
-    quarter = F.floor((F.dayofmonth("ts") - 1) / 8)
     lag = (F.get_json_object("props", "$.k").try_cast("int") < 20).cast("int")
-    batch = F.least(quarter + F.coalesce(lag, F.lit(0)), F.lit(BATCHES - 1))
+    batch = F.least(_quarter() + F.coalesce(lag, F.lit(0)), F.lit(BATCHES - 1))
     for i in range(BATCHES):
         kafka_records(events.where(batch == i)).write.mode("append").parquet(topic)
+        if again_every:
+            again = F.least(batch + 1, F.lit(BATCHES - 1)) == i
+            kafka_records(events.where(again & (F.col("event_id") % again_every == 0))).write.mode("append").parquet(topic)
         _finish(run(kafka_shaped_stream(spark, topic)))
 
 
@@ -138,6 +154,88 @@ def stream_incidents_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(INCIDENT).parquet(out).select(*INCIDENT.names)
 
 
+def stream_incidents_by_slide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival-time windows from one ring of panes per ip, in several batches
+    with late records: every slide that the watermark reaches judges each ip
+    that is still in its window, once."""
+    ensure_utc(spark)
+    out = scratch_path(spark, "archive-slides")
+    ckpt = scratch_path(spark, "checkpoints", "archive-slides")
+    in_batches(spark, sf_dir, lambda records: archive_job(
+        spark, records, C, out, ckpt, time="arrival", emit="slide", trigger="availableNow"))
+    return spark.read.schema(SLIDE_INCIDENT).parquet(out).select(*SLIDE_INCIDENT.names)
+
+
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stopped archive job of `stream_incidents_late` still holds:
+    every open (ip, window) with its counts, read from the checkpoint."""
+    ensure_utc(spark)
+    out = scratch_path(spark, "archive-open")
+    ckpt = scratch_path(spark, "checkpoints", "archive-open")
+    in_batches(spark, sf_dir, lambda records: archive_job(
+        spark, records, C, out, ckpt, trigger="availableNow"))
+    return open_windows(spark, ckpt)
+
+
+def stream_incidents_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive job with equal incidents of overlapping windows once: a
+    deduplication within the watermark behind the aggregate."""
+    ensure_utc(spark)
+    out = scratch_path(spark, "archive-distinct")
+    ckpt = scratch_path(spark, "checkpoints", "archive-distinct")
+
+    def run(records):
+        found = find_distinct_incidents(parse_lenient(records), C)
+        return archive_sink(found, out, ckpt).trigger(availableNow=True).start()
+
+    in_batches(spark, sf_dir, run)
+    return spark.read.schema(INCIDENT).parquet(out).select(*INCIDENT.names)
+
+
+def stream_incidents_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic that delivers a tenth of its records twice, counted once by
+    (topic, partition, offset)."""
+    ensure_utc(spark)
+    out = scratch_path(spark, "archive-redelivered")
+    ckpt = scratch_path(spark, "checkpoints", "archive-redelivered")
+
+    def run(records):
+        found = find_incidents_once(parse_lenient(records, keep=RECORD), C)
+        return archive_sink(found, out, ckpt).trigger(availableNow=True).start()
+
+    in_batches(spark, sf_dir, run, again_every=10)
+    return spark.read.schema(INCIDENT).parquet(out).select(*INCIDENT.names)
+
+
+def stream_incidents_two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics with their own watermarks, the events of odd ids a week behind
+    the others, under both policies: `min` waits for the slow topic, `max`
+    follows the fast one and drops what the slow one brings too late."""
+    ensure_utc(spark)
+    events = read_table(spark, sf_dir, "events")
+    odd = F.col("event_id") % 2
+    found, key = None, "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(key)
+    for policy in ("min", "max"):
+        out = scratch_path(spark, "archive-topics")
+        ckpt = scratch_path(spark, "checkpoints", "archive-topics")
+        topics = [scratch_path(spark, "topic") for _ in (0, 1)]
+        spark.conf.set(key, policy)
+        try:
+            for i in range(BATCHES):
+                for n, topic in enumerate(topics):
+                    mine = events.where((odd == n) & (F.least(_quarter() + n, F.lit(BATCHES - 1)) == i))
+                    kafka_records(mine, topic=f"clicks-{n}").write.mode("append").parquet(topic)
+                streams = [parse_lenient(kafka_shaped_stream(spark, t)) for t in topics]
+                _finish(archive_sink(find_incidents_of_topics(streams, C), out, ckpt)
+                        .trigger(availableNow=True).start())
+        finally:
+            spark.conf.set(key, before)
+        got = spark.read.schema(INCIDENT).parquet(out).select(F.lit(policy).alias("policy"), *INCIDENT.names)
+        found = got if found is None else found.unionByName(got)
+    return found
+
+
 def stream_queries() -> dict:
     return {
         "stream_incidents_append": stream_incidents_append,
@@ -146,4 +244,9 @@ def stream_queries() -> dict:
         "stream_counter": stream_counter,
         "stream_bans_by_arrival": stream_bans_by_arrival,
         "stream_incidents_late": stream_incidents_late,
+        "stream_incidents_by_slide": stream_incidents_by_slide,
+        "stream_open_windows": stream_open_windows,
+        "stream_incidents_distinct": stream_incidents_distinct,
+        "stream_incidents_redelivered": stream_incidents_redelivered,
+        "stream_incidents_two_topics": stream_incidents_two_topics,
     }
