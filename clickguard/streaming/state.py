@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickguard.schema import AGGREGATE as AGGREGATE_TYPE
+
 #: What Spark calls the operator that keeps a windowed aggregate's state.
 AGGREGATE = "stateStoreSave"
+#: And the one that keeps pane rings.
+RINGS = "transformWithStateInPySparkExec"
 
 
 def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -36,14 +40,17 @@ def open_windows(spark: SparkSession, checkpoint: str, batch: int | None = None)
     """(ip, window_start, window_end, clicks, watches, firstEvent, lastEvent) of
     the windows that a detector job still holds open."""
     state = read_state(spark, checkpoint, AGGREGATE, batch)
-    flat = state.select("key.ip", "key.window.start", "key.window.end", "value.*")
-    return flat.toDF("ip", "window_start", "window_end", "clicks", "watches", "firstEvent", "lastEvent")
+    # Spark names the fields by their functions, both counts alike: by place
+    value = F.col("value").cast(AGGREGATE_TYPE)
+    return state.select("key.ip", F.col("key.window.start").alias("window_start"),
+                        F.col("key.window.end").alias("window_end"), value.alias("v")).select(
+        "ip", "window_start", "window_end", "v.*")
 
 
 def open_rings(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
     """(ip, pane, clicks, watches, firstEvent, lastEvent) of the panes that a job
     with ``emit="slide"`` holds."""
-    state = read_state(spark, checkpoint, "transformWithStateExec", batch, stateVarName="ring")
+    state = read_state(spark, checkpoint, RINGS, batch, stateVarName="ring")
     v = F.col("value")
     panes = F.arrays_zip(v["panes"].alias("pane"), v["clicks"].alias("clicks"), v["watches"].alias("watches"),
                          v["firsts"].alias("first"), v["lasts"].alias("last"))
