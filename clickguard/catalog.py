@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickguard.config import EVENTS_CONFIG as C
-from clickguard.functions.parse import extract_key, parse_lenient, parse_strict, quarantine
+from clickguard.functions.parse import extract_key, judged, parse_lenient, parse_strict, quarantine
 from clickguard.operators import bans
+from clickguard.operators.archive import archive_lookup as _archive_lookup
+from clickguard.operators.archive import spark_rows, write_clustered
 from clickguard.operators.arrival import find_incidents_by_arrival, with_arrival_lag
+from clickguard.operators.ban_table import BanTable
 from clickguard.operators.counter import counter_totals as _counter_totals
 from clickguard.operators.incidents import (
     find_incidents,
@@ -24,15 +27,18 @@ from clickguard.operators.incidents import (
     find_incidents_typed,
     find_incidents_typed_aggregator,
 )
+from clickguard.operators.rollup import Rollup
 from clickguard.operators.windows import (
     merge_partials,
     window_event_stats as _window_event_stats,
 )
+from clickguard.plans.functions import create_functions
 from clickguard.plans.sql import find_incidents_sql
 from clickguard.session import ensure_utc, scratch_path
 from clickguard.streaming.sinks import read_ban_log
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records
+from clickguard.sources.spool import FILE, file_report, spool_batch, with_file
 from clickguard.sources.tables import click_events, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,7 +234,6 @@ def incidents_from_spool_files(spark, sf_dir):
     """As `incidents_from_spool_lines`, through files: the lines are written
     to a spool folder and read from it."""
     from clickguard.sources.kafka import with_message
-    from clickguard.sources.spool import spool_batch
     from clickguard.streaming.jobs import keyed_lines
 
     ensure_utc(spark)
@@ -239,6 +244,103 @@ def incidents_from_spool_files(spark, sf_dir):
     return bans.ban_records(find_incidents(parsed, C), C, precision="s")
 
 
+def incidents_sql_functions(spark, sf_dir):
+    """The detector as a call of SQL functions only."""
+    _events(spark, sf_dir).createOrReplaceTempView("click_events")
+    create_functions(spark, C, "click_events")
+    return spark.sql("SELECT * FROM incidents_since(NULL)")
+
+
+def suspicious_windows_sql(spark, sf_dir):
+    """A statement of a user's own over the same functions: per ip, how many
+    windows are suspicious, of how many, and the lowest rate of one."""
+    _events(spark, sf_dir).createOrReplaceTempView("click_events")
+    create_functions(spark, C, "click_events")
+    return spark.sql("""
+        SELECT ip, count(*) AS windows, count_if(is_suspicious(clicks, watches)) AS suspicious,
+               min(watch_rate(clicks, watches)) AS lowest_rate
+        FROM event_windows() GROUP BY ip""")
+
+
+def _ban_table(spark, sf_dir, conf=C) -> BanTable:
+    """The replayed ban log written to a keyed table week by week, so that runs
+    are merged on the way."""
+    ensure_utc(spark)
+    path = scratch_path(spark, "ban-log-replay")
+    log = bans.replay_ban_log(find_incidents(_events(spark, sf_dir), conf), conf)
+    log.write.parquet(path)
+    log = spark.read.schema(log.schema).parquet(path)
+    table = BanTable(spark, scratch_path(spark, "ban-table"), buckets=16, fanout=2)
+    week = F.floor((F.dayofmonth("written_at") - 1) / 8)
+    for i in range(4):
+        table.append(log.where(week == i))
+    return table
+
+
+def bans_of(spark, sf_dir):
+    """The bans in force of every twentieth address, looked up in the keyed
+    table; bans last 14 days here."""
+    asked = _events(spark, sf_dir).where("ip % 20 = 0").select("ip").distinct()
+    return _ban_table(spark, sf_dir, C.with_(ban_time="14 days")).bans_of(asked)
+
+
+def current_bans_keyed(spark, sf_dir):
+    """All bans in force, from the keyed table."""
+    return _ban_table(spark, sf_dir).bans()
+
+
+def incidents_from_rollup(spark, sf_dir):
+    """Incidents from a materialised rollup: all days but the last two are rolled
+    up first, then those two, whose update renews only the windows they touch."""
+    events = _events(spark, sf_dir)
+    days = sorted(r[0] for r in events.select(bans.utc_day(F.col("eventTime"))).distinct().collect() if r[0])
+    rollup = Rollup(spark, scratch_path(spark, "rollup"), C)
+    for some in (days[:-2], days[-2:]):
+        rollup.update(events, some)
+    return rollup.incidents() if days else find_incidents(events, C)
+
+
+def _archive(spark, sf_dir, files: int = 32) -> str:
+    path = scratch_path(spark, "clustered-archive")
+    write_clustered(find_incidents(_events(spark, sf_dir), C), path, files)
+    return path
+
+
+def archive_lookup(spark, sf_dir):
+    """The incidents of the address that has most of them, and those of the last
+    day, found in the clustered archive through its files' rectangles."""
+    path = _archive(spark, sf_dir)
+    rows = spark_rows(spark, path)
+    top = (rows.groupBy("ip").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ip").first())
+    last = rows.agg(F.max("lastEvent")).first()[0]
+    if top is None:
+        return rows.select(F.lit("ip").alias("asked"), "ip", "lastEvent", "reason")
+    day = last.replace(hour=0, minute=0, second=0, microsecond=0)
+    parts = {"ip": _archive_lookup(spark, path, ip=top.ip), "day": _archive_lookup(spark, path, since=day),
+             "both": _archive_lookup(spark, path, ip=top.ip, since=day)}
+    out = None
+    for asked, found in parts.items():
+        found = found.select(F.lit(asked).alias("asked"), "*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def spool_file_report(spark, sf_dir):
+    """Lines, rejects and status of every file of a spool folder: one file per
+    value of the events' `props.k`, which says what form their messages have."""
+    from clickguard.sources.kafka import with_message
+
+    ensure_utc(spark)
+    folder = scratch_path(spark, "spool")
+    k = F.coalesce(F.get_json_object("props", "$.k").try_cast("int"), F.lit(-1))
+    (with_message(read_table(spark, sf_dir, "events").withColumn("k", k), "_msg")
+     .select(F.col("_msg").alias("value"), "k").repartition("k").write.partitionBy("k").text(folder))
+    lines = with_file(spool_batch(spark, folder, "*.txt").select("value", "_metadata"))
+    report = file_report(judged(lines, keep=FILE), F.col("reason").isNotNull())
+    return report.select(F.regexp_extract("file", r"k=(-?\d+)", 1).cast("int").alias("k"),
+                         "lines", "rejects", "status")
+
+
 def merge_partial_aggregates(spark, sf_dir):
     """Partial aggregates per (ip, window, event type), as if each type
     came from its own topic, merged into per-(ip, window) aggregates."""
@@ -292,6 +394,13 @@ def queries() -> dict[str, Query]:
         "incidents_from_spool_lines": incidents_from_spool_lines,
         "incidents_from_spool_files": incidents_from_spool_files,
         "merge_partial_aggregates": merge_partial_aggregates,
+        "incidents_sql_functions": incidents_sql_functions,
+        "suspicious_windows_sql": suspicious_windows_sql,
+        "bans_of": bans_of,
+        "current_bans_keyed": current_bans_keyed,
+        "incidents_from_rollup": incidents_from_rollup,
+        "archive_lookup": archive_lookup,
+        "spool_file_report": spool_file_report,
         "counter_totals": counter_totals,
         **replay.stream_queries(),
     }

@@ -87,16 +87,34 @@ def _only_value(raw: Column) -> Column:
                   F.try_variant_get(pair, "$[0]", "variant"))
 
 
+_TEXT_MEMBER = r'"(?:type|ip|url)"\s*:\s*"[^"\\\x00-\x1f]*"'
+_MEMBER = rf'(?:{_TEXT_MEMBER}|"unix_time"\s*:\s*-?(?:0|[1-9][0-9]{{0,17}}))'
+#: An object of four members, each a message field of its JSON type, and nothing
+#: else. With no field missing it has each of them once.
+_PLAIN_MESSAGE = rf"^\s*\{{\s*{_MEMBER}(?:\s*,\s*{_MEMBER}){{3}}\s*\}}\s*$"
+
+
 def _checked(records: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame:
     """`_raw` text, `_object` (whether it is one JSON object) and per field
     its JSON type `_t_<field>` and value `_<field>`; the parse is pinned, the
-    fields are read from it once."""
-    doc = F.col("_doc")
-    parsed = _pinned(records, keep, _raw=_text(value), _doc=_only_value(_text(value)))
-    cols = {"_object": F.coalesce(F.schema_of_variant(doc).startswith("OBJECT<"), F.lit(False))}
+    fields are read from it once. A plain message, as agents send it, is told by
+    its text and read as the lenient parser reads it; only others become
+    variants, whose types are asked field by field."""
+    raw = _text(value)
+    parsed = _pinned(records, keep, _raw=raw, _m=F.when(raw.rlike(_PLAIN_MESSAGE), F.from_json(raw, MESSAGE)))
+    m, doc = F.col("_m"), F.col("_doc")
+    plain = F.lit(True)
+    for f in MESSAGE.fields:
+        plain = plain & m.getField(f.name).isNotNull()
+    parsed = _pinned(parsed, (*keep, "_raw", "_m"), _plain=plain,
+                     _doc=F.when(~plain, _only_value(F.col("_raw"))))
+    plain = F.col("_plain")
+    cols = {"_object": plain | F.coalesce(F.schema_of_variant(doc).startswith("OBJECT<"), F.lit(False))}
     for f in MESSAGE.fields:
-        cols[f"_t_{f.name}"] = F.schema_of_variant(F.try_variant_get(doc, f"$.{f.name}", "variant"))
-        cols[f"_{f.name}"] = F.try_variant_get(doc, f"$.{f.name}", f.dataType.simpleString())
+        asked = F.schema_of_variant(F.try_variant_get(doc, f"$.{f.name}", "variant"))
+        cols[f"_t_{f.name}"] = F.when(plain, F.lit(_JSON_TYPE[f.dataType])).otherwise(asked)
+        cols[f"_{f.name}"] = F.when(plain, m.getField(f.name)).otherwise(
+            F.try_variant_get(doc, f"$.{f.name}", f.dataType.simpleString()))
     return _pinned(parsed, (*keep, "_raw"), **cols)
 
 
@@ -150,6 +168,12 @@ def quarantine(records: DataFrame, value: str = "value",
             .select(*keep, F.col("_raw").alias("raw"), reject_reason().alias("reason")))
 
 
+def judged(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every record with its `raw` text and why the strict parse rejects it
+    (`reason`, null where it passes)."""
+    return _checked(records, value, keep).select(*keep, F.col("_raw").alias("raw"), reject_reason().alias("reason"))
+
+
 def normalise_action(action: str | Column = "action") -> Column:
     """The event-type enum: a known type stays, anything else (including
     null) becomes ``unknown``."""

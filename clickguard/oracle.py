@@ -131,10 +131,11 @@ PERIOD_MS = f"epoch_us(lastEvent) // 1000 + {BAN_MS}"
 BAN_RECORDS = incidents_sql(EV, "ev") + f"\nSELECT ip, {PERIOD_S} AS period, reason FROM inc"
 BAN_RECORDS_MS = incidents_sql(EV, "ev") + f"\nSELECT ip, {PERIOD_MS} AS period, reason FROM inc"
 
-CURRENT_BANS = incidents_sql(EV, "ev") + f""",
+def _current_bans(ban_s: int) -> str:
+    return incidents_sql(EV, "ev") + f""",
 log AS (
-  SELECT ip, {PERIOD_S} AS period, reason, lastEvent AS written_at, 0 AS batch_id,
-         lastEvent + INTERVAL {BAN_S} SECOND AS expires_at
+  SELECT ip, (epoch_us(lastEvent) // 1000000 + {ban_s}) * 1000 AS period, reason,
+         lastEvent AS written_at, 0 AS batch_id, lastEvent + INTERVAL {ban_s} SECOND AS expires_at
   FROM inc),
 cut AS (SELECT max(written_at) AS t FROM log),
 ranked AS (
@@ -144,6 +145,9 @@ ranked AS (
 SELECT ip, period, reason, written_at, expires_at
 FROM ranked WHERE rn = 1 AND expires_at > (SELECT t FROM cut)"""
 
+
+CURRENT_BANS = _current_bans(BAN_S)
+
 # Kafka-shaped records built from `events` with DuckDB's own JSON functions.
 SECONDS = "BETWEEN -62135596800 AND 253402300799"  # years 1 to 9999
 
@@ -389,6 +393,47 @@ STREAM_INCIDENTS_TWO_TOPICS = (_two_topics("min", "CASE WHEN a < b THEN a ELSE b
                                + _two_topics("max", "greatest(a, b)"))
 
 
+STREAM_BATCH_REPORT = f"""WITH {_batched(LENIENT, "lenient", "eventTime")},
+fired AS (SELECT ip, ws, {FIRES} AS fires FROM (
+  SELECT *, clicks + watches AS total_events,
+         CASE WHEN clicks > 0 THEN watches / clicks ELSE CAST(watches AS DOUBLE) END AS rate
+  FROM (SELECT ip, ws, {_STATS} FROM win GROUP BY ip, ws))),
+marks AS (SELECT b.b AS batch, (SELECT max(epoch_ms(tm)) FROM bt WHERE bt.batch <= b.b) - {WM_MS} AS w
+          FROM range(4) b(b)),
+late AS (SELECT fan.batch, count(DISTINCT (fan.ip, ws)) AS n FROM fan JOIN wm USING (batch)
+         WHERE epoch_us(tm) < ws + {W} AND ws + {W} <= wm.w * 1000 GROUP BY fan.batch),
+closed AS (SELECT f.*, (SELECT min(m.batch) FROM marks m WHERE (ws + {W}) // 1000 <= m.w) AS batch FROM fired f),
+held AS (SELECT m.batch, count(*) AS n FROM marks m JOIN
+           (SELECT ip, ws, min(batch) AS since FROM win GROUP BY ip, ws) s
+           ON s.since <= m.batch AND (ws + {W}) // 1000 > m.w GROUP BY m.batch)
+SELECT CAST(m.batch AS INTEGER) AS delivery, (SELECT count(*) FROM bt WHERE bt.batch = m.batch) AS input,
+       coalesce((SELECT n FROM late WHERE late.batch = m.batch), 0) AS late,
+       (SELECT count(*) FROM closed WHERE fires AND closed.batch = m.batch) AS emitted,
+       coalesce((SELECT n FROM held WHERE held.batch = m.batch), 0) AS state_rows
+FROM marks m"""
+
+SUSPICIOUS_WINDOWS = f"""WITH {EV},
+{windows("ev")}
+SELECT ip, count(*) AS windows, count(*) FILTER (WHERE {FIRES}) AS suspicious, min(rate) AS lowest_rate
+FROM rated GROUP BY ip"""
+
+BANS_OF = f"SELECT * FROM ({_current_bans(14 * 86_400)}) WHERE CAST(ip AS BIGINT) % 20 = 0"
+
+ARCHIVE_LOOKUP = f"""WITH found AS ({INCIDENTS}),
+top AS (SELECT ip FROM found GROUP BY ip ORDER BY count(*) DESC, ip LIMIT 1),
+newest AS (SELECT date_trunc('day', max(lastEvent)) AS d FROM found)
+SELECT 'ip' AS asked, * FROM found WHERE ip = (SELECT ip FROM top)
+UNION ALL SELECT 'day', * FROM found WHERE lastEvent >= (SELECT d FROM newest)
+UNION ALL SELECT 'both', * FROM found WHERE ip = (SELECT ip FROM top) AND lastEvent >= (SELECT d FROM newest)"""
+
+SPOOL_FILE_REPORT = f"""WITH {REC},
+judged AS (SELECT coalesce(s.k, -1) AS k, NOT coalesce({ACCEPTED}, false) AS bad
+           FROM msg JOIN src s ON s.event_id = msg."offset")
+SELECT CAST(k AS INTEGER) AS k, count(*) AS lines, count(*) FILTER (WHERE bad) AS rejects,
+       CASE WHEN count(*) FILTER (WHERE bad) > 0 THEN 'error' ELSE 'finished' END AS status
+FROM judged GROUP BY k"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "window_event_stats": WINDOW_EVENT_STATS,
@@ -433,4 +478,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_incidents_distinct": STREAM_INCIDENTS_DISTINCT,
         "stream_incidents_redelivered": STREAM_INCIDENTS_REDELIVERED,
         "stream_incidents_two_topics": STREAM_INCIDENTS_TWO_TOPICS,
+        "stream_batch_report": STREAM_BATCH_REPORT,
+        "incidents_sql_functions": INCIDENTS,
+        "suspicious_windows_sql": SUSPICIOUS_WINDOWS,
+        "bans_of": BANS_OF,
+        "current_bans_keyed": CURRENT_BANS,
+        "incidents_from_rollup": INCIDENTS,
+        "archive_lookup": ARCHIVE_LOOKUP,
+        "spool_file_report": SPOOL_FILE_REPORT,
     }

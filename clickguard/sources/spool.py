@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: The columns that name the file a line is from.
+FILE = ("file", "modified", "size")
 
 
 def spool_stream(spark: SparkSession, directory: str, pattern: str = "*.log",
@@ -25,6 +29,26 @@ def spool_batch(spark: SparkSession, directory: str,
     return spark.read.option("pathGlobFilter", pattern).text(directory)
 
 
+def with_file(lines: DataFrame) -> DataFrame:
+    """`lines` of a spool folder with the file each is from: its path, when it
+    was last changed and its bytes (columns `FILE`, from the hidden `_metadata`
+    of the file source, so only where lines come straight from files)."""
+    return lines.select("*", F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_modification_time").alias("modified"),
+                        F.col("_metadata.file_size").alias("size"))
+
+
+def file_report(lines: DataFrame, rejected: Column) -> DataFrame:
+    """(file, modified, size, lines, rejects, status) per file of `with_file`:
+    how many lines it has, how many of them are `rejected`, and whether it is
+    finished or, with any reject, an error. Files without lines are not seen.
+    One aggregate with map-side combine, so a large file is one row a task."""
+    n = F.count_if(F.coalesce(rejected, F.lit(False)))
+    return lines.groupBy(*FILE).agg(
+        F.count("*").alias("lines"), n.alias("rejects"),
+        F.when(n > 0, "error").otherwise("finished").alias("status"))
+
+
 def keyed_stream(spark: SparkSession, path: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """The keyed records that the spool job writes to `path`, as the topic

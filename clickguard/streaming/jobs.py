@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
-from clickguard.functions.parse import extract_key, parse_lenient, parse_strict, quarantine
+from clickguard.functions.parse import extract_key, judged, parse_lenient, parse_strict, quarantine
 from clickguard.operators.arrival import find_incidents_by_arrival, with_batch_arrival
 from clickguard.operators.arrival import skip_old as skip_old_events
 from clickguard.operators.bans import ban_records
@@ -31,6 +31,7 @@ from clickguard.operators.incidents import (
 )
 from clickguard.plans.sql import find_incidents_sql
 from clickguard.session import apply_base_conf
+from clickguard.sources.spool import FILE, file_report, with_file
 from clickguard.streaming.slides import slide_stats
 from clickguard.streaming.sinks import (
     BanLogWriter,
@@ -202,12 +203,32 @@ def keyed_lines(lines: DataFrame) -> DataFrame:
 def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
                      quarantine_path: str, checkpoint: str,
                      trigger: str | None = None,
-                     topic: dict[str, str] | None = None):
+                     topic: dict[str, str] | None = None,
+                     report_path: str | None = None, error_path: str | None = None):
     """Spool lines -> keyed records, as parquet that `keyed_stream` reads or,
     with `topic` (options of Spark's kafka sink: `kafka.bootstrap.servers`,
     `topic`), on a topic that the other jobs read; lines the strict parser
-    rejects also go to quarantine. A record's timestamp is when it was read."""
-    keyed = keyed_lines(lines).withColumn("timestamp", F.current_timestamp())
+    rejects also go to quarantine. A record's timestamp is when it was read.
+
+    With `report_path`, `lines` having the columns of `with_file`, each batch
+    adds a row per file read (`file_report`). With `error_path` too, the files
+    that have any rejected line are set aside: all their lines, as they were, in
+    a folder that the report's `aside` names."""
+    files = FILE if report_path else ()
+    keyed = (lines.select(extract_key("value").alias("key"), "value", *files)
+             .withColumn("timestamp", F.current_timestamp()))
+
+    def report(batch: DataFrame, folder: str) -> None:
+        status = file_report(judged(batch, keep=FILE), F.col("reason").isNotNull())
+        aside = F.concat(F.lit(f"{error_path}/{folder}/file_id="), F.md5("file")) if error_path else F.lit(None)
+        status = status.withColumn("aside", F.when(F.col("status") == "error", aside.cast("string")))
+        status.write.mode("overwrite").parquet(f"{report_path}/{folder}")
+        if error_path:
+            bad = (spark.read.schema(status.schema).parquet(f"{report_path}/{folder}")
+                   .where("status = 'error'").select(F.col("file").alias("bad_file")))
+            (batch.join(bad, F.col("file") == F.col("bad_file"), "left_semi")
+             .select("value", F.md5("file").alias("file_id")).write.mode("overwrite")
+             .partitionBy("file_id").text(f"{error_path}/{folder}"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run = run_key(spark, checkpoint)   # a replayed batch overwrites itself, a new run never does
@@ -216,9 +237,12 @@ def spool_ingest_job(spark: SparkSession, lines: DataFrame, path: str,
             if topic:
                 batch.select("key", "value").write.format("kafka").options(**topic).save()
             else:
-                batch.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+                (batch.select("key", "value", "timestamp").write.mode("overwrite")
+                 .parquet(f"{path}/run={run}/batch={batch_id}"))
             (quarantine(batch, keep=("key",)).write.mode("overwrite")
              .parquet(f"{quarantine_path}/run={run}/batch={batch_id}"))
+            if report_path:
+                report(batch, f"run={run}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -240,7 +264,7 @@ def compact_job(spark: SparkSession, ban_path: str, out: str, before: str,
     if snapshot is not None and snapshot.rstrip("/") == out.rstrip("/"):
         raise ValueError("the new snapshot must go to another path than the one it reads")
     if snapshot is None:
-        log = spark.read.parquet(ban_path)
+        log = read_ban_log(spark, ban_path)
     else:
         if snapshot_cut is None:
             raise ValueError("a previous snapshot needs its cut day")
@@ -287,6 +311,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--from-spool", action="store_true")
     ap.add_argument("--spool-topic", help="spool: put the records on this topic instead")
     ap.add_argument("--quarantine-path")
+    ap.add_argument("--report-path", help="spool: a row per file read, finished or error")
+    ap.add_argument("--error-path", help="spool: where files with rejected lines are set aside")
     ap.add_argument("--detector", default="sql", choices=sorted(DETECTORS))
     ap.add_argument("--time", default="event", choices=["event", "arrival", "batch"])
     ap.add_argument("--emit", default="change", choices=["change", "slide"],
@@ -336,8 +362,10 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "spool":
         lines = spool_stream(spark, a.spool_dir, max_files_per_trigger=a.max_files,
                              archive_dir=a.spool_archive)
+        if a.report_path:
+            lines = with_file(lines)
         q = spool_ingest_job(spark, lines, a.keyed_path, a.quarantine_path, a.checkpoint,
-                             trigger=a.trigger, topic=a.spool_topic and {
+                             trigger=a.trigger, report_path=a.report_path, error_path=a.error_path, topic=a.spool_topic and {
                                  "kafka.bootstrap.servers": a.brokers, "topic": a.spool_topic})
     else:
         records = (keyed_stream(spark, a.keyed_path, a.max_files) if a.from_spool

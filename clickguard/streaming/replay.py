@@ -25,7 +25,8 @@ from clickguard.session import ensure_utc, scratch_path
 from clickguard.sources.counter import events_as_counter_rows
 from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
 from clickguard.sources.tables import TABLE_SCHEMAS, read_table, to_click_events
-from clickguard.streaming.jobs import archive_job, ban_job, counter_job
+from clickguard.streaming.jobs import archive_job, ban_job, counter_job, detect
+from clickguard.streaming.progress import BatchReport, measured, read_report
 from clickguard.streaming.sinks import archive_sink, latest_state, read_ban_log, read_upsert_log
 from clickguard.streaming.state import open_windows
 
@@ -236,6 +237,36 @@ def stream_incidents_two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def stream_batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the batches of `stream_incidents_late` read, how many rows
+    came too late for their window and how many incidents it emitted, as the
+    job's listener wrote it down."""
+    ensure_utc(spark)
+    out = scratch_path(spark, "archive-report")
+    ckpt = scratch_path(spark, "checkpoints", "archive-report")
+    report = BatchReport(spark, scratch_path(spark, "report"), out="incidents")
+    runs: list[str] = []
+
+    def run(records):
+        found = detect(spark, measured(records, "records"), C, "plain")
+        q = archive_sink(measured(found, "incidents"), out, ckpt).trigger(availableNow=True).start()
+        runs.append(str(q.runId))
+        q.awaitTermination()
+        report.wait(q)
+        return q
+
+    spark.streams.addListener(report)
+    try:
+        in_batches(spark, sf_dir, run)
+    finally:
+        spark.streams.removeListener(report)
+    report.flush()
+    order = spark.createDataFrame(list(enumerate(runs)), "delivery int, run string")
+    return (read_report(spark, report.path).join(F.broadcast(order), "run").groupBy("delivery")
+            .agg(F.sum("input").alias("input"), F.sum("late").alias("late"), F.sum("emitted").alias("emitted"),
+                 F.max_by("state_rows", "batch").alias("state_rows")))
+
+
 def stream_queries() -> dict:
     return {
         "stream_incidents_append": stream_incidents_append,
@@ -249,4 +280,5 @@ def stream_queries() -> dict:
         "stream_incidents_distinct": stream_incidents_distinct,
         "stream_incidents_redelivered": stream_incidents_redelivered,
         "stream_incidents_two_topics": stream_incidents_two_topics,
+        "stream_batch_report": stream_batch_report,
     }
