@@ -106,6 +106,40 @@ def test_urls_learn_from_what_rules_label(spark):
     assert len(got) == 300 and right >= 290
 
 
+def test_urls_of_hosts_not_seen(spark):
+    """On the table's own rules: most labelled urls of held-out hosts are judged
+    right, and of those that no rule fits about as many are blocked as rules block."""
+    rows = urls.featured(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), URL_RULES, "page_id", "url").cache()
+    score, least, accuracy = urls.scored(rows)
+    held = score.where(f"label is not null and fold = {urls.FOLDS - 1}").select("p", "label").collect()
+    right = sum((r.p >= least) == (r.label == 1) for r in held) / len(held)
+    most = max(sum(r.label == k for r in held) for k in (0, 1)) / len(held)
+    assert accuracy == pytest.approx(right, abs=0.01) and right > most + 0.05 and right > 0.9
+    blocked = [r.p >= least for r in score.where("label is null").select("p").collect()]
+    by_rule = rows.agg({"label": "avg"}).first()[0]
+    assert abs(sum(blocked) / len(blocked) - by_rule) < 0.15
+    print(len(held), right, most, sum(blocked) / len(blocked), by_rule, least)
+
+
+def test_url_statistics_leave_out_the_own_fold(spark):
+    """Of a section whose labelled urls are all on one host, that host learns
+    nothing; another host does."""
+    rows = [(i, f"http://a.example.com/de/{i}", "") for i in range(40)] + [(100, "http://b.net/de/x", "")]
+    rows += [(200 + i, f"http://h{i}.org/p", "") for i in range(40)]
+    got = {r.id: r for r in urls.featured(pages(spark, rows), URL_RULES, "page_id", "url").collect()}
+    base = 0.5
+    assert got[0].x[-1] == pytest.approx(base) and got[0].x[-2] == pytest.approx(np.log1p(41))
+    if got[100].fold != got[0].fold:
+        assert got[100].x[-1] == pytest.approx((40 + 10 * base) / 50)
+
+
+def test_threshold():
+    assert urls._threshold([]) == (0.5, None)
+    least, right = urls._threshold([(100, 10, 0), (400, 10, 2), (700, 10, 9), (900, 5, 5)])
+    assert least == 0.6995 and right == (10 + 8 + 9 + 5) / 35
+    assert urls._threshold([(100, 5, 0)])[0] > 1
+
+
 def test_urls_without_anything_to_learn(spark):
     got = urls.judge(pages(spark, [(1, "http://a.org/x", ""), (2, "http://b.net/", "")]), URL_RULES).collect()
     assert {(r.page_id, r.verdict, r.block_score) for r in got} == {(1, "allow", None), (2, "allow", 0.0)}
