@@ -9,9 +9,9 @@ the loss.
 The result is long: one row per rendered turn, so neither a conversation nor a
 popular one's copies ever meet in one row or task. Turns are matched by
 (pair, turn, rank among rows that share both), keys that spread a conversation
-over all tasks; the first difference is a map-side combined minimum per pair,
-joined back to turns (the side of one row per pair is the small one, and
-adaptive execution splits a pair with very many turns).
+over all tasks, in one exchange of both sides; the first difference is a map-side
+combined minimum per pair, joined back to turns (the side of one row per pair is
+the small one, and adaptive execution splits a pair with very many turns).
 `assembled` joins the rows of a pair into texts for those who want them.
 """
 
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickguard.llm.common import stored
+
 PROMPT, CHOSEN, REJECTED = "prompt", "chosen", "rejected"
 _LAST = (1 << 63) - 1
 
@@ -32,14 +34,22 @@ def _rendered() -> tuple[F.Column, F.Column, F.Column]:
     return F.concat(head, body, F.lit("<|end|>\n")), F.length(head), F.length(body)
 
 
-def _turns(turns: DataFrame, pair: str) -> DataFrame:
-    """Turns by position: (pair, turn, n), n numbering the rows of one turn by
-    role and text. A null turn comes last; a row repeated in all is one row."""
-    rows = turns.select(F.col(pair).alias("pair"), F.coalesce(F.col("turn").cast("long"), F.lit(_LAST))
+def _turns(turns: DataFrame, pair: str, side: int) -> DataFrame:
+    """(pair, turn, role, text, side); a null turn comes last."""
+    return turns.select(F.col(pair).alias("pair"), F.coalesce(F.col("turn").cast("long"), F.lit(_LAST))
                         .alias("turn"), F.col("role").cast("string").alias("role"),
-                        F.col("text").cast("string").alias("text")).distinct()
-    return rows.withColumn("n", F.row_number().over(
-        Window.partitionBy("pair", "turn").orderBy("role", "text")))
+                        F.col("text").cast("string").alias("text"), F.lit(side).alias("side"))
+
+
+def _positions(chosen: DataFrame, rejected: DataFrame, pair: str) -> DataFrame:
+    """(pair, turn, n, one, two) per position: what either side has there, null
+    where it has nothing; n numbers the rows of a turn by role and text."""
+    sides = _turns(chosen, pair, 1).unionByName(_turns(rejected, pair, 2))
+    place = Window.partitionBy("pair", "turn", "side").orderBy("role", "text")
+    # clustered by pair and turn, which serves the numbering and the grouping
+    rows = sides.repartition("pair", "turn").withColumn("n", F.row_number().over(place))
+    of = [F.max(F.when(F.col("side") == s, F.struct("role", "text"))).alias(c) for s, c in ((1, "one"), (2, "two"))]
+    return rows.groupBy("pair", "turn", "n").agg(*of)
 
 
 def format_preferences(chosen: DataFrame, rejected: DataFrame, pair: str = "pair_id",
@@ -52,31 +62,25 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair: str = "pair
     A pair that one side lacks has no prompt, and that side no completion; two
     equal conversations are all prompt. Null roles and texts are compared as
     values and rendered empty; turns order by number, nulls last, rows that share
-    a number by role and text, and rows repeated in full count once. A null
+    a number by role and text; rows repeated in full are turns of their own. A null
     pair is a pair; empty tables give an empty result; other columns are not
     read.
     """
-    a, b = _turns(chosen, pair), _turns(rejected, pair)
-    sides = (a.withColumn("side", F.lit(1)).unionByName(b.withColumn("side", F.lit(2))))
-    # equal on both sides: the same row twice in the group of a position
-    differs = (sides.groupBy("pair", "turn", "n")
-               .agg(F.count("*").alias("rows"), F.count_distinct(F.struct("role", "text")).alias("kinds"))
-               .where("rows < 2 or kinds > 1"))
-    first = (differs.groupBy("pair").agg(F.min("turn").alias("turn1"))
-             .withColumnRenamed("pair", "pair1"))
-    # within the first turn that differs, the first rank
-    at = (differs.join(first, F.col("pair").eqNullSafe(F.col("pair1")) & (F.col("turn") == F.col("turn1")))
-          .groupBy("pair1", "turn1").agg(F.min("n").alias("n1")))
-    marked = sides.join(at, F.col("pair").eqNullSafe(F.col("pair1")), "left")
-    shared = F.coalesce((F.col("turn") < F.col("turn1"))
-                        | (F.col("turn") == F.col("turn1")) & (F.col("n") < F.col("n1")), F.lit(True))
-    part = F.when(shared, PROMPT).when(F.col("side") == 1, CHOSEN).otherwise(REJECTED)
+    rows = _positions(chosen, rejected, pair)
+    first = (rows.where(~F.col("one").eqNullSafe(F.col("two"))).groupBy("pair")
+             .agg(F.min(F.struct("turn", "n")).alias("first")).withColumnRenamed("pair", "pair1"))
+    marked = rows.join(first, F.col("pair").eqNullSafe(F.col("pair1")), "left")
+    shared = F.col("first").isNull() | (F.struct("turn", "n") < F.col("first"))
+    sides = F.when(shared, F.array(F.struct(F.lit(PROMPT).alias("part"), F.col("one").alias("said")))).otherwise(
+        F.array(F.struct(F.lit(CHOSEN).alias("part"), F.col("one").alias("said")),
+                F.struct(F.lit(REJECTED).alias("part"), F.col("two").alias("said"))))
+    parts = (marked.select("pair", "turn", "n", F.explode(sides).alias("s")).where("s.said IS NOT NULL")
+             .select("pair", "turn", "n", "s.part", "s.said.role", "s.said.text"))
     text, start, length = _rendered()
-    counts = (part != PROMPT) & (F.coalesce("role", F.lit("")) == assistant)
-    return (marked.withColumn("part", part).where((F.col("part") != PROMPT) | (F.col("side") == 1))
-            .select(F.col("pair").alias(pair), "part", F.col("turn"), F.col("n"), "role",
-                    text.alias("rendered"), start.alias("loss_start"),
-                    F.when(counts, length).otherwise(0).alias("loss_length")))
+    counts = (F.col("part") != PROMPT) & (F.coalesce("role", F.lit("")) == assistant)
+    return parts.select(F.col("pair").alias(pair), "part", "turn", "n", "role",
+                        text.alias("rendered"), start.alias("loss_start"),
+                        F.when(counts, length).otherwise(0).alias("loss_length"))
 
 
 def assembled(parts: DataFrame, pair: str = "pair_id") -> DataFrame:
@@ -108,22 +112,22 @@ def assembled(parts: DataFrame, pair: str = "pair_id") -> DataFrame:
 def last_reply_pairs(turns: DataFrame, conv: str = "conv_id", assistant: str = "assistant"):
     """(chosen, rejected) from plain conversations: the chosen side is the
     conversation, the rejected one repeats the reply before in place of the last
-    (an empty reply where there is none before). Conversations without a reply
-    make no pair."""
-    rows = turns.select(F.col(conv).alias("pair_id"), "turn", "role", "text")
-    replies = rows.where(F.col("role") == assistant)
-    last = replies.groupBy("pair_id").agg(F.max("turn").alias("last"))
-    same = F.col("pair_id").eqNullSafe(F.col("p"))
-    keyed = last.withColumnRenamed("pair_id", "p")
-    before = (replies.join(keyed, same).where("turn < last").groupBy("p").agg(F.max("turn").alias("prior"))
-              .withColumnRenamed("p", "q"))
-    text = (replies.join(before, (F.col("pair_id").eqNullSafe(F.col("q"))) & (F.col("turn") == F.col("prior")))
-            .groupBy("q").agg(F.min("text").alias("prior_text")))
-    ends = (keyed.join(text, F.col("p").eqNullSafe(F.col("q")), "left")
-            .select("p", "last", F.coalesce("prior_text", F.lit("")).alias("prior_text")))
-    both = rows.join(ends, same)
-    chosen = both.select("pair_id", "turn", "role", "text")
+    (an empty reply where there is none before). Every row of `turns` is on both
+    sides. Replies of one turn number are all the last, or the one before, whose
+    smallest text is taken; replies without a turn number are neither. A
+    conversation without a reply has equal sides, so it is all prompt. A null
+    conversation is one like others, an empty table gives empty sides, other
+    columns are not read. The pairs are written once and read for either side."""
+    rows = turns.select(F.col(conv).alias("pair_id"), F.col("turn"), F.col("role"), F.col("text"))
+    replies = (rows.where((F.col("role") == assistant) & F.col("turn").isNotNull())
+               .groupBy("pair_id", "turn").agg(F.min("text").alias("text")))
+    latest = Window.partitionBy("pair_id").orderBy(F.desc("turn"))
+    two = replies.withColumn("place", F.row_number().over(latest)).where("place <= 2")
+    ends = (two.groupBy(F.col("pair_id").alias("p"))
+            .agg(F.max("turn").alias("last"), F.max(F.when(F.col("place") == 2, F.col("text"))).alias("prior")))
     swap = (F.col("role") == assistant) & (F.col("turn") == F.col("last"))
-    rejected = both.select("pair_id", "turn", "role", F.when(swap, F.col("prior_text")).otherwise(F.col("text"))
-                           .alias("text"))
-    return chosen, rejected
+    other = F.when(swap, F.coalesce("prior", F.lit(""))).otherwise(F.col("text"))
+    both = stored(rows.join(ends, F.col("pair_id").eqNullSafe(F.col("p")), "left")
+                  .select("pair_id", "turn", "role", "text", other.alias("other")), "preference-pairs")
+    chosen = both.select("pair_id", "turn", "role", "text")
+    return chosen, both.select("pair_id", "turn", "role", F.col("other").alias("text"))

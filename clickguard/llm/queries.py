@@ -62,30 +62,34 @@ def op4_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preference pairs of all conversations with a reply: the conversation
-    against itself with the last reply replaced by the one before, as rows of
-    prompt, chosen and rejected turns with loss spans."""
+    """Preference pairs of all conversations: the conversation against itself
+    with the last reply replaced by the one before, as rows of prompt, chosen and
+    rejected turns with loss spans; without a reply it is all prompt."""
     chosen, rejected = preference.last_reply_pairs(read_table(spark, sf_dir, "conversations"))
     return preference.format_preferences(chosen, rejected)
 
 
 OP5_SQL = """
-WITH replies AS (SELECT * FROM conversations WHERE role = 'assistant'),
+WITH replies AS (SELECT conv_id, turn, min(text) AS text FROM conversations
+                 WHERE role = 'assistant' AND turn IS NOT NULL GROUP BY conv_id, turn),
 ends AS (SELECT conv_id, max(turn) AS last_turn FROM replies GROUP BY conv_id),
 prior AS (SELECT r.conv_id, arg_max(r.text, r.turn) AS prior_text
           FROM replies r JOIN ends e ON r.conv_id = e.conv_id AND r.turn < e.last_turn GROUP BY r.conv_id),
-chosen AS (SELECT c.conv_id, c.turn, c.role, c.text, e.last_turn, coalesce(p.prior_text, '') AS prior_text
-           FROM conversations c JOIN ends e ON c.conv_id = e.conv_id LEFT JOIN prior p ON c.conv_id = p.conv_id),
-both_sides AS (SELECT *, CASE WHEN turn = last_turn THEN prior_text ELSE text END AS other FROM chosen),
-cut AS (SELECT conv_id, min(CASE WHEN other <> text THEN turn END) AS first_turn FROM both_sides GROUP BY conv_id),
+both_sides AS (
+  SELECT c.conv_id, c.turn, c.role, c.text,
+         CASE WHEN c.role = 'assistant' AND c.turn = e.last_turn THEN coalesce(p.prior_text, '') ELSE c.text END AS other
+  FROM conversations c LEFT JOIN ends e ON c.conv_id = e.conv_id LEFT JOIN prior p ON c.conv_id = p.conv_id),
+one AS (SELECT conv_id, turn, role, text,
+               row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) AS n FROM both_sides),
+two AS (SELECT conv_id, turn, role, other AS text,
+               row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, other) AS n FROM both_sides),
+cut AS (SELECT one.conv_id, min(one.turn * 1000000 + one.n) AS first_place FROM one JOIN two USING (conv_id, turn, n)
+        WHERE one.role IS DISTINCT FROM two.role OR one.text IS DISTINCT FROM two.text GROUP BY one.conv_id),
 parts AS (
-  SELECT b.conv_id, 'prompt' AS part, b.turn, b.role, b.text FROM both_sides b JOIN cut USING (conv_id)
-  WHERE first_turn IS NULL OR turn < first_turn
-  UNION ALL SELECT b.conv_id, 'chosen', b.turn, b.role, b.text FROM both_sides b JOIN cut USING (conv_id)
-  WHERE turn >= first_turn
-  UNION ALL SELECT b.conv_id, 'rejected', b.turn, b.role, b.other FROM both_sides b JOIN cut USING (conv_id)
-  WHERE turn >= first_turn)
-SELECT conv_id AS pair_id, part, turn, 1 AS n, role,
+  SELECT one.*, CASE WHEN first_place IS NULL OR turn * 1000000 + n < first_place THEN 'prompt' ELSE 'chosen' END AS part
+  FROM one LEFT JOIN cut USING (conv_id)
+  UNION ALL SELECT two.*, 'rejected' FROM two JOIN cut USING (conv_id) WHERE turn * 1000000 + n >= first_place)
+SELECT conv_id AS pair_id, part, turn, CAST(n AS INTEGER) AS n, role,
        '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
        CAST(length(role) + 5 AS INTEGER) AS loss_start,
        CAST(CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(text) ELSE 0 END AS INTEGER) AS loss_length

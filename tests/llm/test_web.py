@@ -199,14 +199,15 @@ def test_preferences(spark):
               (2, 0, "user", "same"), (2, 1, "assistant", "end"), (3, 0, "user", "only chosen"),
               (None, 0, None, None), (None, None, "assistant", "late"), (5, 1, "b", "2"), (5, 1, "a", "1"),
               (1, 0, "user", "hi"), (6, 0, "user", ""), (6, 1, "assistant", "x" * 50_000)]
-    rejected = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, 2, "user", "go"), (1, 3, "assistant", "bad"),
+    rejected = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, 2, "user", "go"), (1, 3, "assistant", "bad"),
                 (1, 4, "user", "why"), (2, 0, "user", "same"), (2, 1, "assistant", "end"), (4, 0, "user", "only rejected"),
                 (None, 0, None, None), (5, 1, "a", "1"), (6, 0, "user", ""), (6, 1, "assistant", None)]
     parts = preference.format_preferences(turns(spark, chosen), turns(spark, rejected))
     got = {(r.pair_id, r.part, r.turn, r.n): r for r in parts.collect()}
     last = (1 << 63) - 1
     assert set(got) == {
-        (1, "prompt", 0, 1), (1, "prompt", 1, 1), (1, "prompt", 2, 1), (1, "chosen", 3, 1), (1, "rejected", 3, 1),
+        (1, "prompt", 0, 1), (1, "prompt", 0, 2), (1, "prompt", 1, 1), (1, "prompt", 2, 1), (1, "chosen", 3, 1),
+        (1, "rejected", 3, 1),
         (1, "rejected", 4, 1), (2, "prompt", 0, 1), (2, "prompt", 1, 1), (3, "chosen", 0, 1), (4, "rejected", 0, 1),
         (None, "prompt", 0, 1), (None, "chosen", last, 1), (5, "prompt", 1, 1), (5, "chosen", 1, 2),
         (6, "prompt", 0, 1), (6, "chosen", 1, 1), (6, "rejected", 1, 1)}
@@ -215,21 +216,36 @@ def test_preferences(spark):
         assert (r.loss_length > 0) == (part != "prompt" and r.role == "assistant" and r.rendered != "<|assistant|>\n<|end|>\n")
         assert r.rendered == f"<|{r.role or ''}|>\n{own or r.rendered[r.loss_start:-8]}<|end|>\n"
     row = {r.pair_id: r for r in preference.assembled(parts).collect()}[1]
-    assert row.prompt == "<|user|>\nhi<|end|>\n<|assistant|>\nyes<|end|>\n<|user|>\ngo<|end|>\n"
+    assert row.prompt == "<|user|>\nhi<|end|>\n" * 2 + "<|assistant|>\nyes<|end|>\n<|user|>\ngo<|end|>\n"
     assert [row.chosen[a:a + n] for a, n in row.chosen_mask] == ["good"]
     assert [row.rejected[a:a + n] for a, n in row.rejected_mask] == ["bad"]
     empty = turns(spark, [])
     assert preference.format_preferences(empty, empty).count() == 0
 
 
+def test_a_repeated_turn_is_a_difference(spark):
+    chosen = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "a")]
+    rejected = [(1, 0, "user", "hi"), (1, 1, "assistant", "a")]
+    got = preference.format_preferences(turns(spark, chosen), turns(spark, rejected)).collect()
+    assert sorted((r.part, r.turn, r.n) for r in got) == [
+        ("chosen", 0, 2), ("chosen", 1, 1), ("prompt", 0, 1), ("rejected", 1, 1)]
+
+
 def test_last_reply_pairs(spark):
-    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "first"), (1, 2, "user", "b"),
-                                  (1, 3, "assistant", "second"), (1, 4, "user", "end"), (2, 0, "user", "none"),
-                                  (3, 0, "assistant", "one"), (None, 0, "assistant", "n")],
-                                 "conv_id long, turn long, role string, text string")
-    chosen, rejected = preference.last_reply_pairs(rows)
+    schema = "conv_id long, turn long, role string, text string, last int, place string"
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "first"), (1, 2, "user", "b"),
+            (1, 3, "assistant", "second"), (1, 4, "user", "end"), (2, 0, "user", "none"),
+            (3, 0, "assistant", "one"), (None, 0, "assistant", "n"),
+            (4, 0, "assistant", "y"), (4, 0, "assistant", "x"), (4, 1, "assistant", "z"), (4, 1, "assistant", "z"),
+            (5, None, "assistant", "when"), (5, 0, None, None)]
+    df = spark.createDataFrame([(*r, 1, "c") for r in rows], schema)
+    chosen, rejected = preference.last_reply_pairs(df)
     key = lambda df: sorted(((r.pair_id, r.turn, r.text) for r in df.collect()), key=str)
-    assert key(chosen) == sorted([(1, i, t) for i, t in enumerate(["a", "first", "b", "second", "end"])]
-                                 + [(3, 0, "one"), (None, 0, "n")], key=str)
-    assert key(rejected) == sorted([(1, i, t) for i, t in enumerate(["a", "first", "b", "first", "end"])]
-                                   + [(3, 0, ""), (None, 0, "")], key=str)
+    assert key(chosen) == sorted([(i, n, t) for i, n, _, t in rows], key=str)
+    new = {(1, 3): "first", (3, 0): "", (None, 0): "", (4, 1): "x"}
+    assert key(rejected) == sorted([(i, n, new.get((i, n), t)) for i, n, _, t in rows], key=str)
+    parts = preference.format_preferences(chosen, rejected).collect()
+    assert {r.part for r in parts if r.pair_id in (2, 5)} == {"prompt"}
+    assert sum(r.part != "rejected" for r in parts) == len(rows)
+    chosen, rejected = preference.last_reply_pairs(df.limit(0))
+    assert chosen.count() == rejected.count() == 0
