@@ -194,6 +194,21 @@ def turns(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows], TURNS)
 
 
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 8, 12, 16])
+def test_links_in_few_dimensions(spark, dim):
+    """Links found of those a brute force finds: 0.98 or more, and no others."""
+    r = np.random.RandomState(dim)
+    x = r.standard_normal((400, dim))
+    x = np.concatenate([x, x[:200] + r.standard_normal((200, dim)) * 0.25 * np.abs(x[:200]).mean()])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist(), None) for i, v in enumerate(x)], "vec_id long, embedding array<double>, w int")
+    got = {g.vec_id: g.n_links for g in embedding.embedding_duplicates(df).collect()}
+    n = np.array([got[i] for i in range(len(x))])
+    assert (n <= near.sum(1)).all() and n.sum() >= 0.98 * near.sum() > 0
+
+
 def test_preferences(spark):
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (1, 2, "user", "go"), (1, 3, "assistant", "good"),
               (2, 0, "user", "same"), (2, 1, "assistant", "end"), (3, 0, "user", "only chosen"),
