@@ -100,8 +100,9 @@ def _checked(records: DataFrame, value: str, keep: tuple[str, ...]) -> DataFrame
     fields are read from it once. A plain message, as agents send it, is told by
     its text and read as the lenient parser reads it; only others become
     variants, whose types are asked field by field."""
-    raw = _text(value)
-    parsed = _pinned(records, keep, _raw=raw, _m=F.when(raw.rlike(_PLAIN_MESSAGE), F.from_json(raw, MESSAGE)))
+    raw = F.col("_raw")  # a column of its own: a generator computes each mention of an expression
+    parsed = _pinned(records.select(*keep, _text(value).alias("_raw")), (*keep, "_raw"),
+                     _m=F.when(raw.rlike(_PLAIN_MESSAGE), F.from_json(raw, MESSAGE)))
     m, doc = F.col("_m"), F.col("_doc")
     plain = F.lit(True)
     for f in MESSAGE.fields:

@@ -29,6 +29,7 @@ from clickguard.operators.incidents import (
     find_incidents_typed,
     find_incidents_typed_aggregator,
 )
+from clickguard.operators.once import RECORD, find_distinct_incidents, find_incidents_once
 from clickguard.plans.sql import find_incidents_sql
 from clickguard.session import apply_base_conf
 from clickguard.sources.spool import FILE, file_report, with_file
@@ -77,7 +78,7 @@ def _trigger(writer, trigger: str | None):
 def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
            detector: str = "sql", time: str = "event",
            parse: str = "lenient", skip_old: bool = False,
-           emit: str = "change") -> DataFrame:
+           emit: str = "change", once: bool = False, distinct: bool = False) -> DataFrame:
     """Kafka-shaped records -> incidents.
 
     `time="event"`: event-time windows with watermark; `time="arrival"`:
@@ -90,13 +91,22 @@ def detect(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     judged whenever it changes) or append mode (once, when it closes).
     `emit="slide"` keeps panes: every ip still in a window is judged once per
     slide, with the window's end, in append mode.
+
+    `once` counts a record that is delivered again (same topic, partition and
+    offset) once, `distinct` reports equal incidents of overlapping windows
+    once; both are for event time and append mode.
     """
+    keep = ("timestamp", *(RECORD if once else ()))
     if parse == "lenient":
-        events = parse_lenient(records, keep=("timestamp",))
+        events = parse_lenient(records, keep=keep)
     elif parse == "strict":
-        events = parse_strict(records, keep=("timestamp",))
+        events = parse_strict(records, keep=keep)
     else:
         raise ValueError(f"parse must be lenient or strict, not {parse!r}")
+    if once or distinct:
+        if time != "event" or emit != "change" or skip_old or (once and distinct):
+            raise ValueError("once or distinct is for time='event', emit='change', without skip_old")
+        return find_incidents_once(events, conf) if once else find_distinct_incidents(events, conf)
     if emit == "slide":
         return _by_slide(events, conf, time, skip_old)
     if emit != "change":
@@ -162,10 +172,12 @@ def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
                 path: str, checkpoint: str, partition_by: str = "day",
                 trigger: str | None = None, explain: bool = False,
                 files_per_partition: int | None = None,
-                time: str = "event", emit: str = "change"):
+                time: str = "event", emit: str = "change",
+                once: bool = False, distinct: bool = False):
     """Records -> incidents appended to parquet once their window closes
-    (watermark past the window end); with ``emit="slide"`` with that end."""
-    incidents = detect(spark, records, conf, "plain", time, emit=emit)
+    (watermark past the window end); with ``emit="slide"`` with that end.
+    `once` and `distinct` as in `detect`."""
+    incidents = detect(spark, records, conf, "plain", time, emit=emit, once=once, distinct=distinct)
     return _start(archive_sink(incidents, path, checkpoint, partition_by,
                                   files_per_partition), trigger,
                   incidents if explain else None)
@@ -320,6 +332,10 @@ def main(argv: list[str] | None = None) -> None:
                          "or every ip once per slide")
     ap.add_argument("--parse", default="lenient", choices=["lenient", "strict"])
     ap.add_argument("--precision", default="s", choices=["s", "ms"])
+    ap.add_argument("--once", action="store_true",
+                    help="archive: count records that are delivered again once")
+    ap.add_argument("--distinct", action="store_true",
+                    help="archive: report equal incidents of overlapping windows once")
     ap.add_argument("--skip-old", action="store_true",
                     help="bans by arrival: drop events older than a window at arrival")
     ap.add_argument("--ban-sink", default="log", choices=["log", "rows"])
@@ -379,7 +395,8 @@ def main(argv: list[str] | None = None) -> None:
         elif a.job == "archive":
             q = archive_job(spark, records, conf, a.archive_path, a.checkpoint,
                             a.archive_partition, trigger=a.trigger, explain=a.explain,
-                            files_per_partition=a.archive_files, time=a.time, emit=a.emit)
+                            files_per_partition=a.archive_files, time=a.time, emit=a.emit,
+                            once=a.once, distinct=a.distinct)
         else:
             q = console_job(spark, records, conf, a.checkpoint, trigger=a.trigger)
     q.awaitTermination()

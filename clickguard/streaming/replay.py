@@ -14,12 +14,7 @@ from clickguard.config import EVENTS_CONFIG as C
 from clickguard.config import duration_us
 from clickguard.functions.parse import parse_lenient
 from clickguard.operators.bans import current_bans
-from clickguard.operators.once import (
-    RECORD,
-    find_distinct_incidents,
-    find_incidents_of_topics,
-    find_incidents_once,
-)
+from clickguard.operators.once import find_incidents_of_topics
 from clickguard.schema import COUNTER_TOTAL, INCIDENT, SLIDE_INCIDENT
 from clickguard.session import ensure_utc, scratch_path
 from clickguard.sources.counter import events_as_counter_rows
@@ -185,11 +180,8 @@ def stream_incidents_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "archive-distinct")
     ckpt = scratch_path(spark, "checkpoints", "archive-distinct")
 
-    def run(records):
-        found = find_distinct_incidents(parse_lenient(records), C)
-        return archive_sink(found, out, ckpt).trigger(availableNow=True).start()
-
-    in_batches(spark, sf_dir, run)
+    in_batches(spark, sf_dir, lambda records: archive_job(
+        spark, records, C, out, ckpt, distinct=True, trigger="availableNow"))
     return spark.read.schema(INCIDENT).parquet(out).select(*INCIDENT.names)
 
 
@@ -200,11 +192,8 @@ def stream_incidents_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "archive-redelivered")
     ckpt = scratch_path(spark, "checkpoints", "archive-redelivered")
 
-    def run(records):
-        found = find_incidents_once(parse_lenient(records, keep=RECORD), C)
-        return archive_sink(found, out, ckpt).trigger(availableNow=True).start()
-
-    in_batches(spark, sf_dir, run, again_every=10)
+    in_batches(spark, sf_dir, lambda records: archive_job(
+        spark, records, C, out, ckpt, once=True, trigger="availableNow"), again_every=10)
     return spark.read.schema(INCIDENT).parquet(out).select(*INCIDENT.names)
 
 

@@ -122,8 +122,10 @@ def test_ban_job_by_slide(spark, scratch):
                 skip_old=True, trigger="availableNow")
     assert q.awaitTermination(300) and q.exception() is None
     assert spark.read.parquet(f"{scratch}/bans").count() > 0
-    with pytest.raises(ValueError):
-        detect(spark, records, EVENTS_CONFIG, emit="never")
+    for wrong in ({"emit": "never"}, {"once": True, "time": "arrival"}, {"distinct": True, "emit": "slide"},
+                  {"once": True, "distinct": True}):
+        with pytest.raises(ValueError):
+            detect(spark, records, EVENTS_CONFIG, **wrong)
 
 
 def test_redelivered_records_count_once(spark, scratch):
