@@ -228,16 +228,30 @@ def search(t: Templates, words: list[np.ndarray], least: float):
     return {k: (-v, a) for k, (v, a) in best.items()}
 
 
-def license_hits(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
+def template_rows(templates: DataFrame, name_col: str = "name", text_col: str = "text") -> list[tuple[str, str]]:
+    """The templates of a table, for `license_hits`: short notices or whole
+    license texts, one row per wording; several may share a name. Raises if
+    their texts are over `TEMPLATE_BYTES`, before any is fetched; rows with a null
+    are left out."""
+    rows = templates.select(F.col(name_col).cast("string").alias("name"),
+                            F.col(text_col).cast("string").alias("text")).dropna()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"templates of {size} bytes, {TEMPLATE_BYTES} at most")
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def license_hits(docs: DataFrame, templates: list[tuple[str, str]] | DataFrame = TEMPLATES,
                  id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
     """(`id_col`, license, containment, word_start) per row of `docs` and
     template found in it: the passage with the most shingles, the first of
-    several; word_start counts words without punctuation. Null and empty texts
+    several; word_start counts words without punctuation. `templates` are pairs
+    (name, text) or a table for `template_rows`. Null and empty texts
     hold nothing, nor do templates without words match; null ids and repeated
     rows stay; an empty table gives an empty one; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    t = Templates(templates)
+    t = Templates(template_rows(templates) if isinstance(templates, DataFrame) else templates)
 
     def run(batches):
         words = hasher()

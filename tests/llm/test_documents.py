@@ -467,3 +467,33 @@ def test_leaks_equal_brute_force(spark):
     got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.leaks(table(spark, rows), bench).collect()}
     assert got.keys() == want.keys() and len(want) > 30
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_changed_notices_and_whole_license_texts(spark):
+    """Notices and texts of 12 to 700 words with up to 3 % of their words
+    changed, as templates from a table, against the containment of all their
+    shingles in the document."""
+    r = random.Random(51)
+    texts = [(f"L{i % 20}", words(r, n, 10**6)) for i, n in enumerate([12, 20, 40, 80, 200, 700] * 4)]
+    rows = []
+    for i in range(140):
+        name, text = texts[i % len(texts)]
+        w = text.split()
+        for _ in range(r.randrange(0, 2 + len(w) * 3 // 100)):
+            w[r.randrange(len(w))] = f"changed{i}"
+        head, tail = (words(r, r.randrange(60), 10**6) for _ in (0, 1))
+        rows.append((i, f"{head} {' '.join(w).upper() if i % 3 else ', '.join(w)} {tail}"))
+
+    def shingles(t):
+        w = "".join(c if c.isalnum() else " " for c in t.lower()).split()
+        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+    want = set()
+    for d, t in rows:
+        have = shingles(t)
+        want |= {(d, name) for name, text in texts if len(shingles(text) & have) >= 0.8 * len(shingles(text))}
+    table_of = spark.createDataFrame([*texts, (None, "x"), ("none", None)], "name string, text string")
+    got = {(x.doc_id, x.license) for x in licenses.license_hits(table(spark, rows), table_of).collect()}
+    assert got <= want and len(got) >= 0.98 * len(want) and len(want) > 100
+    with pytest.raises(ValueError):
+        licenses.template_rows(spark.range(20).selectExpr("string(id) AS name", "repeat('word ', 200000) AS text"))
