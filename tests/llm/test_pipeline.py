@@ -147,7 +147,7 @@ def test_stages_keep_clashing_columns_and_long_texts(spark, tables):
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, docs, d)
         if name == "sentencepiece":
-            assert got.columns[:6] == docs.columns
+            assert got.columns[:2] == ["doc_id", "token_ids"]
             assert {x.doc_id: len(x.token_ids or []) for x in got.collect()}[1] > 40_000
             continue
         assert got.schema == docs.schema, name
