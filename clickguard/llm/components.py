@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and
 small-star rounds (Kiveris et al., 2014): O(log n) rounds, each a few joins
 and partial aggregates. Nothing is collected; a round's edges are a table in
-the shared folder."""
+the shared folder. A group's hub, whose edges may be a third of all, isn't
+brought into one task: hubs are few by definition and sent to the edges."""
 
 from __future__ import annotations
 
@@ -14,6 +15,9 @@ from clickguard.llm.common import stored
 
 #: Edges that one task contracts at a time before the rounds.
 CONTRACT_ROWS = 500_000
+#: A node with more than one in so many of the edges is a hub. An edge has two
+#: ends, so there are at most 2 * HUB_SHARE hubs, whatever the input.
+HUB_SHARE = 1000
 
 
 def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -59,6 +63,16 @@ def _mark(e: DataFrame):
     return r[0], r[1]
 
 
+def _with_least(e: DataFrame, limit: int) -> DataFrame:
+    """`e(u, v)` with m, the smallest v of each u. Rows of nodes with more than
+    `limit` rows stay where they are and get m by broadcast."""
+    ends = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    hubs = ends.where(F.col("n") > limit).select("u", F.col("m").alias("hub"))
+    seen = e.join(F.broadcast(hubs), "u", "left")
+    rest = seen.where("hub IS NULL").select("u", "v").join(ends.where(F.col("n") <= limit).select("u", "m"), "u")
+    return seen.where("hub IS NOT NULL").select("u", "v", F.col("hub").alias("m")).unionByName(rest)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
                          max_rounds: int = 200) -> DataFrame:
     """(node, component) for every node of the edge table `edges(a, b)` of
@@ -72,12 +86,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
     for _ in range(max_rounds):
         if not mark[0]:
             break
+        limit = mark[0] // HUB_SHARE
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u")
+        large = stored(_with_least(both, limit).where("v > u")
+                       .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "components")
+        small = (_with_least(large, limit)
                  .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
                          .alias("e"))

@@ -21,15 +21,18 @@ Finding the links, without loss and without all pairs:
    distance.
 4. A bucket gives a spanning forest of its links, not all pairs: fewer rows
    than fingerprints. A bucket of more than `bucket_rows` classes is not
-   compared in one task: its rows go on to buckets by finer keys, in
-   which all but at most 13 bits are equal, so that none can hold more than
-   2^13 fingerprints.
+   compared in one task: the bits in which its rows may differ are cut into
+   max_bits + 1 blocks, of which a linked pair agrees on one, so each row goes
+   on to max_bits + 1 buckets, one per block. Those that are still overfull are
+   cut again, and only those, until at most `OPEN_BITS` bits are open: no such
+   bucket can hold more than 2^OPEN_BITS fingerprints.
 
 Components are then taken over the forest edges.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -48,6 +51,8 @@ PIVOTS = 16
 SHORT_RUN = 8
 CHUNK_ROWS = 200_000
 BUCKET_ROWS = 20_000
+#: A bucket whose rows may differ in no more bits is compared whatever its size.
+OPEN_BITS = 13
 
 #: byte value -> its 8 bits in the 8 byte lanes of a word
 _LANES = np.array([sum(((v >> i) & 1) << (8 * i) for i in range(8)) for v in range(256)], np.uint64)
@@ -98,37 +103,34 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(rows, run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
-def _cuts(bits: list[int], blocks: int) -> list[list[int]]:
-    return [[int(x) for x in part] for part in np.array_split(np.array(bits), blocks)]
-
-
-def _mask(bits: list[int]) -> int:
-    """As a signed 64-bit number."""
-    m = sum(1 << i for i in bits)
-    return m - (1 << 64) if m >> 63 else m
-
-
 def block_masks(max_bits: int) -> list[int]:
     """Of each bucket family, the bits that its members share."""
-    blocks = _cuts(list(range(64)), max_bits + 3)
-    return [_mask(sum(c, [])) for c in combinations(blocks, 3)]
+    blocks = [sum(1 << int(i) for i in part) for part in np.array_split(np.arange(64), max_bits + 3)]
+    return [sum(c) for c in combinations(blocks, 3)]
 
 
-def fine_masks(mask: int, max_bits: int) -> list[int]:
-    """Masks within the bits outside `mask`, one of which any linked pair of
-    the bucket agrees on: all but max_bits of about 13 / max_bits bits each."""
+@lru_cache(maxsize=None)
+def finer_masks(mask: int, max_bits: int) -> tuple[int, ...]:
+    """`mask` with one more block each: of the max_bits + 1 blocks of the bits
+    outside, two fingerprints that differ in max_bits of them agree on one."""
     rest = [i for i in range(64) if not mask >> i & 1]
-    size = max(1, 13 // max(1, max_bits))
-    blocks = _cuts(rest, max(max_bits + 1, -(-len(rest) // size)))
-    return [_mask(sum(c, [])) for c in combinations(blocks, len(blocks) - max_bits)]
+    return tuple(mask | sum(1 << int(i) for i in part) for part in np.array_split(rest, max_bits + 1))
+
+
+def _signed(m: int) -> int:
+    return m - (1 << 64) if m >> 63 else m
 
 
 class _Linker:
     """Spanning links of buckets; rows come sorted by bucket."""
 
-    def __init__(self, max_bits: int, limit: int | None):
+    def __init__(self, max_bits: int, limit: int):
         self.max_bits, self.limit, self.pivots = max_bits, limit, _pivots(PIVOTS)
 
+    def may_part(self, mask):
+        """Whether a bucket of this mask can be cut finer."""
+        return 64 - np.bitwise_count(mask).astype(int) > max(OPEN_BITS, self.max_bits)
+
     def near(self, x, dx, y, dy):
         """Pivot table first, then the distance itself."""
         ok = (np.abs(dx - dy) <= self.max_bits).all(axis=-1)
@@ -175,35 +177,30 @@ class _Linker:
         return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.uint64)
 
     def __call__(self, batches):
-        """Rows (kind, a, b): a link of two fingerprints (kind 0), or a bucket
-        key and a fingerprint of an overfull bucket of family kind - 1."""
-        key, fp, full = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
-
-        def rows(kind, a, b):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.broadcast_to(np.int8(kind), len(a))), pa.array(a.view(np.int64)),
-                 pa.array(b.view(np.int64))], ["kind", "a", "b"])
-
-        family = np.zeros(0, np.int8)
-
-        def overfull(key, fp, family):
-            return rows(family + 1, key.view(np.uint64), fp)
-
+        """Rows (mask, a, b): a link of two fingerprints (mask 0), or a bucket's
+        key and a fingerprint of an overfull bucket with that mask."""
+        key, fp, mask, full = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), None
         for more in self.chunks(batches):
-            key, fp, family = (np.r_[x, y] for x, y in zip((key, fp, family), more))
+            key, fp, mask = (np.r_[x, y] for x, y in zip((key, fp, mask), more))
             if full is not None:  # the rest of a bucket that goes on
                 n = int(np.searchsorted(key != full, True))
-                yield overfull(key[:n], fp[:n], family[:n])
-                key, fp, family = key[n:], fp[n:], family[n:]
+                yield self.rows(mask[:n], key[:n], fp[:n])
+                key, fp, mask = key[n:], fp[n:], mask[n:]
                 full = full if not len(key) else None
             if len(key):
                 n = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
-                yield from self.whole(key[:n], fp[:n], family[:n], rows, overfull)
-                key, fp, family = key[n:], fp[n:], family[n:]
-                if self.limit and len(key) > self.limit:
-                    yield overfull(key, fp, family)
-                    full, key, fp, family = key[0], key[:0], fp[:0], family[:0]
-        yield from self.whole(key, fp, family, rows, overfull)
+                yield from self.whole(key[:n], fp[:n], mask[:n])
+                key, fp, mask = key[n:], fp[n:], mask[n:]
+                if len(key) > self.limit and self.may_part(mask[0]):
+                    yield self.rows(mask, key, fp)
+                    full, key, fp, mask = key[0], key[:0], fp[:0], mask[:0]
+        yield from self.whole(key, fp, mask)
+
+    @staticmethod
+    def rows(mask, a, b):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.broadcast_to(np.asarray(mask, np.uint64), len(a)).view(np.int64)),
+             pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["mask", "a", "b"])
 
     @staticmethod
     def chunks(batches):
@@ -211,7 +208,7 @@ class _Linker:
         parts, n = [], 0
         for b in batches:
             parts.append((b.column("k").to_numpy(), b.column("fp").to_numpy().view(np.uint64),
-                          b.column("family").to_numpy()))
+                          b.column("mask").to_numpy().view(np.uint64)))
             n += b.num_rows
             if n >= CHUNK_ROWS:
                 yield [np.concatenate(x) for x in zip(*parts)]
@@ -219,55 +216,55 @@ class _Linker:
         if n:
             yield [np.concatenate(x) for x in zip(*parts)]
 
-    def whole(self, key, fp, family, rows, overfull):
-        if self.limit and len(key):
+    def whole(self, key, fp, mask):
+        if len(key):
             cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
             size = np.diff(cut)
-            over = np.repeat(size > self.limit, size)
+            over = np.repeat((size > self.limit) & self.may_part(mask[cut[:-1]]), size)
             if over.any():
-                yield overfull(key[over], fp[over], family[over])
+                yield self.rows(mask[over], key[over], fp[over])
                 key, fp = key[~over], fp[~over]
         if len(key) > 1:
-            yield rows(0, *self.chunk(key, fp))
+            yield self.rows(0, *self.chunk(key, fp))
 
 
 def hamming_links(fps: DataFrame, max_bits: int = 4, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Links (a, b) of the distinct bigint fingerprints in `fps(fp)`: a subset
     of the pairs within `max_bits` bits that connects all that such pairs
     connect. An empty input gives no links."""
-    masks = block_masks(max_bits)
     # the family's number in the key keeps families apart; equal keys by
     # chance only cost comparisons, as every link is verified
-    keys = F.array(*[F.xxhash64(F.lit(f), F.col("fp").bitwiseAND(F.lit(m))) for f, m in enumerate(masks)])
-    first = fps.select("fp", F.posexplode(keys).alias("family", "k")).select(
-        "k", "fp", F.col("family").cast("byte"))
-    found = stored(_linked(first, max_bits, bucket_rows), "simhash-links")
-    links, over = found.where("kind = 0").select("a", "b"), found.where("kind > 0")
-    if over.isEmpty():
-        return links
-    finer = [np.array(fine_masks(m, max_bits), np.int64).view(np.uint64) for m in masks]
-
-    def fine(batches):
-        """Keys of the finer buckets: the bucket's own, and each mask's bits."""
+    buckets = [F.struct(F.xxhash64(F.lit(f), F.col("fp").bitwiseAND(F.lit(m))).alias("k"), F.lit(m).alias("mask"))
+               for f, m in enumerate(map(_signed, block_masks(max_bits)))]
+    keyed = fps.select("fp", F.explode(F.array(*buckets)).alias("b")).select("b.k", "fp", "b.mask")
+
+    def finer(batches):
+        """Overfull rows under the keys of the next finer buckets: the bucket's
+        own key and the bits of one more block."""
         for b in batches:
-            family, key, fp = (b.column(c).to_numpy() for c in ("kind", "a", "b"))
-            for lo in range(0, b.num_rows, 256):
-                for f in np.unique(family[lo:lo + 256]):
-                    at = lo + np.flatnonzero(family[lo:lo + 256] == f)
-                    bits = fp[at].view(np.uint64)[:, None] & finer[f - 1]
-                    k = mixed(mixed(bits + np.arange(bits.shape[1], dtype=np.uint64))
-                              + key[at].view(np.uint64)[:, None])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(k.ravel().view(np.int64)), pa.array(np.repeat(fp[at], bits.shape[1])),
-                         pa.array(np.zeros(k.size, np.int8))], ["k", "fp", "family"])
-
-    rows = over.mapInArrow(fine, "k long, fp long, family byte")
-    return links.unionByName(_linked(rows, max_bits, None).select("a", "b"))
-
-
-def _linked(keyed: DataFrame, max_bits: int, limit: int | None) -> DataFrame:
+            mask, key, fp = (b.column(c).to_numpy().view(np.uint64) for c in ("mask", "a", "b"))
+            known, at = np.unique(mask, return_inverse=True)
+            next_masks = np.array([finer_masks(int(m), max_bits) for m in known], np.uint64)[at]
+            which = np.arange(next_masks.shape[1], dtype=np.uint64)
+            k = mixed(mixed((fp[:, None] & next_masks) + which) + key[:, None])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(k.ravel().view(np.int64)), pa.array(np.repeat(fp, len(which)).view(np.int64)),
+                 pa.array(next_masks.ravel().view(np.int64))], ["k", "fp", "mask"])
+
+    links = None
+    while True:  # a few rounds at most: each leaves 1 / (max_bits + 1) fewer bits open
+        found = stored(_linked(keyed, max_bits, bucket_rows), "simhash-links")
+        new = found.where("mask = 0").select("a", "b")
+        links = new if links is None else links.unionByName(new)
+        over = found.where("mask <> 0")
+        if over.isEmpty():
+            return links
+        keyed = over.mapInArrow(finer, "k long, fp long, mask long")
+
+
+def _linked(keyed: DataFrame, max_bits: int, limit: int) -> DataFrame:
     return (keyed.repartition("k").sortWithinPartitions("k")
-            .mapInArrow(_Linker(max_bits, limit), "kind byte, a long, b long"))
+            .mapInArrow(_Linker(max_bits, limit), "mask long, a long, b long"))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

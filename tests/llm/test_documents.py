@@ -69,15 +69,53 @@ def test_simhash_empty_and_long(spark):
     assert simhash.fingerprint(text) == brute_fingerprint(text)
 
 
-def test_simhash_fine_keys_cover_and_bound():
-    for mask in simhash.block_masks(4)[:3]:
-        free = 64 - (mask % (1 << 64)).bit_count()
-        fine = simhash.fine_masks(mask, 4)
-        assert all(free - (m % (1 << 64)).bit_count() <= 13 for m in fine)
-        r = random.Random(3)
-        for _ in range(200):  # any 4 bits outside the mask leave one key whole
-            bits = r.sample([i for i in range(64) if not mask >> i & 1], 4)
-            assert any(all(not m >> b & 1 for b in bits) for m in fine)
+def test_simhash_finer_keys_cover_and_end():
+    r = random.Random(3)
+    for mask in simhash.block_masks(4)[::7]:
+        for _ in range(100):  # 4 bits outside the mask leave a key whole, level by level
+            bits, m, levels = r.sample([i for i in range(64) if not mask >> i & 1], 4), mask, 0
+            while 64 - m.bit_count() > simhash.OPEN_BITS:
+                fine = [f for f in simhash.finer_masks(m, 4) if all(not f >> b & 1 for b in bits)]
+                assert fine and all(f & m == m and f != m for f in fine)
+                m, levels = r.choice(fine), levels + 1
+            assert levels <= 5
+
+
+def skewed_prints(n=6000):
+    """Fingerprints of which a third lie within few bits of one another."""
+    r = random.Random(8)
+    centre = r.getrandbits(64)
+    near = {centre ^ sum(1 << b for b in r.sample(range(64), r.randrange(9))) for _ in range(n // 3)}
+    return sorted(near | {r.getrandbits(64) for _ in range(n - len(near))})
+
+
+@pytest.mark.parametrize("limit", [40, 500])
+def test_simhash_skewed_fingerprints(spark, limit):
+    """Overfull buckets are cut until they fit, without losing a component."""
+    fps = skewed_prints()
+    x = np.array(fps, np.uint64)
+    a, b = np.nonzero(np.triu(np.bitwise_count(x[:, None] ^ x) <= 4, 1))
+    want = components.roots(a, b, len(x))
+    links = simhash.hamming_links(spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long")
+                                  .repartition(5), bucket_rows=limit).collect()
+    at = {simhash._signed(f): i for i, f in enumerate(fps)}
+    pairs = {(at[r.a], at[r.b]) for r in links}
+    assert all(np.bitwise_count(x[i] ^ x[j]) <= 4 for i, j in pairs)
+    got = components.roots(*np.array(sorted(pairs)).T, len(x))
+    assert np.array_equal(got, want)
+
+
+def test_components_of_hubs_equal_brute_force(spark):
+    """Groups whose hub has the largest, the smallest or a middle id, over
+    random edges, with more edges than a hub's least share."""
+    r = random.Random(6)
+    edges = [(9000, i) for i in range(0, 3000, 2)] + [(1, i) for i in range(3001, 5000, 2)]
+    edges += [(6000, i) for i in range(5000, 7000)] + [(r.randrange(9000), r.randrange(9000)) for _ in range(2500)]
+    got = {x.node: x.component for x in components.connected_components(
+        spark.createDataFrame(edges, "a long, b long").repartition(9)).collect()}
+    a, b = np.array(edges).T
+    root = components.roots(a, b, 9001)
+    assert got == {n: int(root[n]) for n in {x for e in edges if e[0] != e[1] for x in e}}
 
 
 def test_components_of_chains_and_stars(spark):
