@@ -470,6 +470,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_incidents_append": STREAM_APPEND,
         "stream_incidents_event_time": STREAM_APPEND_EVENTS,
         "stream_bans_upsert": STREAM_BANS,
+        "stream_bans_rows": f"SELECT ip, period, reason, true AS in_force FROM ({FROM_MESSAGES})",
         "stream_counter": COUNTER_TOTALS,
         "stream_bans_by_arrival": STREAM_BANS_BY_ARRIVAL,
         "stream_incidents_late": STREAM_INCIDENTS_LATE,

@@ -75,6 +75,19 @@ def stream_bans_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_bans(log, horizon=C.ban_time).select("ip", "period", "reason")
 
 
+def stream_bans_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ban job into the row sink: the lines of its files read back, one per
+    ban that the update-mode stream emitted, each with its expiry ahead."""
+    ensure_utc(spark)
+    out = scratch_path(spark, "ban-rows")
+    ckpt = scratch_path(spark, "checkpoints", "ban-rows")
+    records = kafka_records(events_stream(spark, sf_dir))
+    _finish(ban_job(spark, records, C, out, ckpt, sink="rows", trigger="availableNow"))
+    lines = spark.read.schema("ip string, period long, reason string, expires long").json(f"{out}/*/*")
+    ahead = F.timestamp_millis("expires") > F.current_timestamp()
+    return lines.select("ip", "period", "reason", ahead.alias("in_force"))
+
+
 def stream_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counter job (update mode) over `events` keyed by type; the final
     totals read back from its upsert log."""
@@ -261,6 +274,7 @@ def stream_queries() -> dict:
         "stream_incidents_append": stream_incidents_append,
         "stream_incidents_event_time": stream_incidents_event_time,
         "stream_bans_upsert": stream_bans_upsert,
+        "stream_bans_rows": stream_bans_rows,
         "stream_counter": stream_counter,
         "stream_bans_by_arrival": stream_bans_by_arrival,
         "stream_incidents_late": stream_incidents_late,
