@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +49,23 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """`settings` in force inside the block, the session's own ones after it. A
+    streaming query keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Pane rings keep a value, a timer and its index per ip, which only this store can.
+ROCKSDB_STATE = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.streaming.stateStore.")}
+
 _FALLBACK: dict[str, str] = {}
 
 

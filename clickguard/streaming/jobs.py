@@ -31,7 +31,7 @@ from clickguard.operators.incidents import (
 )
 from clickguard.operators.once import RECORD, find_distinct_incidents, find_incidents_once
 from clickguard.plans.sql import find_incidents_sql
-from clickguard.session import apply_base_conf
+from clickguard.session import ROCKSDB_STATE, apply_base_conf, session_conf
 from clickguard.sources.spool import FILE, file_report, with_file
 from clickguard.streaming.slides import slide_stats
 from clickguard.streaming.sinks import (
@@ -165,7 +165,8 @@ def ban_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
         w = w.foreachBatch(writer)
     else:
         raise ValueError(f"sink must be log or rows, not {sink!r}")
-    return _start(w, trigger, bans if explain else None)
+    with session_conf(spark, ROCKSDB_STATE if emit == "slide" else {}):
+        return _start(w, trigger, bans if explain else None)
 
 
 def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
@@ -178,9 +179,10 @@ def archive_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,
     (watermark past the window end); with ``emit="slide"`` with that end.
     `once` and `distinct` as in `detect`."""
     incidents = detect(spark, records, conf, "plain", time, emit=emit, once=once, distinct=distinct)
-    return _start(archive_sink(incidents, path, checkpoint, partition_by,
-                                  files_per_partition), trigger,
-                  incidents if explain else None)
+    with session_conf(spark, ROCKSDB_STATE if emit == "slide" else {}):
+        return _start(archive_sink(incidents, path, checkpoint, partition_by,
+                                      files_per_partition), trigger,
+                      incidents if explain else None)
 
 
 def console_job(spark: SparkSession, records: DataFrame, conf: DetectorConfig,

@@ -15,10 +15,12 @@ so an ip with a third of all events sends one row per pane and task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from math import gcd
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -26,6 +28,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from clickguard.config import DetectorConfig
 from clickguard.schema import require_columns
 
+# the workers need pyarrow, but not this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PANE = "ip string, pane bigint, clicks bigint, watches bigint, first bigint, last bigint"
 _RING = ("panes array<bigint>, clicks array<bigint>, watches array<bigint>, "
          "firsts array<bigint>, lasts array<bigint>, upto bigint")

@@ -1,15 +1,19 @@
 """Windows by slide from pane rings, state read back, deliveries counted once."""
 
+import os
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from clickguard.config import DetectorConfig
 from clickguard.operators.once import delivered_once, find_distinct_incidents, find_incidents_once
 from clickguard.operators.windows import windowed_aggregates
 from clickguard.schema import EVENT
-from clickguard.streaming.slides import merge, slide_aggregates, slide_stats
+from clickguard.streaming.slides import PaneRing, merge, slide_aggregates, slide_stats
 from clickguard.streaming.state import RINGS, open_rings, open_windows, read_state, state_operators
 from conftest import at
 
@@ -128,6 +132,39 @@ def test_ban_job_by_slide(spark, scratch):
             detect(spark, records, EVENTS_CONFIG, **wrong)
 
 
+def test_archive_job_by_slide_under_the_default_state_store(spark, scratch):
+    """Spark's default store cannot hold rings: the job brings its own, and the
+    session's is what it was."""
+    from clickguard.config import EVENTS_CONFIG
+    from clickguard.schema import SLIDE_INCIDENT
+    from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
+    from clickguard.sources.tables import TABLE_SCHEMAS
+    from clickguard.streaming.jobs import archive_job
+
+    rows = [(i, at(i).replace(tzinfo=None), 7, "click", 0.0, '{"k": 50}') for i in range(6)]
+    rows.append((9, at(9 * 86_400).replace(tzinfo=None), 8, "view", 0.0, '{"k": 50}'))
+    kafka_records(spark.createDataFrame(rows, TABLE_SCHEMAS["events"])).write.parquet(f"{scratch}/topic")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, default)
+    try:
+        q = archive_job(spark, kafka_shaped_stream(spark, f"{scratch}/topic"), EVENTS_CONFIG, f"{scratch}/out",
+                        f"{scratch}/ckpt", time="arrival", emit="slide", trigger="availableNow")
+        assert spark.conf.get(key) == default
+        assert q.awaitTermination(300) and q.exception() is None
+    finally:
+        spark.conf.set(key, before)
+    got = spark.read.schema(SLIDE_INCIDENT).parquet(f"{scratch}/out").collect()
+    assert {r.ip for r in got} == {"7"} and len({r.windowEnd for r in got}) == len(got) == 4
+
+
+def test_workers_need_not_import_the_package():
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'clickguard' not in sys.modules"
+    subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(PaneRing(10, 2)), cwd="/", env=env, check=True)
+
+
 def test_redelivered_records_count_once(spark, scratch):
     schema = "ip string, action string, eventTime timestamp, topic string, partition int, offset long"
     rows = [("a", "click", at(t), "t", 0, t) for t in range(8)]
