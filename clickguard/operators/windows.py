@@ -7,8 +7,8 @@ Two physical strategies give the same rows:
   shuffle on (ip, window).
 * ``panes`` - aggregate each (ip, pane) first, pane = gcd(w, s), then
   route each pane aggregate to the (at most two) blocks of k slides that
-  hold the starts of its windows, shuffle on (ip, block), and fan out to
-  windows and merge locally. The second shuffle carries each pane aggregate
+  hold the starts of its windows, shuffle on (ip, block), collect a group's
+  panes and merge the slice of each window. The second shuffle carries each pane aggregate
   at most twice rather than once per window (5.3x fewer rows at 10 min /
   1 min, 72x at 1 day / 10 min on the sf0.1 `events`).
 
@@ -119,24 +119,35 @@ def _pane_aggregates(df: DataFrame, conf: DetectorConfig, time_col: str,
         return ws - F.pmod(ws, F.lit(block))
 
     # Each pane aggregate goes to the (one or two) blocks of its windows, and
-    # the rows are hash-partitioned on (ip, block): the fan-out to window
-    # starts and the merge then run where the rows are, since grouping by
-    # (ip, block, start) needs no other partitioning. The shuffle carries
-    # each pane aggregate at most twice instead of once per window, and a
-    # hot ip is still spread over its blocks (time).
+    # the rows are hash-partitioned on (ip, block): a group holds the panes of
+    # less than two blocks, which become one array, and each window of the block
+    # merges its own slice of it. Nothing is kept per window, so a task's memory
+    # is that of the rows it was sent, however many windows a pane is in. The
+    # shuffle carries each pane aggregate at most twice instead of once per
+    # window, and a hot ip is still spread over its blocks (time).
     routed = (panes.select("*", F.explode(F.sequence(block_start(first_start), block_start(last_start),
                                                      F.lit(block))).alias("blk"))
               .repartition("ip", "blk"))
-    fanned = routed.select("*", F.explode(F.sequence(
-        F.greatest(first_start, F.col("blk")),
-        F.least(last_start, F.col("blk") + F.lit(block - s)), F.lit(s))).alias("ws"))
-    merged = fanned.groupBy("ip", "blk", "ws").agg(*merge_aggregation())
-    return merged.select(
+    grouped = (routed.groupBy("ip", "blk")
+               .agg(F.collect_list(F.struct("pane", "clicks", "watches", "firstEvent", "lastEvent")).alias("panes")))
+    first_of = multiple_up_to(F.array_min("panes.pane") - F.lit(w)) + F.lit(s)
+    last_of = multiple_up_to(F.array_max("panes.pane"))
+    windows = grouped.select("ip", "panes", F.explode(F.sequence(
+        F.greatest(first_of, F.col("blk")),
+        F.least(last_of, F.col("blk") + F.lit(block - s)), F.lit(s))).alias("ws"))
+    held = windows.select("ip", "ws", F.filter("panes", lambda x: x["pane"].between(
+        F.col("ws"), F.col("ws") + F.lit(w - 1))).alias("held")).where(F.size("held") > 0)
+
+    def total(c: str) -> Column:
+        return F.aggregate(f"held.{c}", F.lit(0).cast("long"), lambda a, x: a + x).alias(c)
+
+    return held.select(
         "ip",
         F.struct(F.timestamp_micros(F.col("ws")).alias("start"),
                  F.timestamp_micros(F.col("ws") + F.lit(w)).alias("end"))
         .alias("window"),
-        "clicks", "watches", "firstEvent", "lastEvent")
+        total("clicks"), total("watches"),
+        F.array_min("held.firstEvent").alias("firstEvent"), F.array_max("held.lastEvent").alias("lastEvent"))
 
 
 def with_rate(stats: DataFrame) -> DataFrame:

@@ -40,6 +40,18 @@ def test_panes_form_fans_out_aggregates_not_rows(spark):
     assert not any("Exchange" in line for line in lines[:routed[0]])
 
 
+def test_panes_form_keeps_no_window_in_a_hash_table(spark):
+    """A task that held a row per window of its panes grew with window / slide."""
+    conf = EVENTS_CONFIG.with_(slide="10 minutes")
+    found = find_incidents(click_events(spark, SF), conf)
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan_text(found, "simple"))
+    assert keys and not any("ws#" in k for k in keys)
+    # windows of 7 hours each 3: no whole number of slides, and gaps between an ip's panes
+    odd = EVENTS_CONFIG.with_(window="7 hours", slide="3 hours", min_events=0, max_events=1)
+    want, got = (find_incidents(click_events(spark, SF), odd, strategy=x).collect() for x in ("expand", "panes"))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
+
+
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_no_pairs_no_driver(spark, name):
     text = plan_text(catalog.queries()[name](spark, SF), "simple")
