@@ -102,10 +102,11 @@ def with_message(events: DataFrame, name: str = "value") -> DataFrame:
 
 
 def kafka_records(events: DataFrame, topic: str = TOPIC,
-                  partitions: int = 3) -> DataFrame:
+                  partitions: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """`events` as the records a keyed click-log topic would hold:
     key = ip, value = JSON body, offset = event id, timestamp = the
-    broker's append time (event time plus the event's delivery lag)."""
+    broker's append time (event time plus the event's delivery lag).
+    `keep` names columns of `events` to have besides."""
     return _message_parts(events).select(
         F.col("_ip").cast("binary").alias("key"),
         _body().cast("binary").alias("value"),
@@ -113,6 +114,7 @@ def kafka_records(events: DataFrame, topic: str = TOPIC,
         F.pmod(F.hash(F.col("_ip")), F.lit(partitions)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         arrival_time(F.col("ts").cast("timestamp"), F.col("value")).alias("timestamp"),
+        *keep,
     )
 
 

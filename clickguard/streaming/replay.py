@@ -15,10 +15,10 @@ from clickguard.config import duration_us
 from clickguard.functions.parse import parse_lenient
 from clickguard.operators.bans import current_bans
 from clickguard.operators.once import find_incidents_of_topics
-from clickguard.schema import COUNTER_TOTAL, INCIDENT, SLIDE_INCIDENT
-from clickguard.session import ensure_utc, scratch_path
+from clickguard.schema import COUNTER_TOTAL, INCIDENT, KAFKA_RECORD, SLIDE_INCIDENT
+from clickguard.session import ensure_utc, scratch_path, session_conf
 from clickguard.sources.counter import events_as_counter_rows
-from clickguard.sources.kafka import kafka_records, kafka_shaped_stream
+from clickguard.sources.kafka import TOPIC, kafka_records, kafka_shaped_stream
 from clickguard.sources.tables import TABLE_SCHEMAS, read_table, to_click_events
 from clickguard.streaming.jobs import archive_job, ban_job, counter_job, detect
 from clickguard.streaming.progress import BatchReport, measured, read_report
@@ -118,6 +118,24 @@ def _quarter() -> Column:
     return F.floor((F.dayofmonth("ts") - 1) / 8)
 
 
+def write_deliveries(events: DataFrame, folder: str, topic: str = TOPIC) -> None:
+    """Appends the events as records to `folder`, those of each value of their
+    `batch` to a folder of its own, all in one pass over them."""
+    # a writer per folder instead of a sort of the records by folder
+    with session_conf(events.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(BATCHES)}):
+        (kafka_records(events, topic, keep=("batch",)).write.mode("append")
+         .partitionBy("batch").parquet(folder))
+    none = events.sparkSession.createDataFrame([], KAFKA_RECORD)
+    for i in range(BATCHES):   # a delivery without records is one too
+        none.write.mode("append").parquet(f"{folder}/batch={i}")
+
+
+def delivered(spark: SparkSession, folder: str, batch: int) -> DataFrame:
+    """The records of `write_deliveries` that have come with `batch`, as a stream."""
+    come = ",".join(str(i) for i in range(batch + 1))
+    return kafka_shaped_stream(spark, f"{folder}/batch={{{come}}}")
+
+
 def in_batches(spark: SparkSession, sf_dir: str, run, again_every: int | None = None) -> None:
     """The events as records that come in `BATCHES` batches, `run(records)` once
     per batch on all that has come, from one checkpoint: a job that is stopped
@@ -130,12 +148,12 @@ def in_batches(spark: SparkSession, sf_dir: str, run, again_every: int | None =
     events = read_table(spark, sf_dir, "events")
     lag = (F.get_json_object("props", "$.k").try_cast("int") < 20).cast("int")
     batch = F.least(_quarter() + F.coalesce(lag, F.lit(0)), F.lit(BATCHES - 1))
+    write_deliveries(events.withColumn("batch", batch), topic)
+    if again_every:
+        again = events.where(F.col("event_id") % again_every == 0)
+        write_deliveries(again.withColumn("batch", F.least(batch + 1, F.lit(BATCHES - 1))), topic)
     for i in range(BATCHES):
-        kafka_records(events.where(batch == i)).write.mode("append").parquet(topic)
-        if again_every:
-            again = F.least(batch + 1, F.lit(BATCHES - 1)) == i
-            kafka_records(events.where(again & (F.col("event_id") % again_every == 0))).write.mode("append").parquet(topic)
-        _finish(run(kafka_shaped_stream(spark, topic)))
+        _finish(run(delivered(spark, topic, i)))
 
 
 def stream_bans_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,24 +234,19 @@ def stream_incidents_two_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     follows the fast one and drops what the slow one brings too late."""
     ensure_utc(spark)
     events = read_table(spark, sf_dir, "events")
-    odd = F.col("event_id") % 2
-    found, key = None, "spark.sql.streaming.multipleWatermarkPolicy"
-    before = spark.conf.get(key)
+    topics = [scratch_path(spark, "topic") for _ in (0, 1)]
+    for n, topic in enumerate(topics):
+        mine = events.where(F.col("event_id") % 2 == n)
+        write_deliveries(mine.withColumn("batch", F.least(_quarter() + n, F.lit(BATCHES - 1))), topic, f"clicks-{n}")
+    found = None
     for policy in ("min", "max"):
         out = scratch_path(spark, "archive-topics")
         ckpt = scratch_path(spark, "checkpoints", "archive-topics")
-        topics = [scratch_path(spark, "topic") for _ in (0, 1)]
-        spark.conf.set(key, policy)
-        try:
+        with session_conf(spark, {"spark.sql.streaming.multipleWatermarkPolicy": policy}):
             for i in range(BATCHES):
-                for n, topic in enumerate(topics):
-                    mine = events.where((odd == n) & (F.least(_quarter() + n, F.lit(BATCHES - 1)) == i))
-                    kafka_records(mine, topic=f"clicks-{n}").write.mode("append").parquet(topic)
-                streams = [parse_lenient(kafka_shaped_stream(spark, t)) for t in topics]
+                streams = [parse_lenient(delivered(spark, t, i)) for t in topics]
                 _finish(archive_sink(find_incidents_of_topics(streams, C), out, ckpt)
                         .trigger(availableNow=True).start())
-        finally:
-            spark.conf.set(key, before)
         got = spark.read.schema(INCIDENT).parquet(out).select(F.lit(policy).alias("policy"), *INCIDENT.names)
         found = got if found is None else found.unionByName(got)
     return found
